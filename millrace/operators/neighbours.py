@@ -67,7 +67,7 @@ def knn_join(
     queries: DataFrame, donors: DataFrame, k: int, exclude_self: bool = False,
     shipped_numbers: int = SHIPPED_NUMBERS, block_rows: int = BLOCK_ROWS, pivots: int = MAX_PIVOTS,
 ) -> DataFrame:
-    """(query_id, donor_id, distance, rank) for the k nearest donors of every query row.
+    """(grp, query_id, donor_id, distance, rank) for the k nearest donors of every query row.
 
     Both tables have `id bigint`, `vec array<double>` and `grp string` (queries only meet donors of their group).
     With `exclude_self` a row is not its own neighbour (same id).
@@ -78,7 +78,7 @@ def knn_join(
     d = _collapse(donors.select("id", "vec", "grp"), wanted)
     size = d.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("dims")).first()
     if not size["n"]:
-        return spark.createDataFrame([], "query_id bigint, donor_id bigint, distance double, rank int")
+        return spark.createDataFrame([], "grp string, query_id bigint, donor_id bigint, distance double, rank int")
     if size["n"] * size["dims"] <= shipped_numbers:
         found = _shipped(spark, q, d, wanted)
     else:
@@ -86,10 +86,10 @@ def knn_join(
     # found: rep, donor rep, distance for distinct vectors. Give each query row its vector's answer, list donor copies.
     near = found.join(d.select(F.col("rep").alias("donor"), "grp", "ids"), ["grp", "donor"])
     reps = queries.select("id", "vec", "grp").join(q, ["grp", "vec"]).select(F.col("id").alias("query_id"), "grp", "rep")
-    rows = reps.join(near, ["grp", "rep"]).select("query_id", F.explode("ids").alias("donor_id"), "distance")
+    rows = reps.join(near, ["grp", "rep"]).select("grp", "query_id", F.explode("ids").alias("donor_id"), "distance")
     if exclude_self:
         rows = rows.where("query_id <> donor_id")
-    w = Window.partitionBy("query_id").orderBy("distance", "donor_id")
+    w = Window.partitionBy("grp", "query_id").orderBy("distance", "donor_id")
     return rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
