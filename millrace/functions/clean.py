@@ -15,6 +15,8 @@ COUNTRY_DOMAIN = ["US", "CA", "MX"]
 # Score words.
 POSITIVE_WORDS = ["great", "amazing"]
 NEGATIVE_WORDS = ["bad", "terrible"]
+# What separates words, every Unicode space and line break.
+WHITESPACE = r"[\s\p{Z}\x85\x1c-\x1f]+"
 # Age bucket edges, right-closed.
 AGE_EDGES = [0, 16, 65, 120]
 
@@ -58,7 +60,7 @@ def word_score(
     c: str | Column, positive: Sequence[str] = POSITIVE_WORDS, negative: Sequence[str] = NEGATIVE_WORDS
 ) -> Column:
     """+1 for each positive and -1 for each negative whitespace-separated word of the whole text."""
-    words = F.split(F.trim(F.lower(as_column(c))), r"\s+")
+    words = F.split(F.lower(as_column(c)), WHITESPACE)
     return F.size(F.filter(words, lambda w: w.isin(list(positive)))) - F.size(
         F.filter(words, lambda w: w.isin(list(negative)))
     )
