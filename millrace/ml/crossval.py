@@ -42,7 +42,7 @@ def _fit(train: DataFrame, preprocess: Pipeline | None, family: Family, settings
 
 def fold_scores(
     data: DataFrame, folds: Sequence[int], families: dict[str, Family], grids: dict[str, list[dict]], label: str,
-    preprocess: Pipeline | None = None, fold_column: str = "fold", expanding: bool = False, parallelism: int = 2,
+    preprocess: Pipeline | None = None, fold_column: str = "fold", expanding: bool = False, parallelism: int = 4,
 ) -> DataFrame:
     """(model_family, hyperparams, fold, score). Preprocessing is fitted inside each fold, on its training rows only.
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 from millrace.functions.keys import key_hash
 from millrace.ml.base import ColumnEstimator, ColumnModel, Configured
 from millrace.ml.split import hash_prefix, hash_rank
-from millrace.session import checkpoint_folder
+from millrace.session import materialise
 
 MAX_ONE_HOT = 1_000
 
@@ -153,12 +153,6 @@ class TableModel(Model, Configured, MLReadable, MLWritable):
         return _TableReader(cls)
 
 
-def _kept(table: DataFrame) -> DataFrame:
-    """Materialise a fitted table in the checkpoint folder, so transforms do not scan the training rows again."""
-    checkpoint_folder(table.sparkSession)
-    return table.checkpoint()
-
-
 class _TargetStatistics(Estimator, Configured):
     """Sum and count of the target per category, and the target mean."""
 
@@ -167,8 +161,9 @@ class _TargetStatistics(Estimator, Configured):
     def _fit(self, dataset: DataFrame) -> TableModel:
         y = F.col(self.settings["target"]).cast("double")
         prior = dataset.agg(F.avg(y)).first()[0]
-        tables = {c: _kept(dataset.where(F.col(c).isNotNull()).groupBy(F.col(c).alias("_cat"))
-                           .agg(F.sum(y).alias("_sum"), F.count(y).alias("_n"))) for c in self.columns}
+        # Stored, so that transforms do not scan the training rows again.
+        tables = {c: materialise(dataset.where(F.col(c).isNotNull()).groupBy(F.col(c).alias("_cat"))
+                                 .agg(F.sum(y).alias("_sum"), F.count(y).alias("_n")), "targets") for c in self.columns}
         return self.model.fitted(self, {"prior": prior}, tables)
 
 
@@ -252,7 +247,7 @@ class BinaryEncoder(Estimator, Configured):
         tables, bits = {}, {}
         for c in self.columns:
             categories = dataset.where(F.col(c).isNotNull()).select(F.col(c).alias("_cat")).distinct()
-            tables[c] = _kept(hash_rank(categories, "_cat", seed="code", out="_code"))
+            tables[c] = materialise(hash_rank(categories, "_cat", seed="code", out="_code"), "codes")
             bits[c] = max(1, int(tables[c].count()).bit_length())
         return BinaryModel.fitted(self, {"bits": bits}, tables)
 

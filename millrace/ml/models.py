@@ -65,7 +65,9 @@ def _boosted(features, label, output, classes, regression, weight, **settings) -
     if regression:
         return _pipeline(features, GBTRegressor(featuresCol=FEATURES, labelCol=label, predictionCol=f"{output}prediction", **settings))
     if classes == 2:
-        return _pipeline(features, GBTClassifier(labelCol=label, **_classifier_columns(output), **settings))
+        names = _classifier_columns(output)
+        trees = GBTClassifier(featuresCol=FEATURES, labelCol=label, predictionCol=names["predictionCol"], **settings)
+        return _pipeline(features, trees.setProbabilityCol(names["probabilityCol"]).setRawPredictionCol(names["rawPredictionCol"]))
     # Spark's boosted classifier is binary: one model per class against the rest.
     settings.pop("weightCol", None)
     single = GBTClassifier(featuresCol=FEATURES, labelCol=label, **settings)
@@ -168,10 +170,8 @@ def random_features(df: DataFrame, features: Sequence[str], gamma: float, count:
     norm = float(np.sqrt(2.0 / count))
     added = {}
     for j in range(count):
-        angle = F.lit(float(shifts[j]))
-        for w, c in zip(directions[j], features):
-            angle = angle + F.lit(float(w)) * present(c)
-        added[f"_rf_{j}"] = F.lit(norm) * F.cos(angle)
+        terms = " + ".join(f"{float(w)!r}D * `{c}`" for w, c in zip(directions[j], features))
+        added[f"_rf_{j}"] = F.expr(f"{norm!r}D * cos({float(shifts[j])!r}D + {terms})")
     wide = df.withColumns(added)
     return VectorAssembler(inputCols=list(added), outputCol=FEATURES).transform(wide).drop(*added)
 
@@ -191,19 +191,19 @@ class KernelModel:
 
 def kernel_regression(
     train: DataFrame, features: Sequence[str], label: str, output: str = "", C: float = 1.0, gamma: float | None = None,
-    count: int = 100, seed: int = 42,
+    count: int = 100, max_iter: int = 100, seed: int = 42,
 ) -> KernelModel:
     """Robust regression in the feature space of an RBF kernel (Huber loss takes the place of the tube)."""
     gamma = scale_gamma(train, features) if gamma is None else gamma
     ready = random_features(train, features, gamma, count, seed)
     model = LinearRegression(featuresCol=FEATURES, labelCol=label, loss="huber", regParam=1.0 / (C * train.count()),
-                             predictionCol=f"{output}prediction").fit(ready)
+                             maxIter=max_iter, predictionCol=f"{output}prediction").fit(ready)
     return KernelModel([model], features, gamma, count, seed, output)
 
 
 def kernel_classifier(
     train: DataFrame, features: Sequence[str], label: str, output: str = "", C: float = 1.0, gamma: float | None = None,
-    balanced: bool = True, count: int = 100, seed: int = 42,
+    balanced: bool = True, count: int = 100, max_iter: int = 100, seed: int = 42,
 ) -> KernelModel:
     """Maximum-margin classifier in the feature space of an RBF kernel; a logistic fit turns margins into probabilities."""
     gamma = scale_gamma(train, features) if gamma is None else gamma
@@ -212,7 +212,7 @@ def kernel_classifier(
     if balanced:
         ready, weight = with_class_weights(ready, label, "_weight"), {"weightCol": "_weight"}
     rows = train.count()
-    svm = LinearSVC(featuresCol=FEATURES, labelCol=label, regParam=1.0 / (C * rows), maxIter=100,
+    svm = LinearSVC(featuresCol=FEATURES, labelCol=label, regParam=1.0 / (C * rows), maxIter=max_iter,
                     predictionCol=f"{output}prediction", rawPredictionCol="_margin_raw", **weight).fit(ready)
     margins = VectorAssembler(inputCols=["_m"], outputCol="_margin")
 

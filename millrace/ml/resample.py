@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from millrace.functions.keys import key_hash, key_uniform
 from millrace.ml.split import hash_prefix, hash_rank
 from millrace.operators.neighbours import knn_join, vectors
+from millrace.session import materialise
 
 COPIES_PER_CHUNK = 10_000
 
@@ -161,12 +162,12 @@ def edited_neighbours(
 def smote_tomek(df: DataFrame, key: str, label: str, features: Sequence[str], k: int = 5, seed: int | str = 42,
                 drop: str = "majority", **join_options) -> DataFrame:
     """SMOTE, then Tomek-link cleaning; "majority" refers to the class sizes before SMOTE."""
-    grown = smote(df, key, label, features, k, seed=seed, **join_options)
+    grown = materialise(smote(df, key, label, features, k, seed=seed, **join_options), "smote")
     return drop_tomek_links(grown, key, label, features, drop, class_sizes(df, label), **join_options)
 
 
 def smote_enn(df: DataFrame, key: str, label: str, features: Sequence[str], k: int = 5, enn_k: int = 3,
               rule: str = "majority", seed: int | str = 42, **join_options) -> DataFrame:
     """SMOTE, then removal of rows their neighbours disagree with."""
-    grown = smote(df, key, label, features, k, seed=seed, **join_options)
+    grown = materialise(smote(df, key, label, features, k, seed=seed, **join_options), "smote")
     return edited_neighbours(grown, key, label, features, enn_k, rule, **join_options)

@@ -20,6 +20,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from millrace.session import materialise
+
 BLOCK_ROWS = 4_096
 MAX_PIVOTS = 64
 # Donor tables up to this many numbers (rows x dimensions) are shipped to the tasks: 64 MB of doubles.
@@ -74,14 +76,16 @@ def knn_join(
     """
     spark = queries.sparkSession
     wanted = k + 1 if exclude_self else k
-    q = _collapse(queries.select("id", "vec", "grp"), 1).select("grp", "vec", "rep")
-    d = _collapse(donors.select("id", "vec", "grp"), wanted)
+    d = materialise(_collapse(donors.select("id", "vec", "grp"), wanted), "donors")
+    q = d if queries is donors else _collapse(queries.select("id", "vec", "grp"), 1)
+    q = q.select("grp", "vec", "rep")
     size = d.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("dims")).first()
     if not size["n"]:
         return spark.createDataFrame([], "grp string, query_id bigint, donor_id bigint, distance double, rank int")
     if size["n"] * size["dims"] <= shipped_numbers:
         found = _shipped(spark, q, d, wanted)
     else:
+        q = q if queries is donors else materialise(q, "queries")
         found = _blocked(spark, q, d, wanted, block_rows, pivots)
     # found: rep, donor rep, distance for distinct vectors. Give each query row its vector's answer, list donor copies.
     near = found.join(d.select(F.col("rep").alias("donor"), "grp", "ids"), ["grp", "donor"])

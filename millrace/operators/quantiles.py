@@ -9,8 +9,10 @@ for all columns together; only scalars and the last bracket's few value counts r
 from __future__ import annotations
 
 import math
+from bisect import bisect_right
 from collections.abc import Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -33,9 +35,6 @@ class _Bracket:
     inside: int
     distinct: int
 
-    def settled(self) -> bool:
-        return self.low == self.high or self.distinct <= FINAL_DISTINCT
-
 
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], final_distinct: int = FINAL_DISTINCT
@@ -77,69 +76,66 @@ def exact_quantiles(
     return result
 
 
+def _by_span(brackets: list[_Bracket]) -> dict[tuple[str, float, float], list[_Bracket]]:
+    """Brackets that currently cover the same interval of the same column; they share their aggregates."""
+    spans: dict[tuple[str, float, float], list[_Bracket]] = {}
+    for b in brackets:
+        spans.setdefault((b.column, b.low, b.high), []).append(b)
+    return spans
+
+
 def _narrow(values: DataFrame, brackets: list[_Bracket]) -> None:
     """Two scans: propose a tighter interval inside each bracket, then count whether it holds the wanted ranks."""
-    proposals = []
-    for i, b in enumerate(brackets):
-        # The approximation is exact while it keeps every value; beyond that its rank error is n / ACCURACY.
-        margin = 2.0 / ACCURACY if b.inside > ACCURACY else 1.0 / b.inside
-        p_low = max(0.0, (b.first - b.below) / b.inside - margin)
-        p_high = min(1.0, (b.last - b.below + 1) / b.inside + margin)
-        held = F.when(F.col(b.column).between(b.low, b.high), F.col(b.column))
-        proposals.append(F.percentile_approx(held, [p_low, p_high], ACCURACY).alias(f"p_{i}"))
-    proposed = values.agg(*proposals).first()
+    spans = list(_by_span(brackets).items())
+    aggregates = []
+    for i, ((column, low, high), members) in enumerate(spans):
+        probs = []
+        for b in members:
+            # The approximation is exact while it keeps every value; beyond that its rank error is n / ACCURACY.
+            margin = 2.0 / ACCURACY if b.inside > ACCURACY else 1.0 / b.inside
+            probs += [max(0.0, (b.first - b.below) / b.inside - margin), min(1.0, (b.last - b.below + 1) / b.inside + margin)]
+        held = F.when(F.col(column).between(low, high), F.col(column))
+        aggregates.append(F.percentile_approx(held, probs, ACCURACY).alias(f"p_{i}"))
+    row = values.agg(*aggregates).first()
+    proposed = {id(b): (row[f"p_{i}"][2 * j], row[f"p_{i}"][2 * j + 1])
+                for i, (_, members) in enumerate(spans) for j, b in enumerate(members)}
     checks = []
     for i, b in enumerate(brackets):
-        c, (lo, hi) = F.col(b.column), proposed[f"p_{i}"]
-        checks += [
-            F.count_if(c < lo).alias(f"b_{i}"),
-            F.count_if(c <= hi).alias(f"u_{i}"),
-            F.approx_count_distinct(F.when(c.between(lo, hi), c)).alias(f"d_{i}"),
-            F.max(F.when((c < lo) & (c >= b.low), c)).alias(f"pl_{i}"),
-            F.min(F.when((c > hi) & (c <= b.high), c)).alias(f"nh_{i}"),
-        ]
+        c, (lo, hi) = F.col(b.column), proposed[id(b)]
+        checks += [F.count_if(c < lo).alias(f"b_{i}"), F.count_if(c <= hi).alias(f"u_{i}"),
+                   F.approx_count_distinct(F.when(c.between(lo, hi), c)).alias(f"d_{i}")]
     counted = values.agg(*checks).first()
     for i, b in enumerate(brackets):
-        lo, hi = proposed[f"p_{i}"]
-        below, upto = counted[f"b_{i}"], counted[f"u_{i}"]
-        top = b.below + b.inside
+        lo, hi = proposed[id(b)]
+        below, upto, distinct = counted[f"b_{i}"], counted[f"u_{i}"], counted[f"d_{i}"]
         # A proposal that misses a rank on one side keeps the old border on that side.
         if below > b.first:
-            lo, below = b.low, b.below
+            lo, below, distinct = b.low, b.below, b.distinct
         if upto <= b.last:
-            hi, upto = b.high, top
-        kept = lo == b.low and hi == b.high
-        b.low, b.high, b.below, b.inside = lo, hi, below, upto - below
-        b.distinct = counted[f"d_{i}"] if (lo, hi) == tuple(proposed[f"p_{i}"]) else b.distinct
-        if kept:
+            hi, upto, distinct = b.high, b.below + b.inside, b.distinct
+        if lo == b.low and hi == b.high:
             raise RuntimeError("quantile bracket cannot be narrowed")
+        b.low, b.high, b.below, b.inside, b.distinct = lo, hi, below, upto - below, distinct
 
 
 def _read_off(values: DataFrame, brackets: list[_Bracket]) -> dict[int, tuple[float, float]]:
     """Count the few distinct values left in each bracket and walk to the wanted ranks."""
     done = {id(b): (b.low, b.high) for b in brackets if b.low == b.high}
-    todo = [b for b in brackets if id(b) not in done]
-    if not todo:
+    spans = list(_by_span([b for b in brackets if id(b) not in done]).items())
+    if not spans:
         return done
-    entries = [F.when(F.col(b.column).between(b.low, b.high), F.struct(F.lit(i).alias("b"), F.col(b.column).alias("v")))
-               for i, b in enumerate(todo)]
+    entries = [F.when(F.col(column).between(low, high), F.struct(F.lit(i).alias("b"), F.col(column).alias("v")))
+               for i, ((column, low, high), _) in enumerate(spans)]
     held = F.array_compact(F.array(*entries))
-    counts = (
-        values.select(F.explode(held).alias("e")).groupBy("e.b", "e.v").count().orderBy("b", "v").collect()
-    )
-    by_bracket: dict[int, list] = {}
+    counts = values.select(F.explode(held).alias("e")).groupBy("e.b", "e.v").count().orderBy("b", "v").collect()
+    by_span: dict[int, list] = {}
     for r in counts:
-        by_bracket.setdefault(r["b"], []).append((r["v"], r["count"]))
-    for i, b in enumerate(todo):
-        seen, low, high = b.below, None, None
-        for value, count in by_bracket[i]:
-            seen += count
-            if low is None and seen > b.first:
-                low = value
-            if seen > b.last:
-                high = value
-                break
-        done[id(b)] = (low, high)
+        by_span.setdefault(r["b"], []).append((r["v"], r["count"]))
+    for i, (_, members) in enumerate(spans):
+        values_up = [v for v, _ in by_span[i]]
+        running = list(accumulate(n for _, n in by_span[i]))
+        for b in members:
+            done[id(b)] = (values_up[bisect_right(running, b.first - b.below)], values_up[bisect_right(running, b.last - b.below)])
     return done
 
 

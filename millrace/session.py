@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the library's results rely on: UTC for wall-clock timestamps, ANSI so bad casts fail,
 # AQE so skewed join partitions are split and small shuffles are merged at run time.
@@ -52,3 +53,14 @@ def checkpoint_folder(spark: SparkSession) -> str:
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(folder)
     return folder
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate table under the checkpoint folder and read it back.
+
+    Cuts the lineage like `checkpoint()`, but computes the table once and keeps column pruning; the files outlive lost
+    executors.
+    """
+    path = f"{checkpoint_folder(df.sparkSession)}/millrace/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
