@@ -10,24 +10,23 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.operators.ordered import ROWS_PER_SLICE, prefix_sums
+from millrace.operators.ordered import ROWS_PER_SLICE, SLICE, running_sums, sliced
 
 # Fixed value: probabilities are kept this far away from 0 and 1 in the log loss.
 LOG_LOSS_EPS = 2.220446049250313e-16
 
 
-def score_counts(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
-    """Positive and negative rows per distinct score; `label` is 0/1."""
-    y = F.col(label).cast("bigint")
-    return df.groupBy(*by, F.col(score).cast("double").alias("score")).agg(
-        F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
-
-
 def _descending(df: DataFrame, label: str, score: str, by: Sequence[str], rows_per_slice: int) -> DataFrame:
-    """Per distinct score: counts at the score and running counts tp, fp at or above it."""
-    counts = score_counts(df, label, score, by).withColumn("_neg_score", -F.col("score"))
-    return prefix_sums(counts, "_neg_score", {"tp": F.col("pos"), "fp": F.col("neg")}, by=by,
-                       rows_per_slice=rows_per_slice).drop("_neg_score")
+    """Per distinct score: rows at the score (pos, neg) and running counts at or above it (tp, fp); `label` is 0/1.
+
+    Slices are cut on the rows, so the counts of whole slices need no shuffle of scores.
+    """
+    y = F.col(label).cast("bigint")
+    rows = df.select(*by, (-F.col(score).cast("double")).alias("_neg_score"), y.alias("pos"), (1 - y).alias("neg"))
+    base = sliced(rows, "_neg_score", rows_per_slice=rows_per_slice)
+    counts = base.groupBy(*by, SLICE, "_neg_score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    curve = running_sums(counts, base, ["_neg_score"], {"tp": F.col("pos"), "fp": F.col("neg")}, by)
+    return curve.withColumn("score", -F.col("_neg_score")).drop("_neg_score")
 
 
 def roc_auc(df: DataFrame, label: str, score: str, by: Sequence[str] = (), rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
@@ -43,7 +42,7 @@ def roc_auc(df: DataFrame, label: str, score: str, by: Sequence[str] = (), rows_
 def pr_curve(df: DataFrame, label: str, score: str, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """(threshold, precision, recall) for every distinct score; the end point (precision 1, recall 0) is left out."""
     curve = _descending(df, label, score, (), rows_per_slice)
-    positives = score_counts(df, label, score).agg(F.sum("pos").alias("p")).scalar()
+    positives = df.agg(F.sum(F.col(label).cast("bigint")).alias("p")).scalar()
     return curve.select(
         F.col("score").alias("threshold"),
         (F.col("tp").cast("double") / (F.col("tp") + F.col("fp")).cast("double")).alias("precision"),

@@ -9,7 +9,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.ml import Estimator, Model, Pipeline
+from pyspark import SparkContext
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier, LinearSVC, LogisticRegression, OneVsRest, RandomForestClassifier,
 )
@@ -25,8 +26,29 @@ from millrace.operators.profile import with_class_weights
 FEATURES = "_features"
 
 
+def without_summary(model):
+    """Forget the training summary of a fitted Spark model.
+
+    The summary refers to the session; once the session has used an `Observation`, a model that carries one can no longer
+    be sent to the tasks (Spark 4.1).
+    """
+    if getattr(model, "hasSummary", False):
+        model._java_obj.setSummary(SparkContext._active_spark_context._jvm.scala.Option.empty())
+    return model
+
+
+class ModelPipeline(Pipeline):
+    """A pipeline whose fitted models carry no training summary."""
+
+    def _fit(self, dataset: DataFrame) -> PipelineModel:
+        fitted = super()._fit(dataset)
+        for stage in fitted.stages:
+            without_summary(stage)
+        return fitted
+
+
 def _pipeline(features: Sequence[str], estimator: Estimator) -> Pipeline:
-    return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol=FEATURES), estimator])
+    return ModelPipeline(stages=[VectorAssembler(inputCols=list(features), outputCol=FEATURES), estimator])
 
 
 def _classifier_columns(output: str) -> dict:
@@ -198,7 +220,7 @@ def kernel_regression(
     ready = random_features(train, features, gamma, count, seed)
     model = LinearRegression(featuresCol=FEATURES, labelCol=label, loss="huber", regParam=1.0 / (C * train.count()),
                              maxIter=max_iter, predictionCol=f"{output}prediction").fit(ready)
-    return KernelModel([model], features, gamma, count, seed, output)
+    return KernelModel([without_summary(model)], features, gamma, count, seed, output)
 
 
 def kernel_classifier(
@@ -212,8 +234,8 @@ def kernel_classifier(
     if balanced:
         ready, weight = with_class_weights(ready, label, "_weight"), {"weightCol": "_weight"}
     rows = train.count()
-    svm = LinearSVC(featuresCol=FEATURES, labelCol=label, regParam=1.0 / (C * rows), maxIter=max_iter,
-                    predictionCol=f"{output}prediction", rawPredictionCol="_margin_raw", **weight).fit(ready)
+    svm = without_summary(LinearSVC(featuresCol=FEATURES, labelCol=label, regParam=1.0 / (C * rows), maxIter=max_iter,
+                    predictionCol=f"{output}prediction", rawPredictionCol="_margin_raw", **weight).fit(ready))
     margins = VectorAssembler(inputCols=["_m"], outputCol="_margin")
 
     class Margin(Model):
@@ -223,7 +245,7 @@ def kernel_classifier(
     margin = Margin()
     platt = LogisticRegression(featuresCol="_margin", labelCol=label, probabilityCol=f"{output}probability",
                                rawPredictionCol=f"{output}raw", predictionCol="_platt").fit(margin.transform(svm.transform(ready)))
-    return KernelModel([svm, margin, platt], features, gamma, count, seed, output)
+    return KernelModel([svm, margin, without_summary(platt)], features, gamma, count, seed, output)
 
 
 def score_columns(df: DataFrame, output: str = "", classes: Sequence[int] = (1,)) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.ml.base import ColumnEstimator, ColumnModel, present
 from millrace.ml.metrics import accuracy_value
+from millrace.ml.models import without_summary
 from millrace.ml.split import fold_pair, kfold
 from millrace.operators.profile import correlations, unpivot_row
 from millrace.operators.quantiles import exact_quantiles
@@ -275,7 +276,7 @@ class RFECV(_Selector):
                 for chosen in eliminate(train, self.columns, s["label"], s["min_features"], s["step"], s["trees"], s["seed"]):
                     forest = RandomForestClassifier(featuresCol="_features", labelCol="_label", numTrees=s["trees"],
                                                     seed=s["seed"]).fit(_assembled(train, chosen, s["label"]))
-                    scored = forest.transform(_assembled(held, chosen, s["label"]))
+                    scored = without_summary(forest).transform(_assembled(held, chosen, s["label"]))
                     table.setdefault(len(chosen), []).append(accuracy_value(scored, "_label", "prediction"))
             best = max(table, key=lambda n: (np.mean(table[n]), -n))
             sets = eliminate(data, self.columns, s["label"], best, s["step"], s["trees"], s["seed"])

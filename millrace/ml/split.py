@@ -15,7 +15,7 @@ from millrace.functions.keys import HASH_BITS, key_hash
 from millrace.operators.ordered import ROWS_PER_SLICE, row_index
 
 # The hash range is cut into 2**PART_BITS parts of equal width; hashes are uniform, so parts are equally full.
-PART_BITS = 10
+PART_BITS = 12
 # Groups placed one by one by size; a larger number of groups is completed by group hash.
 GREEDY_GROUPS = 100_000
 

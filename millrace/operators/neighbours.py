@@ -79,12 +79,16 @@ def knn_join(
     d = materialise(_collapse(donors.select("id", "vec", "grp"), wanted), "donors")
     q = d if queries is donors else _collapse(queries.select("id", "vec", "grp"), 1)
     q = q.select("grp", "vec", "rep")
-    size = d.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("dims")).first()
+    size = d.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("dims"), F.countDistinct("grp").alias("groups")).first()
     if not size["n"]:
         return spark.createDataFrame([], "grp string, query_id bigint, donor_id bigint, distance double, rank int")
     if size["n"] * size["dims"] <= shipped_numbers:
         found = _shipped(spark, q, d, wanted)
     else:
+        if size["groups"] > MAX_GROUPS:
+            raise ValueError(f"more than {MAX_GROUPS} groups; join within coarser groups")
+        # All pivots together stay within the shipped size.
+        pivots = max(1, min(pivots, SHIPPED_NUMBERS // (size["groups"] * size["dims"])))
         q = q if queries is donors else materialise(q, "queries")
         found = _blocked(spark, q, d, wanted, block_rows, pivots)
     # found: rep, donor rep, distance for distinct vectors. Give each query row its vector's answer, list donor copies.
@@ -129,8 +133,6 @@ def _blocked(spark: SparkSession, q: DataFrame, d: DataFrame, k: int, block_rows
     picked: dict[str, list] = {}
     for r in chosen.toLocalIterator():
         picked.setdefault(r["grp"], []).append(r["vec"])
-        if len(picked) > MAX_GROUPS:
-            raise ValueError(f"more than {MAX_GROUPS} groups; join within coarser groups")
     centres = spark.sparkContext.broadcast({g: _matrix(v) for g, v in picked.items()})
 
     def to_pivots(part: pd.DataFrame, g: str) -> np.ndarray:

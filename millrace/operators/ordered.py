@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 ROWS_PER_SLICE = 2_000_000
-MAX_SLICES = 1_000
+MAX_SLICES = 2_000
 SLICE = "_slice"
 
 
@@ -33,6 +33,12 @@ def sortable(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("double")
 
 
+def _grid(column: str) -> Column:
+    """Evenly spaced approximate quantiles, MAX_SLICES steps."""
+    probs = ", ".join(f"{i / MAX_SLICES}D" for i in range(MAX_SLICES + 1))
+    return F.expr(f"percentile_approx({column}, array({probs}), 10000)").alias("grid")
+
+
 def _thin(grid: list, parts: int) -> list:
     """parts-1 inner cut points taken evenly from a fine quantile grid."""
     return [grid[min(len(grid) - 1, round(i * (len(grid) - 1) / parts))] for i in range(1, parts)]
@@ -40,8 +46,7 @@ def _thin(grid: list, parts: int) -> list:
 
 def _cut_points(df: DataFrame, order: str, tie: str | None, rows_per_slice: int) -> list[tuple]:
     key = sortable(df, order)
-    probs = [i / MAX_SLICES for i in range(MAX_SLICES + 1)]
-    row = df.agg(F.count(key).alias("n"), F.percentile_approx(key, probs, 10_000).alias("grid")).first()
+    row = df.select(key.alias("k")).agg(F.count("k").alias("n"), _grid("k")).first()
     parts = min(MAX_SLICES, math.ceil(row["n"] / rows_per_slice)) if row["n"] else 1
     if parts <= 1:
         return []
@@ -50,8 +55,8 @@ def _cut_points(df: DataFrame, order: str, tie: str | None, rows_per_slice: int)
     cuts = [(value, None) for value in repeats]
     if hot and tie is not None:
         found = (
-            df.where(key.isin(hot)).groupBy(key.alias("k"))
-            .agg(F.percentile_approx(F.col(tie).cast("bigint"), probs, 10_000).alias("grid")).collect()
+            df.where(key.isin(hot)).select(key.alias("k"), F.col(tie).cast("bigint").alias("t"))
+            .groupBy("k").agg(_grid("t")).collect()
         )
         for r in found:
             cuts += [(r["k"], t) for t in sorted(set(_thin(r["grid"], repeats[r["k"]] + 1)))]
@@ -98,20 +103,29 @@ def _join_carry(df: DataFrame, carry: DataFrame, by: Sequence[str]) -> DataFrame
     return df.join(carry, [*by, SLICE], "left")
 
 
+def running_sums(
+    rows: DataFrame, totals: DataFrame, order: Sequence[str], sums: dict[str, str | Column], by: Sequence[str] = ()
+) -> DataFrame:
+    """Running sums over sliced rows, given the same sums per slice.
+
+    `totals` may come from a cheaper table than `rows`, for example from rows not yet grouped by the order column.
+    """
+    inner = Window.partitionBy(*by, SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    outer = Window.partitionBy(*by).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.groupBy(*by, SLICE).agg(*[F.sum(c).alias(f"_t_{o}") for o, c in sums.items()]).select(
+        *by, SLICE, *[F.coalesce(F.sum(f"_t_{o}").over(outer), F.lit(0)).alias(f"_c_{o}") for o in sums])
+    running = rows.select("*", *[F.sum(c).over(inner).alias(f"_r_{o}") for o, c in sums.items()])
+    kept = [c for c in rows.columns if c != SLICE]
+    return _join_carry(running, carry, by).select(*kept, *[(F.col(f"_r_{o}") + F.col(f"_c_{o}")).alias(o) for o in sums])
+
+
 def prefix_sums(
     df: DataFrame, order: str, sums: dict[str, str | Column], tie: str | None = None, by: Sequence[str] = (),
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """Running sums (own row included) of several columns in the global order, separately for each `by` key."""
     base = sliced(df, order, tie, rows_per_slice)
-    inner = Window.partitionBy(*by, SLICE).orderBy(*_order_columns(order, tie)).rowsBetween(Window.unboundedPreceding, 0)
-    outer = Window.partitionBy(*by).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    totals = base.groupBy(*by, SLICE).agg(*[F.sum(c).alias(f"_t_{o}") for o, c in sums.items()])
-    carry = totals.select(*by, SLICE, *[
-        F.coalesce(F.sum(f"_t_{o}").over(outer), F.lit(0)).alias(f"_c_{o}") for o in sums])
-    running = base.select("*", *[F.sum(c).over(inner).alias(f"_r_{o}") for o, c in sums.items()])
-    joined = _join_carry(running, carry, by)
-    return joined.select(*df.columns, *[(F.col(f"_r_{o}") + F.col(f"_c_{o}")).alias(o) for o in sums])
+    return running_sums(base, base, _order_columns(order, tie), sums, by)
 
 
 def row_index(
