@@ -94,8 +94,7 @@ def _boosted(features, label, output, classes, regression, weight, **settings) -
     settings.pop("weightCol", None)
     single = GBTClassifier(featuresCol=FEATURES, labelCol=label, **settings)
     return _pipeline(features, OneVsRest(classifier=single, featuresCol=FEATURES, labelCol=label,
-                                         predictionCol=f"{output}prediction", rawPredictionCol=f"{output}raw",
-                                         **({"weightCol": weight} if weight else {})))
+                                         predictionCol=f"{output}prediction", **({"weightCol": weight} if weight else {})))
 
 
 def boosted_levelwise(

@@ -54,10 +54,12 @@ def exact_quantiles(
                 brackets[i, j] = _Bracket(c, math.floor(at), math.ceil(at), stats[f"lo_{i}"], stats[f"hi_{i}"], 0, n,
                                           stats[f"d_{i}"])
     for _ in range(MAX_PASSES):
-        wide = [b for b in brackets.values() if b.low != b.high and b.distinct > final_distinct]
+        wide = [b for b in brackets.values() if b.low != b.high and b.distinct > max(final_distinct, 2)]
         if not wide:
             break
-        _narrow(values, wide)
+        stuck = _narrow(values, wide)
+        if stuck:
+            _step_over_edges(values, stuck)
     else:
         raise RuntimeError("quantile brackets did not settle")
     found = _read_off(values, list(brackets.values()))
@@ -84,8 +86,11 @@ def _by_span(brackets: list[_Bracket]) -> dict[tuple[str, float, float], list[_B
     return spans
 
 
-def _narrow(values: DataFrame, brackets: list[_Bracket]) -> None:
-    """Two scans: propose a tighter interval inside each bracket, then count whether it holds the wanted ranks."""
+def _narrow(values: DataFrame, brackets: list[_Bracket]) -> list[_Bracket]:
+    """Two scans: propose a tighter interval inside each bracket, then count whether it holds the wanted ranks.
+
+    Returns the brackets that did not get smaller, which happens when both borders are very frequent values.
+    """
     spans = list(_by_span(brackets).items())
     aggregates = []
     for i, ((column, low, high), members) in enumerate(spans):
@@ -105,6 +110,7 @@ def _narrow(values: DataFrame, brackets: list[_Bracket]) -> None:
         checks += [F.count_if(c < lo).alias(f"b_{i}"), F.count_if(c <= hi).alias(f"u_{i}"),
                    F.approx_count_distinct(F.when(c.between(lo, hi), c)).alias(f"d_{i}")]
     counted = values.agg(*checks).first()
+    stuck = []
     for i, b in enumerate(brackets):
         lo, hi = proposed[id(b)]
         below, upto, distinct = counted[f"b_{i}"], counted[f"u_{i}"], counted[f"d_{i}"]
@@ -114,8 +120,32 @@ def _narrow(values: DataFrame, brackets: list[_Bracket]) -> None:
         if upto <= b.last:
             hi, upto, distinct = b.high, b.below + b.inside, b.distinct
         if lo == b.low and hi == b.high:
-            raise RuntimeError("quantile bracket cannot be narrowed")
+            stuck.append(b)
         b.low, b.high, b.below, b.inside, b.distinct = lo, hi, below, upto - below, distinct
+    return stuck
+
+
+def _step_over_edges(values: DataFrame, brackets: list[_Bracket]) -> None:
+    """Count the border values themselves: a rank on a border is found, otherwise the border moves to the next value."""
+    aggregates = []
+    for i, b in enumerate(brackets):
+        c = F.col(b.column)
+        aggregates += [F.count_if(c == b.low).alias(f"nl_{i}"), F.count_if(c == b.high).alias(f"nh_{i}"),
+                       F.min(F.when(c > b.low, c)).alias(f"up_{i}"), F.max(F.when(c < b.high, c)).alias(f"down_{i}")]
+    row = values.agg(*aggregates).first()
+    for i, b in enumerate(brackets):
+        at_low, at_high, top = row[f"nl_{i}"], row[f"nh_{i}"], b.below + b.inside
+        if b.last < b.below + at_low:
+            b.high, b.inside, b.distinct = b.low, at_low, 1
+        elif b.first >= top - at_high:
+            b.low, b.below, b.inside, b.distinct = b.high, top - at_high, at_high, 1
+        elif b.first < b.below + at_low and b.last >= top - at_high:
+            b.distinct = 2  # neighbouring ranks on the two borders: nothing lies between
+        else:
+            if b.first >= b.below + at_low:
+                b.low, b.below, b.inside = row[f"up_{i}"], b.below + at_low, b.inside - at_low
+            if b.last < top - at_high:
+                b.high, b.inside = row[f"down_{i}"], b.inside - at_high
 
 
 def _read_off(values: DataFrame, brackets: list[_Bracket]) -> dict[int, tuple[float, float]]:
