@@ -16,6 +16,7 @@ from millrace.ml.resample import random_over_sample, random_under_sample, smote
 from millrace.ml.split import fold_pair
 from millrace.operators.profile import with_class_weights
 from millrace.operators.relational import best_rows
+from millrace.session import materialise
 
 # A family takes settings and the number of training rows and returns an unfitted pipeline.
 Family = Callable[..., Pipeline]
@@ -50,7 +51,7 @@ def fold_scores(
     few driver threads so that small jobs overlap.
     """
     spark = data.sparkSession
-    data = data.persist()
+    data = materialise(data, "folds")
 
     def one(task):
         name, settings, fold = task
@@ -60,11 +61,8 @@ def fold_scores(
         return name, str(sorted(settings.items())), fold, value
 
     tasks = [(name, settings, fold) for name in families for settings in grids[name] for fold in folds]
-    try:
-        with ThreadPoolExecutor(parallelism) as pool:
-            rows = list(pool.map(inheritable_thread_target(spark)(one), tasks))
-    finally:
-        data.unpersist()
+    with ThreadPoolExecutor(parallelism) as pool:
+        rows = list(pool.map(inheritable_thread_target(spark)(one), tasks))
     return spark.createDataFrame(rows, "model_family string, hyperparams string, fold int, score double")
 
 
@@ -106,15 +104,9 @@ def compare_imbalance_methods(
     }
     rows = []
     for name, (data, weight) in methods.items():
-        ready = data.select(*columns, *([weight] if weight else [])).persist()
-        try:
-            model = logistic_regression(features, label, rows=ready.count(), weight=weight).fit(ready)
-        finally:
-            ready.unpersist()
-        scored = score_columns(model.transform(test)).persist()
-        try:
-            rows.append((name, roc_auc(scored, label, "p1").first()[0], average_precision(scored, label, "p1").first()[0]))
-        finally:
-            scored.unpersist()
+        ready = materialise(data.select(*columns, *([weight] if weight else [])), "resampled")
+        model = logistic_regression(features, label, rows=ready.count(), weight=weight).fit(ready)
+        scored = score_columns(model.transform(test))
+        rows.append((name, roc_auc(scored, label, "p1").first()[0], average_precision(scored, label, "p1").first()[0]))
     spark: SparkSession = train.sparkSession
     return spark.createDataFrame(rows, "method string, roc_auc double, average_precision double")

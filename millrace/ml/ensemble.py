@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from millrace.ml.models import logistic_regression, score_columns
 from millrace.ml.split import fold_pair, kfold
 from millrace.operators.relational import union_all
+from millrace.session import materialise
 
 # A builder gets the output prefix and returns an unfitted pipeline.
 Builder = Callable[[str], object]
@@ -60,18 +61,12 @@ def fit_stacking(train: DataFrame, builders: dict[str, Builder], key: str, label
 
     The base models used for scoring are then fitted on all training rows.
     """
-    data = kfold(train, key, folds, stratify=label, seed=seed, out="_fold").persist()
-    try:
-        parts = []
-        for fold in range(folds):
-            fit_rows, held = fold_pair(data, fold, "_fold")
-            parts.append(fit_voting(fit_rows, builders).transform(held).drop("p1", "prediction"))
-        scores = [f"{n}_p1" for n in builders]
-        out_of_fold = union_all(parts).select(key, label, *scores).persist()
-        try:
-            meta = logistic_regression(scores, label, rows=out_of_fold.count()).fit(out_of_fold)
-        finally:
-            out_of_fold.unpersist()
-    finally:
-        data.unpersist()
+    data = materialise(kfold(train, key, folds, stratify=label, seed=seed, out="_fold"), "folds")
+    parts = []
+    for fold in range(folds):
+        fit_rows, held = fold_pair(data, fold, "_fold")
+        parts.append(fit_voting(fit_rows, builders).transform(held).drop("p1", "prediction"))
+    scores = [f"{n}_p1" for n in builders]
+    out_of_fold = materialise(union_all(parts).select(key, label, *scores), "out-of-fold")
+    meta = logistic_regression(scores, label, rows=out_of_fold.count()).fit(out_of_fold)
     return StackingModel(fit_voting(train, builders), meta)

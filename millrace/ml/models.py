@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 from millrace.ml.base import present
 from millrace.ml.encode import ordered_target_statistics
 from millrace.operators.profile import with_class_weights
+from millrace.session import materialise
 
 FEATURES = "_features"
 
@@ -167,6 +168,7 @@ def boosted_categorical(
     ready = statistics.encode_training(train)
     if balanced and not regression:
         ready = with_class_weights(ready, label, "_weight")
+    ready = materialise(ready, "encoded")
     features = [*numeric, *[f"{c}_stat" for c in categorical]]
     model = _boosted(features, label, output, classes, regression, "_weight" if balanced and not regression else None,
                      maxIter=trees, stepSize=learning_rate, maxDepth=depth, maxBins=borders, seed=seed).fit(ready)

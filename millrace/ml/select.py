@@ -18,6 +18,7 @@ from millrace.ml.split import fold_pair, kfold
 from millrace.operators.profile import correlations, unpivot_row
 from millrace.operators.quantiles import exact_quantiles
 from millrace.operators.relational import best_rows
+from millrace.session import materialise
 
 # -- scores: (feature, score) ----------------------------------------------------------------------------------------
 
@@ -249,11 +250,8 @@ class RFE(_Selector):
 
     def learn(self, df, scalars, quantiles):
         s = self.settings
-        cached = df.select(*self.columns, s["label"]).persist()
-        try:
-            sets = eliminate(cached, self.columns, s["label"], s["n_features"], s["step"], s["trees"], s["seed"])
-        finally:
-            cached.unpersist()
+        stored = materialise(df.select(*self.columns, s["label"]), "features")
+        sets = eliminate(stored, self.columns, s["label"], s["n_features"], s["step"], s["trees"], s["seed"])
         return self._kept({}, sets[-1])
 
 
@@ -267,21 +265,19 @@ class RFECV(_Selector):
 
     def learn(self, df, scalars, quantiles):
         s = self.settings
-        data = kfold(df.select(s["key"], *self.columns, s["label"]), s["key"], s["folds"], stratify=s["label"]).persist()
-        try:
-            # Sizes are compared on eliminations made inside each fold's training rows.
-            table: dict[int, list[float]] = {}
-            for fold in range(s["folds"]):
-                train, held = fold_pair(data, fold)
-                for chosen in eliminate(train, self.columns, s["label"], s["min_features"], s["step"], s["trees"], s["seed"]):
-                    forest = RandomForestClassifier(featuresCol="_features", labelCol="_label", numTrees=s["trees"],
-                                                    seed=s["seed"]).fit(_assembled(train, chosen, s["label"]))
-                    scored = without_summary(forest).transform(_assembled(held, chosen, s["label"]))
-                    table.setdefault(len(chosen), []).append(accuracy_value(scored, "_label", "prediction"))
-            best = max(table, key=lambda n: (np.mean(table[n]), -n))
-            sets = eliminate(data, self.columns, s["label"], best, s["step"], s["trees"], s["seed"])
-        finally:
-            data.unpersist()
+        data = kfold(df.select(s["key"], *self.columns, s["label"]), s["key"], s["folds"], stratify=s["label"])
+        data = materialise(data, "folds")
+        # Sizes are compared on eliminations made inside each fold's training rows.
+        table: dict[int, list[float]] = {}
+        for fold in range(s["folds"]):
+            train, held = fold_pair(data, fold)
+            for chosen in eliminate(train, self.columns, s["label"], s["min_features"], s["step"], s["trees"], s["seed"]):
+                forest = RandomForestClassifier(featuresCol="_features", labelCol="_label", numTrees=s["trees"],
+                                                seed=s["seed"]).fit(_assembled(train, chosen, s["label"]))
+                scored = without_summary(forest).transform(_assembled(held, chosen, s["label"]))
+                table.setdefault(len(chosen), []).append(accuracy_value(scored, "_label", "prediction"))
+        best = max(table, key=lambda n: (np.mean(table[n]), -n))
+        sets = eliminate(data, self.columns, s["label"], best, s["step"], s["trees"], s["seed"])
         state = self._kept({}, sets[-1])
         state["fold_scores"] = {str(n): scores for n, scores in table.items()}
         return state

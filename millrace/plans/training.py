@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from millrace.ml import crossval, ensemble, metrics, models, scale, select, split
 from millrace.ml.base import preprocessing
 from millrace.plans.catalog import register, rounded
+from millrace.session import materialise
 
 FEATURES = ["f_price", "f_cust", "f_month", "f_mix", "f_noise", "f_copy"]
 
@@ -26,7 +27,8 @@ def samples(t):
 
 
 def parts(t):
-    marked = split.train_test_split(samples(t), "id", 0.2, stratify="y").persist()
+    # Stored once: every fit below makes many passes, and a stored table is read in as many tasks as its size asks for.
+    marked = materialise(split.train_test_split(samples(t), "id", 0.2, stratify="y"), "samples")
     return marked.where(~F.col("is_test")), marked.where("is_test")
 
 
@@ -150,7 +152,7 @@ def expanding_scores(t):
 def imbalance(t):
     rows = t("embeddings").select(F.col("vec_id").alias("id"), (F.col("label") == 0).cast("double").alias("y"), *[
         F.col("embedding")[i].cast("double").alias(f"x{i}") for i in range(4)])
-    marked = split.train_test_split(rows, "id", 0.3, stratify="y").persist()
+    marked = materialise(split.train_test_split(rows, "id", 0.3, stratify="y"), "samples")
     return crossval.compare_imbalance_methods(marked.where(~F.col("is_test")), marked.where("is_test"), "id", "y", ["x0", "x1", "x2", "x3"])
 
 
