@@ -70,12 +70,14 @@ def _slice_number(df: DataFrame, order: str, tie: str | None, cuts: list[tuple])
     key = sortable(df, order)
     key_type = "bigint" if isinstance(cuts[0][0], int) else "double"
     lowest = -(2**63)
-    position = F.struct(key.cast(key_type).alias("k"),
-                        (F.col(tie).cast("bigint") if tie else F.lit(0).cast("bigint")).alias("t"))
-    rows = [{"k": k, "t": lowest if t is None else t} for k, t in cuts]
+    if any(t is not None for _, t in cuts):
+        position = F.struct(key.cast(key_type).alias("k"), F.col(tie).cast("bigint").alias("t"))
+        rows, item_type = [{"k": k, "t": lowest if t is None else t} for k, t in cuts], f"struct<k:{key_type},t:bigint>"
+    else:
+        position, rows, item_type = key.cast(key_type), [k for k, _ in cuts], key_type
 
     def literal(items):
-        return F.from_json(F.lit(json.dumps(items)), f"array<struct<k:{key_type},t:bigint>>")
+        return F.from_json(F.lit(json.dumps(items)), f"array<{item_type}>")
 
     def at_or_below(array):
         return F.size(F.filter(array, lambda c: c <= position))

@@ -6,6 +6,7 @@ from millrace.ml import clip, encode, impute, scale
 from millrace.ml.base import ColumnRouter
 from millrace.ml.split import train_test_split
 from millrace.plans.catalog import register, rounded, sql_hash
+from millrace.session import materialise
 
 # Orders with outliers, gaps and a target, all made from the key; a fifth of the rows is the test part.
 ORDERS_SQL = f"""
@@ -26,7 +27,8 @@ def orders(t):
         (F.col("o_custkey") % 97).alias("city"), F.when(k % 50 == 0, price * 10).otherwise(price).alias("price"),
         F.when(k % 6 != 0, F.col("o_custkey").cast("double")).alias("cust"),
         F.when(k % 9 != 0, F.col("o_orderstatus")).alias("status_gap"), (price > 250000).cast("int").alias("target"))
-    return train_test_split(table, "o_orderkey", 0.2)
+    # Stored once: fitting and applying make several passes, which must not repeat the split.
+    return materialise(train_test_split(table, "o_orderkey", 0.2), "orders")
 
 
 def fit_on_train(estimator, table):
