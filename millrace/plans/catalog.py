@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from millrace.session import prepare
 
 MODULES = (
-    "relational", "scalars", "timeseries", "quality", "preprocessing", "selection", "sampling", "scoring", "training",
+    "storage", "relational", "scalars", "timeseries", "quality", "preprocessing", "selection", "sampling", "scoring", "training",
 )
 
 
