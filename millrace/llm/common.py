@@ -50,10 +50,11 @@ def key_fraction_sql(expression: str, salt: str) -> str:
     return f"(('0x' || substr(md5(coalesce({expression}::VARCHAR, 'NULL') || '#{salt}'), 1, 13))::BIGINT / {2.0**52:.1f})"
 
 
-def map_texts(df: DataFrame, rows: Callable[[list, list], dict], schema: str) -> DataFrame:
+def map_texts(df: DataFrame, start: Callable[[], Callable[[list, list], dict]], schema: str) -> DataFrame:
     """Columns `doc_id` and `text` of every Arrow batch to the columns of `schema`.
 
-    `rows(ids, texts)` gets lists (NULL texts as empty) and returns a dict of equally long columns.
+    `start()` runs once in each task and returns `rows(ids, texts)`, which gets lists (NULL texts as empty) and returns a
+    dict of equally long columns.
     """
     wanted = df.select(F.col("doc_id"), body().alias("text"))
     names = [part.split()[0] for part in schema.split(",")]
@@ -61,7 +62,7 @@ def map_texts(df: DataFrame, rows: Callable[[list, list], dict], schema: str) ->
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        from_spark = arrow_schema
+        from_spark, rows = arrow_schema, start()
         for batch in batches:
             if batch.num_rows:
                 out = rows(batch.column(0).to_pylist(), batch.column(1).to_pylist())

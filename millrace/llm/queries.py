@@ -4,11 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import common, exact_dedup, mix
+from millrace.llm import bpe, common, exact_dedup, mix, token_count
+
+
+def _documents(spark: SparkSession, folder: str) -> DataFrame:
+    return common.table(spark, folder, "documents")
+
+
+def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return bpe.encoded(_documents(spark, folder), ranks, public_tokenizers.PATTERN, with_ids=False)
+
+
+def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    pieces = token_count.read_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    return token_count.counted(_documents(spark, folder), pieces)
 
 
 def op7_mix(spark: SparkSession, folder: str) -> DataFrame:
-    docs = common.table(spark, folder, "documents").select("doc_id", "source", "text")
+    docs = _documents(spark, folder).select("doc_id", "source", "text")
     return mix.mixed(docs).select(
         "doc_id", mix.words_in().alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"),
         (F.col("_copies") * mix.words_in()).cast("bigint").alias("taken"))
@@ -40,7 +58,7 @@ FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source
 
 
 def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return exact_dedup.decisions(common.table(spark, folder, "documents"))
+    return exact_dedup.decisions(_documents(spark, folder))
 
 
 OP10_SQL = """
@@ -49,5 +67,5 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
-QUERIES = {"op7_mix": op7_mix, "op10_exact_dedup": op10_exact_dedup}
+QUERIES = {"op3_bpe": op3_bpe, "op9_token_counts": op9_token_counts, "op7_mix": op7_mix, "op10_exact_dedup": op10_exact_dedup}
 SQL = {"op7_mix": OP7_SQL, "op10_exact_dedup": OP10_SQL}
