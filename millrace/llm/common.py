@@ -57,8 +57,6 @@ def map_texts(df: DataFrame, start: Callable[[], Callable[[list, list], dict]],
     dict of equally long columns.
     """
     wanted = df.select(F.col("doc_id"), body().alias("text"))
-    names = [part.split()[0] for part in schema.split(",")]
-
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
@@ -66,7 +64,7 @@ def map_texts(df: DataFrame, start: Callable[[], Callable[[list, list], dict]],
         for batch in batches:
             if batch.num_rows:
                 out = rows(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-                yield pa.RecordBatch.from_arrays([pa.array(out[n], from_spark.field(n).type) for n in names], schema=from_spark)
+                yield pa.RecordBatch.from_arrays([pa.array(out[n], from_spark.field(n).type) for n in from_spark.names], schema=from_spark)
 
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string

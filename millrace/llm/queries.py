@@ -4,13 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import bpe, common, exact_dedup, mix, token_count
+from millrace.llm import bpe, common, exact_dedup, mix, quality, secrets, sketch, token_count, toxicity
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return common.table(spark, folder, "documents")
 
 
+def _labels(spark: SparkSession, folder: str) -> DataFrame:
+    return common.table(spark, folder, "labels")
+
+
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    found = toxicity.tagged(_documents(spark, folder), _labels(spark, folder))
+    return found.select(
+        "doc_id", common.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        F.transform("spans", lambda s: F.array(s["start"], s["end"])).alias("offsets"))
+
+
 def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
@@ -25,6 +36,23 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_count.counted(_documents(spark, folder), pieces)
 
 
+def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.scanned(_documents(spark, folder))
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{secrets.KINDS[k]}") for k in range(3)]
+    return found.select("doc_id", *counts, F.sha2(secrets.written(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+                        secrets.written(F.concat("base", "added")).alias("spans"))
+
+
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    found = quality.scored(_documents(spark, folder), _labels(spark, folder))
+    return found.select("doc_id", common.held_out().alias("held_out"), "score",
+                        (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return sketch.fingerprints(_documents(spark, folder))
+
+
 def op7_mix(spark: SparkSession, folder: str) -> DataFrame:
     docs = _documents(spark, folder).select("doc_id", "source", "text")
     return mix.mixed(docs).select(
@@ -67,5 +95,8 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
-QUERIES = {"op3_bpe": op3_bpe, "op9_token_counts": op9_token_counts, "op7_mix": op7_mix, "op10_exact_dedup": op10_exact_dedup}
+QUERIES = {
+    "op1_toxicity": op1_toxicity, "op3_bpe": op3_bpe, "op4_secrets": op4_secrets, "op5_quality": op5_quality, "op7_mix": op7_mix,
+    "op8_fingerprints": op8_fingerprints, "op9_token_counts": op9_token_counts, "op10_exact_dedup": op10_exact_dedup,
+}
 SQL = {"op7_mix": OP7_SQL, "op10_exact_dedup": OP10_SQL}
