@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import bpe, common, exact_dedup, mix, quality, secrets, sketch, token_count, toxicity
+from millrace.llm import bpe, common, exact_dedup, mix, near_dedup, quality, secrets, sketch, token_count, toxicity
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -53,6 +53,10 @@ def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return sketch.fingerprints(_documents(spark, folder))
 
 
+def op6_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.classes(_documents(spark, folder), near_dedup.Shape(width=4, percent=80))
+
+
 def op7_mix(spark: SparkSession, folder: str) -> DataFrame:
     docs = _documents(spark, folder).select("doc_id", "source", "text")
     return mix.mixed(docs).select(
@@ -96,7 +100,7 @@ FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
 QUERIES = {
-    "op1_toxicity": op1_toxicity, "op3_bpe": op3_bpe, "op4_secrets": op4_secrets, "op5_quality": op5_quality, "op7_mix": op7_mix,
-    "op8_fingerprints": op8_fingerprints, "op9_token_counts": op9_token_counts, "op10_exact_dedup": op10_exact_dedup,
+    "op1_toxicity": op1_toxicity, "op3_bpe": op3_bpe, "op4_secrets": op4_secrets, "op5_quality": op5_quality, "op6_near_dedup": op6_near_dedup,
+    "op7_mix": op7_mix, "op8_fingerprints": op8_fingerprints, "op9_token_counts": op9_token_counts, "op10_exact_dedup": op10_exact_dedup,
 }
 SQL = {"op7_mix": OP7_SQL, "op10_exact_dedup": OP10_SQL}
