@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import bpe, common, exact_dedup, mix, near_dedup, quality, secrets, sketch, token_count, toxicity
+from millrace.llm import bpe, common, exact_dedup, mix, near_dedup, quality, secrets, sketch, substring_dedup, token_count, toxicity
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -22,6 +22,11 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         F.transform("spans", lambda s: F.array(s["start"], s["end"])).alias("offsets"))
 
 
+def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.deduplicated(_documents(spark, folder)).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
@@ -100,7 +105,7 @@ FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
 QUERIES = {
-    "op1_toxicity": op1_toxicity, "op3_bpe": op3_bpe, "op4_secrets": op4_secrets, "op5_quality": op5_quality, "op6_near_dedup": op6_near_dedup,
-    "op7_mix": op7_mix, "op8_fingerprints": op8_fingerprints, "op9_token_counts": op9_token_counts, "op10_exact_dedup": op10_exact_dedup,
-}
+    f.__name__: f for f in (
+        op1_toxicity, op2_substring_dedup, op3_bpe, op4_secrets, op5_quality, op6_near_dedup, op7_mix, op8_fingerprints,
+        op9_token_counts, op10_exact_dedup)}
 SQL = {"op7_mix": OP7_SQL, "op10_exact_dedup": OP10_SQL}
