@@ -80,13 +80,12 @@ def decisions(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
 
 def deduplicated(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
     """The rows of `docs` that stay, all columns, one for each distinct text."""
-    named = [docs[c] for c in docs.columns]
-    kept = decisions(docs, counters).where("kept").groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_digest")).agg(
-        F.count("*").alias("_ties"))
-    digest = F.sha2(body().cast("binary"), 256)
-    joined = docs.withColumn("_sha", digest).join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_digest")))
-    single = joined.where("_ties = 1").select(*named)
+    kept = decisions(docs, counters).where("kept").groupBy(F.col("doc_id").alias("of"), F.col("text_sha256").alias("digest")).agg(
+        F.count("*").alias("ties"))
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
+    rows = docs.select(row, docs["doc_id"].alias("id"), F.sha2(body().cast("binary"), 256).alias("sha"))
+    joined = rows.join(kept, F.col("id").eqNullSafe(F.col("of")) & (F.col("sha") == F.col("digest"))).select("row", "of", "digest", "ties")
     # Rows that repeat id and text: any one of them, chosen by its other columns.
-    order = Window.partitionBy("_id", "_digest").orderBy(F.xxhash64(*named))
-    repeated = joined.where("_ties > 1").withColumn("_nth", F.row_number().over(order)).where("_nth = 1").select(*named)
-    return single.unionByName(repeated)
+    order = Window.partitionBy("of", "digest").orderBy(F.xxhash64("row"))
+    repeated = joined.where("ties > 1").withColumn("nth", F.row_number().over(order)).where("nth = 1")
+    return joined.where("ties = 1").select("row.*").unionByName(repeated.select("row.*"))

@@ -72,23 +72,21 @@ def targets(
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
-    """Every document once, with `_source_size`, `_target` and `_copies`, how often the mix takes it.
+    """Every document once: `row` (all its columns), `source_size, target, copies`; copies is how often the mix takes it.
 
     The coin depends on doc_id alone, so repeated rows of one id share it and reruns agree; a NULL id counts as one id.
     """
-    by_source = targets(docs, **options).select(
-        F.col("source").alias("_source"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target"),
-        F.col("rate").alias("_rate"))
+    by_source = targets(docs, **options).withColumnRenamed("source", "of")
     if by_source.count() <= BROADCAST_SOURCES:
         by_source = F.broadcast(by_source)
-    whole = F.floor("_rate")
-    coin = (key_fraction("doc_id", SALT) < F.col("_rate") - whole).cast("int")
-    joined = docs.join(by_source, docs["source"].eqNullSafe(by_source["_source"]))
-    return joined.withColumn("_copies", (whole + coin).cast("int")).drop("_source", "_rate")
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    whole = F.floor("rate")
+    coin = (key_fraction("row.doc_id", SALT) < F.col("rate") - whole).cast("int")
+    return rows.join(by_source, F.col("row.source").eqNullSafe(F.col("of"))).select(
+        "row", "source_size", "target", (whole + coin).cast("int").alias("copies"))
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: rows of `docs`, each as often as its source's rate asks for."""
-    marked = mixed(docs, **options)
-    copies = marked.where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return copies.select(*[copies[c] for c in docs.columns])
+    taken = mixed(docs, **options).where("copies > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

@@ -64,9 +64,9 @@ def op6_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def op7_mix(spark: SparkSession, folder: str) -> DataFrame:
     docs = _documents(spark, folder).select("doc_id", "source", "text")
+    size = mix.words_in("row.text")
     return mix.mixed(docs).select(
-        "doc_id", mix.words_in().alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"),
-        (F.col("_copies") * mix.words_in()).cast("bigint").alias("taken"))
+        "row.doc_id", size.alias("size"), "source_size", "target", (F.col("copies") * size).cast("bigint").alias("taken"))
 
 
 OP7_SQL = f"""
