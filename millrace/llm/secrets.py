@@ -1,9 +1,9 @@
 """Secret scans: known patterns, and character Markov models for strings that look random.
 
 Two first-order models of characters, one of random strings and one of ordinary identifiers, are counted over labelled
-samples: values that the known patterns find, with seeded random strings of usual alphabets, against all other tokens. A
-token whose log-likelihood ratio per character is high enough is reported as well. Counting is a Spark aggregation over pairs
-of characters, so the models are two small tables whatever the corpus holds.
+samples: values that the known patterns find, with seeded random strings of usual alphabets, against other tokens and
+identifiers joined from them. A token whose log-likelihood ratio per character is high enough is reported as well. Counting is
+a Spark aggregation over pairs of characters, so the models are two small tables whatever the corpus holds.
 """
 
 from __future__ import annotations
@@ -25,10 +25,12 @@ KINDS = ("assign", "access", "hex", "markov")
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{6,}")
+DIGIT, LETTER = re.compile("[0-9]"), re.compile("[A-Za-z]")
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-."
 SAMPLE = 10_000  # documents the models are counted on, about
 DRAWN = 4_000  # random strings added to what the patterns find
-LEAST = 1.0  # log-likelihood ratio per character from which a token is reported
+BACK = 20.0  # counts that the frequency of single characters stands for
+LEAST = 2.4  # log-likelihood ratio per character from which a token is reported
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -50,7 +52,7 @@ def _drawn() -> list[str]:
 
 
 def count_pairs() -> Callable[[list, list], dict]:
-    """Character pairs of each batch: label 1 inside values of known secrets, 0 in the other tokens."""
+    """Character pairs of each batch: label 1 inside values of known secrets, 0 in ordinary tokens."""
     from collections import Counter
 
     def rows(ids: list, texts: list) -> dict:
@@ -60,12 +62,18 @@ def count_pairs() -> Callable[[list, list], dict]:
             for start, end, kind in spans:
                 value = ASSIGN.match(text, start).group(2) if kind == 0 else text[start:end]
                 pairs.update((1, a, b) for a, b in zip(value, value[1:]))
-            last, end = 0, -1
+            last, end, before, seen = 0, -1, "", 0
             for m in TOKEN.finditer(text):
                 while last < len(spans) and spans[last][0] < m.end():
                     end, last = max(end, spans[last][1]), last + 1
-                if end <= m.start():
-                    word = m.group()
+                word = m.group()
+                # Long mixtures of letters and digits bear no label: they may be secrets no pattern knows.
+                if end <= m.start() and (len(word) < 16 or DIGIT.search(word) is None or LETTER.search(word) is None):
+                    seen += 1
+                    if seen % 4 == 0:  # identifiers made of the corpus' own words
+                        word = (f"{before}_{word}", f"{before}{word.capitalize()}", f"{before}-{word}", f"{word}{seen % 100}")[seen // 4 % 4]
+                    else:
+                        before = word
                     pairs.update((0, a, b) for a, b in zip(word, word[1:]))
         return {"label": [k[0] for k in pairs], "pair": [k[1] + k[2] for k in pairs], "n": list(pairs.values())}
 
@@ -75,7 +83,7 @@ def count_pairs() -> Callable[[list, list], dict]:
 def learn(docs: DataFrame, rows: int = SAMPLE):
     """Log-likelihood ratio of each character pair as an array over ALPHABET x ALPHABET.
 
-    Counted over about `rows` documents chosen by a hash of their id. Pairs never seen are smoothed by half a count.
+    Counted over about `rows` documents chosen by a hash of their id. Pairs are smoothed by how frequent their second character is.
     """
     import numpy as np
 
@@ -83,13 +91,15 @@ def learn(docs: DataFrame, rows: int = SAMPLE):
     sample = docs if there <= rows else docs.where(key_fraction("doc_id", "secrets") < rows / there)
     counted = map_texts(sample, count_pairs, "label int, pair string, n bigint").groupBy("label", "pair").agg(F.sum("n").alias("n"))
     place = {c: i for i, c in enumerate(ALPHABET)}
-    counts = np.full((2, len(ALPHABET), len(ALPHABET)), 0.5)
+    counts = np.zeros((2, len(ALPHABET), len(ALPHABET)))
     for r in counted.collect():  # two labels and the pairs of a fixed alphabet
         counts[r["label"], place[r["pair"][0]], place[r["pair"][1]]] += r["n"]
     for word in _drawn():
         for a, b in zip(word, word[1:]):
             counts[1, place[a], place[b]] += 1
-    chance = counts / counts.sum(2, keepdims=True)
+    single = counts.sum(1, keepdims=True) + 0.5
+    single = single / single.sum(2, keepdims=True)
+    chance = (counts + BACK * single) / (counts.sum(2, keepdims=True) + BACK)
     return np.log(chance[1] / chance[0])
 
 
