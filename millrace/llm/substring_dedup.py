@@ -307,17 +307,10 @@ def _send_anchors(tasks: int):
     return run
 
 
-def _per_document(ids, ties, values, width: int = 1):
-    """Rows (id, tie, binary) of the values of each document."""
-    import numpy as np
+def _found(ids, ties, values):
     import pyarrow as pa
 
-    order = np.lexsort((ties, ids))
-    ids, ties, values = ids[order], ties[order], values[order]
-    heads = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (ties[1:] != ties[:-1])]) if len(ids) else np.zeros(0, np.int64)
-    raw, edges = values.astype(np.int32), np.append(heads, len(ids))
-    packed = [raw[a:b].tobytes() for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
-    return pa.RecordBatch.from_arrays([pa.array(ids[heads]), pa.array(ties[heads]), pa.array(packed, pa.binary())], names=["id", "tie", "found"])
+    return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ties), pa.array(values.astype("int64"))], names=["id", "tie", "found"])
 
 
 def _find_candidates(batches: Iterator) -> Iterator:
@@ -331,7 +324,7 @@ def _find_candidates(batches: Iterator) -> Iterator:
         chosen = (many[where] > 1) & ~np.concatenate([b[1] for b in blobs])
         ids, ties, starts = (np.concatenate([b[k][b[4]] if k < 4 else b[5] for b in blobs]) for k in (2, 3, 5))
         told = [np.concatenate([b[k][b[8]] if k < 8 else b[9] for b in blobs]) for k in (6, 7, 9)]
-        yield _per_document(*(np.concatenate([x[chosen], y]) for x, y in zip((ids, ties, starts), told)))
+        yield _found(*(np.concatenate([x[chosen], y]) for x, y in zip((ids, ties, starts), told)))
 
 
 def _send_segments(tasks: int):
@@ -342,7 +335,7 @@ def _send_segments(tasks: int):
         for rows in _portions(batches, 2):
             docs, codes, doc, base = _encoded(rows, words, 2)
             starts, counts, anchor, _ = segments(codes, doc)
-            wanted = [np.frombuffer(b"".join(r[3]), np.int32).astype(np.int64) + base[i] for i, r in enumerate(docs)]
+            wanted = [np.array(r[3], np.int64) + base[i] for i, r in enumerate(docs)]
             chosen = np.isin(starts, np.concatenate(wanted))
             starts, lengths, anchor = starts[chosen], counts[chosen] + WINDOW - 1, anchor[chosen]
             symbols, begins = _take(codes, starts, lengths)
@@ -365,7 +358,7 @@ def _send_segments(tasks: int):
 
 
 def _search_shards(batches: Iterator) -> Iterator:
-    """Ranges of words to remove, per document, from the segments of each shard."""
+    """Ranges of words to remove from the segments of each shard: begin and end in the upper and lower half of a number."""
     import numpy as np
 
     for _, blobs in _groups(batches):
@@ -385,9 +378,8 @@ def _search_shards(batches: Iterator) -> Iterator:
         of = indexed[runs[:, 0]]
         at = [place[of] + runs[:, 1], place[copies], later[2]]
         to = [at[0] + runs[:, 2] + WINDOW - 1, place[copies] + lengths[copies], later[2] + later[3]]
-        yield _per_document(
-            np.concatenate([ids[of], ids[copies], later[0]]), np.concatenate([ties[of], ties[copies], later[1]]),
-            np.stack([np.concatenate(at), np.concatenate(to)], axis=1))
+        yield _found(np.concatenate([ids[of], ids[copies], later[0]]), np.concatenate([ties[of], ties[copies], later[1]]),
+                     (np.concatenate(at).astype(np.int64) << 32) | np.concatenate(to))
 
 
 def _remove(batches: Iterator) -> Iterator:
@@ -402,9 +394,9 @@ def _remove(batches: Iterator) -> Iterator:
             n = len(words)
             if found:
                 edges = np.zeros(n + 1, np.int64)
-                ranges = np.frombuffer(b"".join(found), np.int32).reshape(-1, 2)
-                np.add.at(edges, ranges[:, 0], 1)
-                np.add.at(edges, ranges[:, 1], -1)
+                ranges = np.array(found, np.int64)
+                np.add.at(edges, ranges >> 32, 1)
+                np.add.at(edges, ranges & 0xFFFFFFFF, -1)
                 stays = (edges.cumsum()[:n] == 0).tolist()
                 words = [w for w, s in zip(words, stays) if s]
             sizes.append(n)
@@ -434,7 +426,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     anchor_tasks = min(MOST_TASKS, max(8, words // ANCHOR_WORDS))
     shards = max(8, words // SHARD_WORDS)
     anchors = keyed.select("id", "tie", "text").mapInArrow(_send_anchors(anchor_tasks), "shard int, blob binary")
-    found = "id bigint, tie int, found binary"
+    found = "id bigint, tie int, found bigint"
     candidates = _dealt(anchors, anchor_tasks).mapInArrow(_find_candidates, found).groupBy("id", "tie").agg(
         F.collect_list("found").alias("starts"))
     # The same columns as in the last join, so both read one shuffle of the texts.
