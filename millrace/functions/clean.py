@@ -72,11 +72,11 @@ def matches_from_start(c: str | Column, pattern: str) -> Column:
 
 
 def clip(c: str | Column, low: float | Column, high: float | Column) -> Column:
-    """Clip to [low, high]; `greatest`/`least` skip NULLs, so missing values are kept missing here."""
+    """Clip to [low, high]; a missing value, NULL or NaN, stays what it is."""
     c = as_column(c)
     low = low if isinstance(low, Column) else F.lit(low)
     high = high if isinstance(high, Column) else F.lit(high)
-    return F.when(c.isNotNull(), F.least(F.greatest(c, low), high))
+    return F.when(c.isNull() | F.isnan(c), c).otherwise(F.least(F.greatest(c, low), high))
 
 
 def right_closed_bucket(c: str | Column, edges: Sequence[float] = AGE_EDGES) -> Column:

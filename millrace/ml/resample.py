@@ -1,7 +1,8 @@
 """Class-imbalance resampling of training rows: DataFrame in, DataFrame out.
 
 Every choice (which rows, which neighbour, how far) comes from hashes of the row key, so results are repeatable. Row
-keys are non-negative whole numbers; synthetic rows get negative ones.
+keys are non-negative whole numbers; synthetic rows get negative ones. A missing label is a class of its own. A row with a
+missing feature has no neighbours and is nobody's neighbour: SMOTE repeats it as it is, cleaning keeps it.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions.keys import key_hash, key_uniform
 from millrace.ml.split import hash_prefix, hash_rank
+from millrace.operators.joins import join_null_safe, join_small
 from millrace.operators.neighbours import knn_join, vectors
 from millrace.session import materialise
 
@@ -41,7 +43,7 @@ def _with_quota(df: DataFrame, key: str, label: str, seed: int | str) -> DataFra
     sizes = class_sizes(df, label)
     largest = sizes.agg(F.max("_n")).scalar()
     wanted = sizes.withColumn("_want", largest - F.col("_n"))
-    ranked = hash_rank(df, key, [label], seed, "_rank").join(wanted, label)
+    ranked = join_small(hash_rank(df, key, [label], seed, "_rank"), wanted, [label])
     extra = F.expr("_want div _n") + (F.col("_rank") <= F.col("_want") % F.col("_n")).cast("bigint")
     return ranked.withColumn("_extra", extra).select(*df.columns, "_extra")
 
@@ -75,7 +77,7 @@ def smote(
     quota = _with_quota(rows, "_id", "_y", seed)
     numbered = hash_prefix(quota, "_id", {"_upto": F.col("_extra")}, seed=seed)
     growing = numbered.where(F.col("_extra") > 0)
-    small = rows.join(growing.select("_y").distinct(), "_y", "left_semi")
+    small = join_null_safe(rows, growing.select("_y").distinct(), ["_y"], "left_semi")
     points = vectors(small, "_id", features, "_y")
     near = knn_join(points, points, k, exclude_self=True, **join_options)
     donors = rows.select(F.col("_id").alias("donor_id"), F.struct(*columns).alias("_d"))
@@ -119,7 +121,7 @@ def tomek_links(df: DataFrame, key: str, label: str, features: Sequence[str], **
     labels = df.select(F.col(key).cast("bigint").alias("_k"), F.col(label).alias("_l"))
     a = labels.withColumnsRenamed({"_k": "a", "_l": "a_label"})
     b = labels.withColumnsRenamed({"_k": "b", "_l": "b_label"})
-    return mutual.join(a, "a").join(b, "b").where("a_label <> b_label")
+    return mutual.join(a, "a").join(b, "b").where("NOT a_label <=> b_label")
 
 
 def drop_tomek_links(
@@ -137,8 +139,9 @@ def drop_tomek_links(
         sizes = class_sizes(df, label) if sizes is None else sizes
         a = sizes.select(F.col(label).alias("a_label"), F.col("_n").alias("a_n"))
         b = sizes.select(F.col(label).alias("b_label"), F.col("_n").alias("b_n"))
-        sized = links.join(a, "a_label").join(b, "b_label")
-        larger = (F.col("a_n") > F.col("b_n")) | ((F.col("a_n") == F.col("b_n")) & (F.col("a_label") > F.col("b_label")))
+        sized = join_small(join_small(links, a, ["a_label"]), b, ["b_label"])
+        higher = F.struct("a_label") > F.struct("b_label")  # a missing label is the lowest
+        larger = (F.col("a_n") > F.col("b_n")) | ((F.col("a_n") == F.col("b_n")) & higher)
         doomed = sized.where(larger).select(F.col("a").alias("_doomed"))
     return df.join(doomed, F.col(key).cast("bigint") == F.col("_doomed"), "left_anti")
 
@@ -153,7 +156,7 @@ def edited_neighbours(
     other = labels.withColumnsRenamed({"_k": "donor_id", "_l": "_other"})
     own = labels.withColumnsRenamed({"_k": "query_id", "_l": "_own"})
     votes = near.join(other, "donor_id").join(own, "query_id").groupBy("query_id").agg(
-        F.count_if(F.col("_other") != F.col("_own")).alias("_against"), F.count(F.lit(1)).alias("_all"))
+        F.count_if(~F.col("_other").eqNullSafe(F.col("_own"))).alias("_against"), F.count(F.lit(1)).alias("_all"))
     wrong = F.col("_against") * 2 > F.col("_all") if rule == "majority" else F.col("_against") > 0
     doomed = votes.where(wrong).select(F.col("query_id").alias("_doomed"))
     return df.join(doomed, F.col(key).cast("bigint") == F.col("_doomed"), "left_anti")

@@ -7,17 +7,21 @@ rows are ranked inside a part, and the number of rows in earlier parts is added
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.functions.keys import HASH_BITS, key_hash
+from millrace.operators.joins import join_null_safe, join_small
 from millrace.operators.ordered import ROWS_PER_SLICE, row_index
+from millrace.session import materialise
 
-# The hash range is cut into 2**PART_BITS parts of equal width; hashes are uniform, so parts are equally full.
+# The hash range is cut into parts of equal width; hashes are uniform, so parts are equally full. There are 2**PART_BITS of
+# them, or as many more as keep them at ROWS_PER_PART rows; their number does not change any rank.
 PART_BITS = 12
-# Groups placed one by one by size; a larger number of groups is completed by group hash.
-GREEDY_GROUPS = 100_000
+ROWS_PER_PART = 1_000_000
+CHUNK = 10_000
 
 
 def hash_prefix(
@@ -25,15 +29,17 @@ def hash_prefix(
 ) -> DataFrame:
     """Running sums (own row included) in key-hash order, separately for each `within` value. Keys must be unique."""
     h = key_hash(key, seed=seed)
-    base = df.withColumns({"_h": h, "_part": F.shiftright(h, HASH_BITS - PART_BITS).cast("int")})
+    rows = df.count()
+    bits = max(PART_BITS, math.ceil(math.log2(max(1, rows) / ROWS_PER_PART)))
+    base = df.withColumns({"_h": h, "_part": F.shiftright(h, HASH_BITS - bits).cast("bigint")})
     totals = base.groupBy(*within, "_part").agg(*[F.sum(c).alias(f"_t_{o}") for o, c in sums.items()])
     earlier = Window.partitionBy(*within).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(*within, "_part", *[
         F.coalesce(F.sum(f"_t_{o}").over(earlier), F.lit(0)).alias(f"_c_{o}") for o in sums])
-    carry = carry if within else F.broadcast(carry)  # at most 2**PART_BITS rows without further keys
     inner = Window.partitionBy(*within, "_part").orderBy("_h", key).rowsBetween(Window.unboundedPreceding, 0)
     running = base.select("*", *[F.sum(c).over(inner).alias(f"_r_{o}") for o, c in sums.items()])
-    return running.join(carry, [*within, "_part"], "left").select(
+    joined = join_small(running, carry, [*within, "_part"])
+    return joined.select(
         *df.columns, *[(F.col(f"_r_{o}") + F.col(f"_c_{o}")).alias(o) for o in sums])
 
 
@@ -46,14 +52,14 @@ def train_test_split(
     df: DataFrame, key: str, test_size: float = 0.2, stratify: str | None = None, seed: int | str = 42,
     out: str = "is_test",
 ) -> DataFrame:
-    """Mark ceil(test_size * n) rows as test rows, of the whole table or of every class."""
+    """Mark ceil(test_size * n) rows as test rows, of the whole table or of every class; a missing class is a class."""
     share = F.lit(float(test_size))
     if stratify is None:
         total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
         ranked = hash_rank(df, key, seed=seed, out="_rank")
         return ranked.withColumn(out, F.col("_rank") <= F.ceil(share * total)).drop("_rank")
     sizes = df.groupBy(stratify).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = hash_rank(df, key, [stratify], seed, "_rank").join(sizes, stratify)
+    ranked = join_small(hash_rank(df, key, [stratify], seed, "_rank"), sizes, [stratify])
     return ranked.withColumn(out, F.col("_rank") <= F.ceil(share * F.col("_n"))).select(*df.columns, out)
 
 
@@ -68,26 +74,54 @@ def group_kfold_by_hash(df: DataFrame, group: str, k: int = 5, seed: int | str =
     return df.withColumn(out, F.pmod(key_hash(group, seed=seed), F.lit(k)).cast("int"))
 
 
-def group_kfold(
-    df: DataFrame, group: str, k: int = 5, seed: int | str = 42, out: str = "fold", greedy_groups: int = GREEDY_GROUPS
-) -> DataFrame:
-    """Groups from the largest to the smallest go to the lightest fold so far.
+def _dealt(sizes: list[tuple[int, int]], k: int) -> list[tuple[int, int, list[int], list[int]]]:
+    """Greedy placement of groups, given (size, how many groups) from the largest size on.
 
-    The largest `greedy_groups` groups are placed this way; any further, smaller ones go by group hash.
+    Each group goes to the lightest fold so far, the lowest on ties. For every size: (size, groups, fold loads before, groups
+    each fold gets). Groups of one size go to the folds in the order of load + j * size, so only their number per fold counts.
+    """
+    loads, out = [0] * k, []
+    for size, many in sizes:
+        low, high = min(loads), max(loads) + size * (many + 1)
+        while low < high:  # the largest load up to which at most `many` groups start
+            level = (low + high + 1) // 2
+            if sum(max(0, -((load - level) // size)) for load in loads) <= many:
+                low = level
+            else:
+                high = level - 1
+        got = [max(0, -((load - low) // size)) for load in loads]
+        for f in range(k):  # the rest starts at exactly that load, in order of the folds
+            if sum(got) < many and loads[f] + got[f] * size == low:
+                got[f] += 1
+        out.append((size, many, list(loads), got))
+        loads = [load + n * size for load, n in zip(loads, got)]
+    return out
+
+
+def group_kfold(df: DataFrame, group: str, k: int = 5, seed: int | str = 42, out: str = "fold") -> DataFrame:
+    """Groups from the largest to the smallest, equal ones in key-hash order, go to the lightest fold so far.
+
+    Only the table of distinct group sizes comes to the driver (n rows have fewer than sqrt(2n)); which fold the i-th group of
+    a size gets is computed for all groups at once. A missing group is a group.
     """
     spark = df.sparkSession
-    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.orderBy(F.desc("n"), group).limit(greedy_groups).collect()
-    loads = [0] * k
-    placed = []
-    for row in largest:
-        lightest = loads.index(min(loads))
-        loads[lightest] += row["n"]
-        placed.append((row[group], lightest))
-    dtype = df.schema[group].dataType.simpleString()
-    table = spark.createDataFrame(placed, f"`{group}` {dtype}, _placed int")
-    by_hash = F.pmod(key_hash(group, seed=seed), F.lit(k)).cast("int")
-    return df.join(table, group, "left").withColumn(out, F.coalesce("_placed", by_hash)).select(*df.columns, out)
+    sizes = materialise(df.groupBy(group).agg(F.count(F.lit(1)).alias("_size")), "groups")
+    counted = sorted(((r["_size"], r["count"]) for r in sizes.groupBy("_size").count().collect()), reverse=True)
+    plan = [(size, f, n, loads) for size, _, loads, got in _dealt(counted, k) for f, n in enumerate(got) if n]
+    table = spark.createDataFrame(plan, "_size bigint, _placed int, _n bigint, _loads array<bigint>")
+    chunks = table.withColumn("_chunk", F.explode(F.expr(f"sequence(0L, (_n - 1) div {CHUNK})")))
+    start = F.col("_chunk") * CHUNK
+    turns = chunks.repartition("_size", "_placed", "_chunk").withColumn(
+        "_j", F.explode(F.sequence(start, F.least(start + CHUNK, F.col("_n")) - 1)))
+    # How many groups of the size go before the j-th one of this fold: for each fold those at a lower load, on ties those of
+    # lower folds.
+    ahead = "(_at - if(g < _placed, 0L, 1L) - element_at(_loads, g + 1))"
+    before = f"aggregate(sequence(0, size(_loads) - 1), 0L, (t, g) -> t + if({ahead} < 0, 0L, {ahead} div _size + 1))"
+    turns = turns.withColumn("_at", F.expr("element_at(_loads, _placed + 1) + _j * _size")).select(
+        "_size", "_placed", (F.expr(before) + 1).alias("_rank"))
+    ranked = hash_rank(sizes, group, ["_size"], seed, "_rank")
+    placed = ranked.join(turns, ["_size", "_rank"]).select(group, F.col("_placed").alias(out))
+    return join_null_safe(df, placed, [group]).select(*df.columns, out)
 
 
 def expanding_folds(

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions.temporal import day_month, on_common_year
+from millrace.operators.profile import numbered
 from millrace.operators.ordered import centered_mean
 
 # Resampling frequencies and their calendar unit.
@@ -50,11 +51,17 @@ def resample(df: DataFrame, ts: str, value: str, freq: str = "D") -> DataFrame:
 def date_range(spark, start: str, end: str | None = None, periods: int | None = None, freq: str = "6 hours") -> DataFrame:
     """Evenly spaced timestamps from `start` through `end`, or `periods` of them: one column `timestamp`."""
     first = f"timestamp_ntz'{start}'"
+    at = F.expr(f"{first} + id * interval {freq}").alias("timestamp")
     if periods is not None:
-        count = spark.range(periods)
-        return count.select(F.expr(f"{first} + id * interval {freq}").alias("timestamp"))
-    return spark.range(1).select(
-        F.explode(F.expr(f"sequence({first}, timestamp_ntz'{end}', interval {freq})")).alias("timestamp"))
+        return spark.range(periods).select(at)
+    # No month is shorter than nine tenths of any other: so many steps reach the end, and what is beyond is left out.
+    span, step = spark.range(1).select(
+        F.expr(f"timestampdiff(MICROSECOND, {first}, timestamp_ntz'{end}')"),
+        F.expr(f"timestampdiff(MICROSECOND, {first}, {first} + interval {freq})")).first()
+    if step <= 0:
+        raise ValueError("the step must lead forward")
+    steps = 0 if span < 0 else span * 10 // (step * 9) + 2
+    return spark.range(steps).select(at).where(F.col("timestamp") <= F.expr(f"timestamp_ntz'{end}'"))
 
 
 def rolling_climatology(daily: DataFrame, values: Sequence[str], key: str = "DayMonth", half: int = 3) -> DataFrame:
@@ -93,7 +100,7 @@ def missing_days(df: DataFrame, date: str, by: Sequence[str] = ()) -> DataFrame:
 def duplicate_days(df: DataFrame, date: str, by: Sequence[str] = ()) -> DataFrame:
     """Every occurrence of a day after its first one."""
     extra = observed_days(df, date, by).where("n > 1")
-    return extra.select(*by, "day", F.explode(F.sequence(F.lit(1), F.col("n") - 1)).alias("repeat"))
+    return numbered(extra.withColumn("n", F.col("n") - 1), "n", "repeat").select(*by, "day", "repeat")
 
 
 def continuity_report(df: DataFrame, date: str, by: Sequence[str] = ()) -> DataFrame:

@@ -57,6 +57,11 @@ def nearest_in_block(queries: np.ndarray, donors: np.ndarray, donor_rank: np.nda
             yield i, near[j], exact[j]
 
 
+def _complete(df: DataFrame) -> DataFrame:
+    """Rows that can be compared: those with a vector that has no missing part."""
+    return df.where(F.col("vec").isNotNull() & F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x)))
+
+
 def _collapse(df: DataFrame, keep: int) -> DataFrame:
     """One row per distinct (group, vector): its lowest id and its `keep` lowest ids."""
     w = Window.partitionBy("grp", "vec").orderBy("id")
@@ -72,9 +77,13 @@ def knn_join(
     """(grp, query_id, donor_id, distance, rank) for the k nearest donors of every query row.
 
     Both tables have `id bigint`, `vec array<double>` and `grp string` (queries only meet donors of their group).
-    With `exclude_self` a row is not its own neighbour (same id).
+    With `exclude_self` a row is not its own neighbour (same id). A row whose vector is missing or has a missing part, NULL or
+    NaN, has no neighbours and is nobody's neighbour.
     """
     spark = queries.sparkSession
+    alone = queries is donors
+    donors = _complete(donors)
+    queries = donors if alone else _complete(queries)
     wanted = k + 1 if exclude_self else k
     d = materialise(_collapse(donors.select("id", "vec", "grp"), wanted), "donors")
     q = d if queries is donors else _collapse(queries.select("id", "vec", "grp"), 1)
@@ -212,5 +221,5 @@ def _blocked(spark: SparkSession, q: DataFrame, d: DataFrame, k: int, block_rows
 def vectors(df: DataFrame, key: str, columns: Sequence[str], group: str | None = None) -> DataFrame:
     """Rows in the shape `knn_join` takes, from plain numeric columns."""
     vec = F.array(*[F.col(c).cast("double") for c in columns])
-    grp = F.col(group).cast("string") if group else F.lit("all")
+    grp = F.coalesce(F.col(group).cast("string"), F.lit("\x00missing")) if group else F.lit("all")
     return df.select(F.col(key).cast("bigint").alias("id"), vec.alias("vec"), grp.alias("grp"))

@@ -16,6 +16,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from millrace.operators.joins import join_small
+
 ROWS_PER_SLICE = 2_000_000
 MAX_SLICES = 2_000
 SLICE = "_slice"
@@ -101,8 +103,7 @@ def _order_columns(order: str, tie: str | None) -> list[str]:
 
 def _join_carry(df: DataFrame, carry: DataFrame, by: Sequence[str]) -> DataFrame:
     # Without further keys the carry table has at most one row per slice, a fixed small bound.
-    carry = carry if by else F.broadcast(carry)
-    return df.join(carry, [*by, SLICE], "left")
+    return join_small(df, carry, [*by, SLICE]) if by else df.join(F.broadcast(carry), SLICE, "left")
 
 
 def running_sums(

@@ -5,7 +5,27 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+from millrace.operators.joins import join_small
+
+
+LISTED_PER_CHUNK = 10_000
+
+
+def missing(df: DataFrame, column: str) -> Column:
+    """Whether the value is missing: NULL, or NaN in a column of floating-point numbers."""
+    value = df[column]
+    return value.isNull() | F.isnan(value) if df.schema[column].dataType in (T.DoubleType(), T.FloatType()) else value.isNull()
+
+
+def numbered(df: DataFrame, times: str, out: str) -> DataFrame:
+    """Each row `times` times, numbered from 1; rows with very many repeats are cut into chunks that are spread over tasks."""
+    last = F.expr(f"({times} - 1) div {LISTED_PER_CHUNK}")
+    chunks = df.where(F.col(times) > 0).withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    start = F.col("_chunk") * LISTED_PER_CHUNK
+    spread = chunks.repartition(*[c for c in chunks.columns])
+    return spread.withColumn(out, F.explode(F.sequence(start + 1, F.least(start + LISTED_PER_CHUNK, F.col(times))))).drop("_chunk")
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -29,10 +49,10 @@ def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None) -> Data
 
 
 def missing_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Missing count and percentage per column; the percentage of an empty table is NULL."""
+    """Missing count and percentage per column (NaN is missing); the percentage of an empty table is NULL."""
     columns = list(columns or df.columns)
-    aggregates = [F.count_if(F.col(c).isNull()).alias(f"nulls_{i}") for i, c in enumerate(columns)]
-    aggregates += [(F.try_divide(F.count_if(F.col(c).isNull()), F.count(F.lit(1))) * 100).alias(f"pct_{i}")
+    aggregates = [F.count_if(missing(df, c)).alias(f"nulls_{i}") for i, c in enumerate(columns)]
+    aggregates += [(F.try_divide(F.count_if(missing(df, c)), F.count(F.lit(1))) * 100).alias(f"pct_{i}")
                    for i, c in enumerate(columns)]
     return unpivot_row(df.agg(*aggregates),
                        {c: {"null_count": f"nulls_{i}", "null_pct": f"pct_{i}"} for i, c in enumerate(columns)})
@@ -48,7 +68,7 @@ def duplicate_counts(df: DataFrame, column: str) -> DataFrame:
 def repeated_values(df: DataFrame, column: str) -> DataFrame:
     """Every occurrence of a value after its first, counted before it is listed: (value, repeat)."""
     per_value = df.groupBy(column).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    return per_value.select(column, F.explode(F.sequence(F.lit(1), F.col("_n") - 1)).alias("repeat"))
+    return numbered(per_value.withColumn("_n", F.col("_n") - 1), "_n", "repeat").select(column, "repeat")
 
 
 def cardinality(df: DataFrame, columns: Sequence[str], approximate: bool = False) -> DataFrame:
@@ -94,7 +114,7 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 def with_class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     weights = class_weights(df, label).select(label, F.col("weight").alias(out))
-    return df.join(weights, label, "left")
+    return join_small(df, weights, [label])
 
 
 def size_check(df: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from millrace.operators.joins import join_small
+
 Step = Callable[[DataFrame], DataFrame]
 
 
@@ -73,7 +75,7 @@ def with_group_summary(group: str, value: str, counted: str, category: str) -> S
     """
 
     def step(df: DataFrame) -> DataFrame:
-        return df.join(group_summary(group, value, counted, category)(df), group, "left")
+        return join_small(df, group_summary(group, value, counted, category)(df), [group])
 
     return step
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.functions.clean import holds, matches_from_start
 from millrace.functions.temporal import parse_date_or_null
+from millrace.operators.profile import missing
 
 EXAMPLES = 3
 
@@ -73,7 +74,7 @@ class Suite:
         return self._row("range", column, lambda df: ~holds(df[column].between(low, high)), f"[{low}, {high}]")
 
     def no_nulls(self, column: str) -> "Suite":
-        return self._row("no_nulls", column, lambda df: df[column].isNull(), "no missing values")
+        return self._row("no_nulls", column, lambda df: missing(df, column), "no missing values")
 
     def null_percentage(self, column: str, max_percent: float) -> "Suite":
         """Fails above, not at, the limit; an empty table passes."""
@@ -129,7 +130,7 @@ class Suite:
         rules = [r for r in self.rows if r.column in df.columns]
         aggregates = [F.count(F.lit(1)).alias("n")]
         aggregates += [F.count_if(r.invalid(df)).alias(f"r{i}") for i, r in enumerate(rules)]
-        aggregates += [F.count_if(df[c].isNull()).alias(f"p{i}") for i, (c, _) in enumerate(self.null_limits)]
+        aggregates += [F.count_if(missing(df, c)).alias(f"p{i}") for i, (c, _) in enumerate(self.null_limits)]
         entries = []
 
         def entry(check, column, count, passed=None):

@@ -199,3 +199,13 @@ WINDOW w AS (PARTITION BY o_orderpriority ORDER BY h, o_orderkey ROWS BETWEEN UN
 def ordered_statistics(t):
     table = t("orders").select("o_orderkey", "o_orderpriority", (F.col("o_totalprice") > 250000).cast("int").alias("y"))
     return encode.ordered_target_statistics(table, "o_orderkey", "o_orderpriority", "y", "stat").select("o_orderkey", "stat")
+
+
+@register("ordered_target_statistics_missing_category", "P5", f"""
+WITH o AS (SELECT o_orderkey, CASE WHEN o_orderpriority NOT LIKE '3%' THEN o_orderpriority END AS p, (o_totalprice > 250000)::INTEGER AS y, {sql_hash('o_orderkey')} AS h FROM orders)
+SELECT o_orderkey, (coalesce(sum(y) OVER w, 0)::DOUBLE + (SELECT avg(y) FROM o)) / (count(*) OVER w + 1.0::DOUBLE) AS stat FROM o
+WINDOW w AS (PARTITION BY p ORDER BY h, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""")
+def ordered_statistics_missing_category(t):
+    category = F.when(~F.col("o_orderpriority").startswith("3"), F.col("o_orderpriority")).alias("p")
+    table = t("orders").select("o_orderkey", category, (F.col("o_totalprice") > 250000).cast("int").alias("y"))
+    return encode.ordered_target_statistics(table, "o_orderkey", "p", "y", "stat").select("o_orderkey", "stat")

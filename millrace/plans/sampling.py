@@ -32,6 +32,20 @@ def five_nearest(t):
     return knn_join(rows, rows, 5, exclude_self=True).select("query_id", "donor_id", rounded("distance", 8), "rank")
 
 
+@register("five_nearest_with_missing", "C6", """
+WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings WHERE vec_id % 7 <> 3),
+d AS (SELECT a.vec_id AS query_id, b.vec_id AS donor_id, list_distance(a.v, b.v) AS dist FROM e a JOIN e b ON a.vec_id <> b.vec_id)
+SELECT query_id, donor_id, round(dist, 8) AS distance, row_number() OVER (PARTITION BY query_id ORDER BY dist, donor_id)::INTEGER AS rank FROM d QUALIFY rank <= 5""")
+def five_nearest_with_missing(t):
+    """One vector in seven has a missing part: NaN, NULL, or no vector at all."""
+    whole = F.col("embedding").cast("array<double>")
+    part = F.element_at(F.array(F.lit(float("nan")), F.lit(None).cast("double")), (F.col("vec_id") % 2 + 1).cast("int"))
+    broken = F.when(F.col("vec_id") % 3 > 0, F.concat(F.slice(whole, 1, 9), F.array(part), F.slice(whole, 11, 1000)))
+    vec = F.when(F.col("vec_id") % 7 == 3, broken).otherwise(whole)
+    rows = t("embeddings").select(F.col("vec_id").alias("id"), vec.alias("vec"), F.lit("all").alias("grp"))
+    return knn_join(rows, rows, 5, exclude_self=True).select("query_id", "donor_id", rounded("distance", 8), "rank")
+
+
 @register("nearest_of_same_label_blocked", "C6", _POINTS + """
 SELECT a AS query_id, b AS donor_id, row_number() OVER (PARTITION BY a ORDER BY dist, b)::INTEGER AS rank FROM pairs WHERE la = lb QUALIFY rank <= 3""")
 def nearest_blocked(t):
@@ -142,6 +156,28 @@ def stratified_split(t):
     return split.train_test_split(t("orders").select("o_orderkey", "o_orderstatus"), "o_orderkey", 0.2, stratify="o_orderstatus")
 
 
+_CLASS = "nullif(o_orderstatus, 'P')"
+
+
+@register("stratified_split_with_missing_class", "O2 O4", f"""
+WITH o AS (SELECT o_orderkey, {_CLASS} AS class, {sql_hash('o_orderkey')} AS h FROM orders)
+SELECT o_orderkey, class, row_number() OVER w <= ceil(0.2::DOUBLE * count(*) OVER (PARTITION BY class)) AS is_test,
+  ((row_number() OVER w - 1) % 5)::INTEGER AS fold FROM o WINDOW w AS (PARTITION BY class ORDER BY h, o_orderkey)""")
+def stratified_split_with_missing_class(t):
+    rows = t("orders").select("o_orderkey", F.expr(_CLASS).alias("class"))
+    marked = split.train_test_split(rows, "o_orderkey", 0.2, stratify="class")
+    return split.kfold(marked, "o_orderkey", 5, stratify="class")
+
+
+@register("over_sampled_with_missing_class", "N3", f"""
+WITH o AS (SELECT o_orderkey, {_CLASS} AS class, {sql_hash('o_orderkey')} AS h FROM orders),
+s AS (SELECT *, count(*) OVER (PARTITION BY class) AS n, row_number() OVER (PARTITION BY class ORDER BY h, o_orderkey) AS rk FROM o),
+w AS (SELECT *, (SELECT max(n) FROM s) - n AS want FROM s)
+SELECT o_orderkey, class, unnest(generate_series(0, want // n + CASE WHEN rk <= want % n THEN 1 ELSE 0 END))::BIGINT AS copy FROM w""")
+def over_sampled_with_missing_class(t):
+    return resample.random_over_sample(t("orders").select("o_orderkey", F.expr(_CLASS).alias("class")), "o_orderkey", "class")
+
+
 @register("shuffled_folds", "O3", f"""
 SELECT o_orderkey, ((row_number() OVER (ORDER BY {sql_hash('o_orderkey')}, o_orderkey) - 1) % 5)::INTEGER AS fold FROM orders""")
 def shuffled_folds(t):
@@ -159,6 +195,15 @@ def group_folds_by_hash(t):
     return split.group_kfold_by_hash(t("orders").select("o_orderkey", "o_custkey"), "o_custkey", 5)
 
 
-@register("group_folds_by_size", "O5")
+@register("group_folds_by_size", "O5", f"""
+WITH RECURSIVE sizes AS (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey),
+turn AS (SELECT *, row_number() OVER (ORDER BY n DESC, {sql_hash('o_custkey')}, o_custkey) AS i FROM sizes),
+dealt(i, o_custkey, fold, loads) AS (
+  SELECT 0::BIGINT, NULL::BIGINT, NULL::INTEGER, [0, 0, 0, 0, 0]::BIGINT[]
+  UNION ALL
+  SELECT t.i, t.o_custkey, (list_position(d.loads, list_min(d.loads)) - 1)::INTEGER,
+    list_transform(d.loads, lambda x, k: x + CASE WHEN k = list_position(d.loads, list_min(d.loads)) THEN t.n ELSE 0 END)
+  FROM dealt d JOIN turn t ON t.i = d.i + 1)
+SELECT o_orderkey, o_custkey, fold FROM orders JOIN dealt USING (o_custkey)""")
 def group_folds_by_size(t):
     return split.group_kfold(t("orders").select("o_orderkey", "o_custkey"), "o_custkey", 5)

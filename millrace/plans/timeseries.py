@@ -51,6 +51,14 @@ def forward_filled_per_user(t):
     return done.select("event_id", "value")
 
 
+@register("forward_filled_values_missing_user", "E4 L8", """
+WITH g AS (SELECT event_id, ts, CASE WHEN user_id % 4 <> 1 THEN user_id END AS u, CASE WHEN event_id % 5 <> 0 THEN value END AS value FROM events)
+SELECT event_id, last_value(value IGNORE NULLS) OVER (PARTITION BY u ORDER BY ts, event_id) AS value FROM g""")
+def forward_filled_missing_user(t):
+    rows = hourly_gaps(t).withColumn("u", F.when(F.col("user_id") % 4 != 1, F.col("user_id")))
+    return ordered.forward_fill(rows, ["value"], "ts", "event_id", by=["u"], rows_per_slice=SLICE_ROWS).select("event_id", "value")
+
+
 @register("centered_rolling_mean", "E2", """
 SELECT event_id, round(avg(CASE WHEN event_id % 5 <> 0 THEN value END) OVER (ORDER BY ts, event_id ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING), 6) AS rolling FROM events""")
 def centered(t):
