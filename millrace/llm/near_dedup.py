@@ -4,10 +4,15 @@ Each text's shingle hashes fall into buckets; a bucket keeps, in sixteen bits, h
 and the mantissa bits after them. Bands of these compressed registers propose pairs, the collision-corrected Jaccard estimate
 from all registers discards hopeless ones, and every other pair is confirmed on the full shingle sets.
 
-Texts with equal sets are one representative from the start. A band's bucket is not expanded into pairs: its members are
-compared with a few of them chosen by hash (the smallest hashes, found by an aggregation that sums before it shuffles). What
-stays unconnected is compared with members of other components of its buckets, so that no link between components is lost;
-links inside a component cannot change it.
+Texts with equal sets are one representative from the start. Empty buckets borrow the register of another bucket, so bands of
+short texts are as selective as those of long ones. A band's members are not expanded into pairs:
+
+1. All are compared with the band's hub, the member that shares the most bands with others. In a group of near copies that is a
+   text close to their common origin, so one comparison each connects nearly all that can be connected.
+2. What is left outside the hub's component is paired with members of other components only where an exact bound allows a
+   link: two texts cannot share more than what both share with the hub and what else of theirs occurs in any other text.
+
+No link between components is lost that way, and links inside a component cannot change it.
 """
 
 from __future__ import annotations
@@ -23,7 +28,7 @@ from millrace.session import materialise
 BUCKETS = 128
 ROWS = 4  # registers in a band: at Jaccard 0.8 all 32 bands miss with a chance of 5e-8
 MANTISSA = 10  # bits; the leading zeros take the other six
-CENTRES = 3  # members of a band's bucket that all its members are compared with
+SHIPPED_IDS = 200_000  # ids of the texts whose sets are needed that are shipped to the tasks reading the texts
 SLACK = 5.0  # standard errors that an estimate may be under the threshold without being discarded
 
 
@@ -76,6 +81,27 @@ def registers(hashes):
     return out
 
 
+def borrowing():
+    """For each bucket the order in which it looks for a register to borrow, itself first."""
+    import numpy as np
+
+    place = np.arange(BUCKETS * BUCKETS, dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        mixed = (place + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+        mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+    mixed = (mixed ^ (mixed >> np.uint64(29))).reshape(BUCKETS, BUCKETS)
+    mixed[np.arange(BUCKETS), np.arange(BUCKETS)] = 0
+    return mixed.argsort(1)
+
+
+def filled(regs, order):
+    """Registers without empty buckets, of a set that is not empty."""
+    import numpy as np
+
+    there = regs > 0
+    return regs if there.all() else regs[order[np.arange(BUCKETS), there[order].argmax(1)]]
+
+
 def estimate(a, b, n_a, n_b):
     """Jaccard similarity from registers (rows of pairs) less expected chance agreements, and how many buckets it rests on."""
     import numpy as np
@@ -90,25 +116,28 @@ def estimate(a, b, n_a, n_b):
 
 
 def signatures(docs: DataFrame, width: int) -> DataFrame:
-    """`doc_id, n_shingles, set_id, registers, bands` of every whole text; set_id is a digest of the full set."""
+    """`doc_id, n_shingles, set_id, registers, bands` of every whole text; set_id is a digest of the full set.
+
+    `bands` has a hash for each band, none for the empty set.
+    """
 
     def start() -> Callable[[list, list], dict]:
         import hashlib
 
-        import numpy as np
         import xxhash
 
+        order = borrowing()
+
         def rows(ids: list, texts: list) -> dict:
             out: dict = {"doc_id": ids, "n_shingles": [], "set_id": [], "registers": [], "bands": []}
             for text in texts:
                 found = shingles(text, width)
                 regs = registers(found)
-                filled = regs.reshape(-1, ROWS).any(1)
-                raw = regs.reshape(-1, ROWS)
+                raw = filled(regs, order).reshape(-1, ROWS) if len(found) else regs[:0].reshape(-1, ROWS)
                 out["n_shingles"].append(len(found))
                 out["set_id"].append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
                 out["registers"].append(regs.tobytes())
-                out["bands"].append([xxhash.xxh3_64_intdigest(raw[i].tobytes(), seed=int(i)) - (1 << 63) for i in np.flatnonzero(filled)])
+                out["bands"].append([xxhash.xxh3_64_intdigest(band.tobytes(), seed=i) - (1 << 63) for i, band in enumerate(raw)])
             return out
 
         return rows
@@ -117,13 +146,10 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
     return map_texts(docs, start, schema)
 
 
-def _hopeful(pairs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
-    """Pairs `a, b` (of set numbers) whose estimate may reach the threshold."""
+def _hopeful(pairs: DataFrame, own: DataFrame, percent: int) -> DataFrame:
+    """Pairs `a, b` of representatives whose estimate may reach the threshold."""
     def side(name):
-        return sigs.select(F.col("rep").alias(name), F.col("n_shingles").alias(f"n_{name}"), F.col("registers").alias(f"r_{name}"))
-
-    sized = pairs.join(side("a"), "a").join(side("b"), "b").where(
-        100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+        return own.select(F.col("rep").alias(name), F.col("n_shingles").alias(f"n_{name}"), F.col("registers").alias(f"r_{name}"))
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -139,37 +165,43 @@ def _hopeful(pairs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
             kept = batch.filter(pa.array((value >= least) | (used < BUCKETS // 2)))
             yield pa.RecordBatch.from_arrays([kept.column("a"), kept.column("b")], names=["a", "b"])
 
-    return sized.mapInArrow(run, "a bigint, b bigint")
-
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a bigint, b bigint")
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, shape: Shape) -> DataFrame:
-    """Pairs whose full shingle sets are as similar as asked."""
-    ends = materialise(pairs, "near-pairs")
-    wanted = ends.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = docs.join(wanted, "doc_id", "left_semi")
 
+def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """`doc_id, shingles`: full sets of the texts with these ids (NULL for texts without words)."""
     def start() -> Callable[[list, list], dict]:
-        return lambda ids, texts: {"doc_id": ids, "shingles": [shingles(t, shape.width).tobytes() for t in texts]}
+        import numpy as np
 
-    # One row for each id, should rows repeat it.
-    sets = materialise(map_texts(texts, start, "doc_id bigint, shingles binary"), "near-sets")
+        return lambda doc, texts: {"doc_id": doc, "shingles": [shingles(t, width).view(np.int64) for t in texts]}
 
+    wanted = F.broadcast(ids) if ids.count() <= SHIPPED_IDS else ids
+    return map_texts(docs.join(wanted, "doc_id", "left_semi"), start, "doc_id bigint, shingles array<bigint>")
+
+
+def _shared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs `a, b` with the number of shingles the full sets have in common and have each."""
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
         for batch in batches:
-            ok = []
-            for x, y in zip(batch.column("s_a").to_pylist(), batch.column("s_b").to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(100 * common >= shape.percent * (len(x) + len(y) - common))
-            kept = batch.filter(pa.array(ok, pa.bool_()))
-            yield pa.RecordBatch.from_arrays([kept.column("a"), kept.column("b")], names=["a", "b"])
+            common, left, right = [], [], []
+            s_a, s_b = batch.column("s_a"), batch.column("s_b")
+            for i in range(batch.num_rows):
+                x, y = (s[i].values.to_numpy() for s in (s_a, s_b))
+                common.append(len(np.intersect1d(x, y, assume_unique=True)))
+                left.append(len(x))
+                right.append(len(y))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a"), batch.column("b"), *(pa.array(v, pa.int64()) for v in (common, left, right))],
+                names=["a", "b", "common", "n_a", "n_b"])
 
-    both = ends.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("s_a")), "a").join(
-        sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("s_b")), "b")
-    return both.select("a", "b", "s_a", "s_b").mapInArrow(run, "a bigint, b bigint")
+    def side(name):
+        return sets.select(F.col("doc_id").alias(name), F.col("shingles").alias(f"s_{name}"))
+
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    return both.select("a", "b", "s_a", "s_b").mapInArrow(run, "a bigint, b bigint, common bigint, n_a bigint, n_b bigint")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -225,30 +257,51 @@ def classes(docs: DataFrame, shape: Shape = Shape()) -> DataFrame:
 
 def _linked(own: DataFrame, docs: DataFrame, shape: Shape) -> DataFrame:
     """Components of the representatives that have a link: `node, component`."""
-    bands = own.select("rep", F.explode("bands").alias("band"))
-
-    def centre(i: int):
-        return F.min(F.struct(F.xxhash64("rep", F.lit(i)).alias("h"), "rep"))["rep"].alias(f"c{i}")
-
-    shared = bands.groupBy("band").agg(F.count("*").alias("n"), *[centre(i) for i in range(CENTRES)]).where("n > 1").drop("n")
-    joined = materialise(bands.join(shared, "band"), "near-bands")
-    centres = F.array_distinct(F.array(*[f"c{i}" for i in range(CENTRES)]))
-    tried = joined.select("rep", F.explode(centres).alias("centre")).where("rep <> centre").select(
-        F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct()
-    sigs = own.select("rep", "n_shingles", "registers")
-    links = materialise(_confirmed(_hopeful(tried, sigs, shape.percent), docs, shape), "near-links")
+    percent = shape.percent
+    every = own.select("rep", F.explode("bands").alias("band"))
+    several = every.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    members = materialise(every.join(several, "band"), "near-bands")
+    known = materialise(members.groupBy("rep").agg(F.sum("n").alias("met")), "near-met")
+    hubs = members.select("band", "rep").join(known, "rep").groupBy("band").agg(F.max(F.struct("met", "rep"))["rep"].alias("hub"))
+    placed = materialise(members.select("band", "rep").join(hubs, "band"), "near-hubs")
+    sets = materialise(_sets(docs, known.select(F.col("rep").alias("doc_id")), shape.width), "near-shingles")
+
+    tried = placed.where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
+    shared = materialise(_shared(tried, sets), "near-shared")
+    alike = f"100 * common >= {percent} * (n_a + n_b - common)"
+    links = shared.where(alike).select("a", "b")
     found = materialise(components(links), "near-first")
-    # Outsiders of a bucket: not in the component of its first centre. Any pair across components has at least one.
-    at = joined.select("band", "rep", F.col("c0").alias("centre")).join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "band", "rep", "centre", F.coalesce("component", "rep").alias("comp"))
-    at = at.join(found.select(F.col("node").alias("centre"), F.col("component").alias("centre_comp")), "centre", "left").select(
-        "band", "rep", "comp", F.coalesce("centre_comp", "centre").alias("centre_comp"))
-    at = materialise(at, "near-at")
-    outside = at.where("comp <> centre_comp").select("band", F.col("rep").alias("x"), F.col("comp").alias("x_comp"))
-    across = at.select("band", "rep", "comp").join(outside, "band").where("comp <> x_comp")
-    rest = across.select(F.least("rep", "x").alias("a"), F.greatest("rep", "x").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    more = materialise(_confirmed(_hopeful(rest, sigs, shape.percent), docs, shape), "near-more")
-    return components(links.union(more))
+
+    # How many shingles of a set occur in no other of these sets: counted, as all counts here, before they are shuffled.
+    alone = sets.select("doc_id", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(
+        F.count("*").alias("n"), F.min("doc_id").alias("doc_id")).where("n = 1").groupBy("doc_id").agg(F.count("*").alias("alone"))
+    # Rows that repeat an id: the bound is not used.
+    sizes = sets.groupBy("doc_id").agg(F.max(F.size("shingles")).cast("bigint").alias("n"), F.count("*").alias("rows"))
+    info = sizes.join(alone, "doc_id", "left").select(
+        F.col("doc_id").alias("rep"), "n", F.when(F.col("rows") > 1, F.col("n")).otherwise(
+            F.col("n") - F.coalesce("alone", F.lit(0))).alias("elsewhere"))
+    nodes = known.select("rep").join(info, "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "rep", "n", "elsewhere", F.coalesce("component", "rep").alias("comp"))
+    nodes = materialise(nodes, "near-nodes")
+
+    # Outsiders of a band: not in the component of its hub. Any pair across components has at least one.
+    with_hub = shared.groupBy(F.col("a").alias("rep"), F.col("b").alias("hub")).agg(F.max("common").alias("common"))
+    at = placed.join(nodes, "rep").join(nodes.select(F.col("rep").alias("hub"), F.col("comp").alias("hub_comp")), "hub").join(
+        with_hub, ["rep", "hub"], "left").select(
+        "band", "rep", "n", "elsewhere", "comp", F.coalesce("common", "n").alias("common"),
+        ((F.col("comp") != F.col("hub_comp")) & (100 * F.col("elsewhere") >= percent * F.col("n"))).alias("outside"))
+    at = materialise(at.join(own.select("rep", "bands").dropDuplicates(["rep"]), "rep"), "near-at")
+    x = at.where("outside").select("band", *[F.col(c).alias(f"x_{c}") for c in ("rep", "n", "elsewhere", "comp", "common", "bands")])
+    most = "(least(common, x_common) + greatest(0, least(elsewhere - common, x_elsewhere - x_common)))"
+    across = at.join(x, "band").where(f"""comp <> x_comp AND (NOT outside OR x_rep < rep)
+        AND 100 * least(n, x_n) >= {percent} * greatest(n, x_n) AND 100 * {most} >= {percent} * (n + x_n - {most})
+        AND array_position(zip_with(bands, x_bands, (p, q) -> p = q), true) = array_position(bands, band)""")
+    pairs = across.select(F.least("rep", "x_rep").alias("a"), F.greatest("rep", "x_rep").alias("b")).distinct()
+    hopeful = materialise(_hopeful(pairs, own, percent), "near-pairs")
+    more = materialise(_shared(hopeful, sets).where(alike).select("a", "b"), "near-more")
+    if more.isEmpty():
+        return found
+    return components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
 
 def deduplicated(docs: DataFrame, shape: Shape = Shape()) -> DataFrame:
