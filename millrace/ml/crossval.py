@@ -96,11 +96,11 @@ def compare_imbalance_methods(
     """(method, roc_auc, average_precision) of a logistic model after each way of treating unequal classes."""
     columns = [key, label, *features]
     methods: dict[str, tuple[DataFrame, str | None]] = {
-        "No Resampling": (train, None),
-        "SMOTE": (smote(train, key, label, features, seed=seed), None),
-        "Random Over-sampling": (random_over_sample(train, key, label, seed), None),
-        "Random Under-sampling": (random_under_sample(train, key, label, seed), None),
-        "Class Weights": (with_class_weights(train, label, "_weight"), "_weight"),
+        "as_is": (train, None),
+        "smote": (smote(train, key, label, features, seed=seed), None),
+        "over_sampled": (random_over_sample(train, key, label, seed), None),
+        "under_sampled": (random_under_sample(train, key, label, seed), None),
+        "class_weights": (with_class_weights(train, label, "_weight"), "_weight"),
     }
     rows = []
     for name, (data, weight) in methods.items():

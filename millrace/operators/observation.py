@@ -31,10 +31,15 @@ class _Point:
     values: dict = field(default_factory=dict)
 
 
+def failure_text(what: str, cause: Exception) -> str:
+    """The one wording of failures, in logs and in the error list."""
+    return f"{what} stopped with {type(cause).__name__}: {cause}"
+
+
 class StepFailed(Exception):
     def __init__(self, step: str, cause: Exception):
         self.step, self.cause = step, cause
-        super().__init__(f"{step} | FAILED: {type(cause).__name__}: {cause}")
+        super().__init__(failure_text(f"step {step}", cause))
 
 
 class ObservedPipeline:
@@ -84,7 +89,7 @@ class ObservedPipeline:
                 write(current)
             self.action_seconds = time.monotonic() - started
         except Exception as failure:
-            text = str(failure) if isinstance(failure, StepFailed) else f"action | FAILED: {type(failure).__name__}: {failure}"
+            text = str(failure) if isinstance(failure, StepFailed) else failure_text("the action", failure)
             self.errors.append(text)
             log.error(text)
             raise failure.cause if isinstance(failure, StepFailed) else failure
@@ -154,7 +159,7 @@ def observe_step(step: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame]
         try:
             out = step(df)
         except Exception as cause:
-            log.error("%s | FAILED: %s: %s", step.__name__, type(cause).__name__, cause)
+            log.error(failure_text(f"step {step.__name__}", cause))
             raise
         before = {f.name: f.dataType.simpleString() for f in df.schema.fields}
         after = {f.name: f.dataType.simpleString() for f in out.schema.fields}

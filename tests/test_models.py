@@ -293,7 +293,7 @@ def test_cross_validation_refits_the_best(task):
 def test_imbalance_comparison(task):
     train, test = task
     table = crossval.compare_imbalance_methods(train, test, "id", "y", ["a", "b"]).collect()
-    assert [r["method"] for r in table] == ["No Resampling", "SMOTE", "Random Over-sampling", "Random Under-sampling", "Class Weights"]
+    assert [r["method"] for r in table] == ["as_is", "smote", "over_sampled", "under_sampled", "class_weights"]
     assert all(0.8 < r["roc_auc"] <= 1 and 0.5 < r["average_precision"] <= 1 for r in table)
 
 
