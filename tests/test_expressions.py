@@ -123,6 +123,28 @@ def test_resample_has_empty_days(spark):
     assert quarter == datetime.datetime(2024, 3, 31)
 
 
+def test_nan_is_missing(spark):
+    from millrace.operators import profile
+    from millrace.operators.validation import Suite
+
+    table = spark.createDataFrame([(1.0,), (float("nan"),), (None,), (9.0,)], "x double")
+    assert profile.missing_profile(table).first()["null_count"] == 2
+    assert Suite().no_nulls("x").counts(table).first()["invalid_count"] == 2
+    clipped = [r[0] for r in table.select(clean.clip("x", 0.0, 5.0)).collect()]
+    assert clipped[0] == 1.0 and clipped[1] != clipped[1] and clipped[2:] == [None, 5.0]
+
+
+def test_long_ranges_and_listings(spark):
+    from millrace.operators import profile
+
+    span = calendar.date_range(spark, "1900-01-01 00:00:00", end="2024-01-01 00:00:00", freq="1 minute")
+    assert span.agg(F.max("timestamp")).first()[0] == datetime.datetime(2024, 1, 1) and span.count() == 65_217_601
+    months = [r[0].month for r in calendar.date_range(spark, "2024-01-01 00:00:00", end="2024-12-31 00:00:00", freq="1 month").collect()]
+    assert sorted(months) == list(range(1, 13))
+    repeats = profile.repeated_values(spark.range(25_001).select(F.lit(1).alias("v")), "v")
+    assert repeats.agg(F.count("*"), F.sum("repeat")).first()[:] == (25_000, 25_000 * 25_001 // 2)
+
+
 def test_date_ranges(spark):
     assert calendar.date_range(spark, "2024-01-01 00:00:00", periods=100, freq="6 hours").agg(F.max("timestamp")).first()[0] == datetime.datetime(2024, 1, 25, 18)
     assert calendar.date_range(spark, "2024-01-01 00:00:00", end="2024-01-31 00:00:00", freq="1 day").count() == 31

@@ -24,6 +24,15 @@ def by_order(df):
     return df.toPandas().sort_values(["t", "id"]).reset_index(drop=True)
 
 
+@pytest.mark.parametrize("size", [10_000, 170, 20])
+def test_missing_keys_are_one_group(series, size):
+    pdf, df = series
+    keyed = df.withColumn("g", F.when(F.col("g") == "hot", F.col("g")))
+    filled = by_order(ordered.forward_fill(keyed, ["v"], "t", "id", by=["g"], rows_per_slice=size))
+    assert np.allclose(filled.v, pdf.groupby("g").v.ffill(), equal_nan=True)
+    assert by_order(ordered.resetting_sum(keyed.fillna(0.5, ["v"]), "v", "t", "id", by=["g"], rows_per_slice=size)).running.notna().all()
+
+
 @pytest.mark.parametrize("size", [10_000, 170, 20])
 def test_scans_match_pandas(series, size):
     pdf, df = series
