@@ -7,9 +7,9 @@ fits all from one aggregation and one shared quantile search.
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -92,10 +92,27 @@ def fit_together(df: DataFrame, estimators: Sequence[ColumnEstimator]) -> list[C
     return models
 
 
+class Step(Transformer):
+    """A plain table step, a function from DataFrame to DataFrame, as a stage that needs no fitting."""
+
+    def __init__(self, step: Callable[[DataFrame], DataFrame]):
+        super().__init__()
+        self.step = step
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return self.step(dataset)
+
+
+def _shares_scans(stage) -> bool:
+    """Column estimators that are fitted from aggregates and quantiles alone."""
+    return isinstance(stage, ColumnEstimator) and type(stage)._fit is ColumnEstimator._fit
+
+
 class ColumnRouter(Estimator):
     """Different estimators for different columns, fitted on the same input; other columns pass through.
 
-    Column estimators share their scans; any other estimator is fitted on its own.
+    Column estimators share their scans; any other estimator is fitted on its own. Steps without a fit, functions or
+    transformers, may stand among them.
     """
 
     def __init__(self, stages: Sequence[Estimator]):
@@ -103,9 +120,17 @@ class ColumnRouter(Estimator):
         self.stages = list(stages)
 
     def _fit(self, dataset: DataFrame) -> PipelineModel:
-        simple = [s for s in self.stages if isinstance(s, ColumnEstimator)]
+        simple = [s for s in self.stages if _shares_scans(s)]
         fitted = iter(fit_together(dataset, simple) if simple else [])
-        return PipelineModel([next(fitted) if isinstance(s, ColumnEstimator) else s.fit(dataset) for s in self.stages])
+
+        def ready(stage):
+            if _shares_scans(stage):
+                return next(fitted)
+            if isinstance(stage, Estimator):
+                return stage.fit(dataset)
+            return stage if isinstance(stage, Transformer) else Step(stage)
+
+        return PipelineModel([ready(s) for s in self.stages])
 
 
 def preprocessing(*stages) -> Pipeline:

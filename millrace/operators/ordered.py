@@ -205,6 +205,20 @@ def forward_fill(
     return joined.select(*[value(c) if c in columns else F.col(c) for c in df.columns])
 
 
+def scan_by_key(df: DataFrame, by: Sequence[str], order: Sequence[str], function, schema: str | T.StructType) -> DataFrame:
+    """A user scan with state: `function` gets the rows of one key as a sorted pandas table and returns one.
+
+    The rows of a key meet in one task, as a scan in a user function must have them; without a key, or with a very hot one, use
+    the scans above.
+    """
+    cols = list(order)
+
+    def each(rows):
+        return function(rows.sort_values(cols, kind="stable").reset_index(drop=True))
+
+    return df.groupBy(*by).applyInPandas(each, schema)
+
+
 def centered_mean(
     df: DataFrame, columns: dict[str, str], order: str, tie: str | None = None, half: int = 3,
     rows_per_slice: int = ROWS_PER_SLICE,

@@ -103,6 +103,14 @@ def enforce_schema(schema: Mapping[str, str], domains: Mapping[str, Sequence[str
     return lambda df: df.withColumns({name: target(name, dtype) for name, dtype in schema.items()})
 
 
+def apply_rows(out: str, function: Callable, dtype: str, *columns: str) -> Step:
+    """A user function over columns as a new column: it gets pandas series and returns one, batch by batch through Arrow.
+
+    For what column expressions cannot say; those stay in the JVM and are faster.
+    """
+    return lambda df: df.withColumn(out, F.pandas_udf(function, dtype)(*columns))
+
+
 def split_target(df: DataFrame, target: str) -> tuple[list[str], str]:
     """Feature names and target name of one table; both stay in one DataFrame."""
     if target not in df.columns:

@@ -209,3 +209,22 @@ def ordered_statistics_missing_category(t):
     category = F.when(~F.col("o_orderpriority").startswith("3"), F.col("o_orderpriority")).alias("p")
     table = t("orders").select("o_orderkey", category, (F.col("o_totalprice") > 250000).cast("int").alias("y"))
     return encode.ordered_target_statistics(table, "o_orderkey", "p", "y", "stat").select("o_orderkey", "stat")
+
+
+@register("imputers_routed_together", "I7 L6 L7 L8", """
+WITH o AS (SELECT o_orderkey, o_orderdate, CASE WHEN o_orderkey % 5 <> 0 THEN o_totalprice END AS med, CASE WHEN o_orderkey % 6 <> 0 THEN o_orderstatus END AS mo,
+  CASE WHEN o_orderkey % 4 <> 0 THEN o_custkey::DOUBLE END AS ff, CASE WHEN o_orderkey % 7 <> 0 THEN o_totalprice::DOUBLE * 2 END AS chained FROM orders)
+SELECT o_orderkey, round(coalesce(med, (SELECT median(med) FROM o)), 4) AS med, coalesce(mo, (SELECT m FROM (SELECT mo AS m, count(*) AS n FROM o WHERE mo IS NOT NULL GROUP BY mo ORDER BY n DESC, mo LIMIT 1))) AS mo,
+  last_value(ff IGNORE NULLS) OVER (ORDER BY o_orderdate, o_orderkey) AS ff, chained IS NULL AS gap, true AS close FROM o""")
+def imputers_routed(t):
+    """Median, mode, forward fill and chained regression fitted and applied in one router; a regression's gap lies on a line."""
+    k, price = F.col("o_orderkey"), F.col("o_totalprice").cast("double")
+    table = materialise(t("orders").select(
+        "o_orderkey", "o_orderdate", F.when(k % 5 != 0, price).alias("med"), F.when(k % 6 != 0, F.col("o_orderstatus")).alias("mo"),
+        F.when(k % 4 != 0, F.col("o_custkey").cast("double")).alias("ff"), F.when(k % 7 != 0, price * 2).alias("chained"),
+        price.alias("whole"), (k % 7 == 0).alias("gap")), "routed")
+    router = ColumnRouter([
+        impute.MedianImputer(["med"]), impute.ModeImputer(["mo"]), impute.MICEImputer(["whole", "chained"], max_iter=3),
+        impute.forward_fill_step(["ff"], "o_orderdate", "o_orderkey")])
+    done = router.fit(table).transform(table)
+    return done.select("o_orderkey", rounded("med", 4), "mo", "ff", "gap", (F.abs(F.col("chained") - 2 * F.col("whole")) < 1e-3).alias("close"))

@@ -2,6 +2,7 @@
 
 import uuid
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from millrace.plans.catalog import register
@@ -40,3 +41,61 @@ def parquet_sink(t):
     lines = t("lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_returnflag")
     return lines.transform(files.save_parquet(folder(t, "parquet"), partition_by=["l_returnflag"])).where("l_quantity > 10").select(
         *lines.columns)
+
+
+@register("csv_in_chunks", "A8 I2", """
+SELECT l_orderkey, l_linenumber, l_quantity * l_extendedprice AS total FROM lineitem WHERE l_quantity >= 25""")
+def csv_in_chunks(t):
+    """A pandas chain over chunks of a CSV file."""
+    path = folder(t, "csv")
+    t("lineitem").transform(files.save_csv(path, columns=["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice"]))
+    lines = files.read_csv(t.spark, path, "l_orderkey bigint, l_linenumber bigint, l_quantity double, l_extendedprice double", header=True)
+
+    def chain(chunk):
+        large = chunk[chunk["l_quantity"] >= 25]
+        return large.assign(total=large["l_quantity"] * large["l_extendedprice"])[["l_orderkey", "l_linenumber", "total"]]
+
+    return files.run_in_chunks(lines, chain, "l_orderkey bigint, l_linenumber bigint, total double", rows=1_000)
+
+
+@register("json_rows", "A4", "SELECT c_custkey, c_name, c_acctbal FROM customer")
+def json_rows(t):
+    """Files of one JSON array of rows each, one for every nation."""
+    path = folder(t, "json")
+    row = F.array(F.col("c_custkey").cast("string"), "c_name", F.col("c_acctbal").cast("string"))
+    arrays = t("customer").groupBy("c_nationkey").agg(F.to_json(F.collect_list(row)).alias("value"))
+    arrays.write.partitionBy("c_nationkey").text(path)
+    return files.read_json_rows(t.spark, path, ["bigint", "string", "double"], ["c_custkey", "c_name", "c_acctbal"])
+
+
+@register("feather_round_trip", "A7", "SELECT s_suppkey, s_name, s_acctbal FROM supplier")
+def feather_round_trip(t):
+    from millrace.sources.feather import read_feather
+
+    path = folder(t, "feather")
+    t("supplier").select("s_suppkey", "s_name", "s_acctbal").transform(files.save_feather(path))
+    return read_feather(t.spark, path)
+
+
+@register("user_function_on_rows", "I2", "SELECT p_partkey, CASE WHEN p_size > 25 THEN 'large' ELSE 'small' END AS kind FROM part")
+def user_function_on_rows(t):
+    from millrace.operators.rows import apply_rows
+
+    def kind(size: pd.Series) -> pd.Series:
+        return size.gt(25).map({True: "large", False: "small"})
+
+    return t("part").transform(apply_rows("kind", kind, "string", "p_size")).select("p_partkey", "kind")
+
+
+@register("user_scan_by_key", "I4", """
+SELECT event_id, user_id, value - lag(value, 1, value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS step FROM events""")
+def user_scan_by_key(t):
+    """A pandas scan over each user's events in time order."""
+    from millrace.operators.ordered import scan_by_key
+
+    def steps(rows):
+        return rows.assign(step=rows["value"].diff().fillna(0.0))[["event_id", "user_id", "step"]]
+
+    rows = t("events").select("event_id", "user_id", "ts", F.col("value").cast("double").alias("value"))
+    schema = ", ".join(f"{c} {dict(rows.dtypes)[c]}" for c in ("event_id", "user_id")) + ", step double"
+    return scan_by_key(rows, ["user_id"], ["ts", "event_id"], steps, schema)

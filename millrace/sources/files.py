@@ -74,6 +74,36 @@ def save_parquet(path: str, partition_by: Sequence[str] = (), mode: str = "overw
     return step
 
 
+def save_feather(path: str) -> Chain:
+    """Step that writes one Arrow file for each task and passes the table on; `path` is a folder all executors share."""
+
+    def step(df: DataFrame) -> DataFrame:
+        def write(batches):
+            import uuid
+
+            import pyarrow as pa
+            from pyarrow import fs
+
+            store, folder = fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+            store.create_dir(folder, recursive=True)
+            name, rows, sink = f"{folder}/part-{uuid.uuid4().hex}.feather", 0, None
+            for batch in batches:
+                if sink is None:
+                    out = store.open_output_stream(name)
+                    sink = pa.ipc.new_file(out, batch.schema)
+                sink.write_batch(batch)
+                rows += batch.num_rows
+            if sink is not None:
+                sink.close()
+                out.close()
+            yield pa.RecordBatch.from_arrays([pa.array([rows], pa.int64())], names=["rows"])
+
+        df.mapInArrow(write, "rows bigint").agg(F.sum("rows")).collect()
+        return df
+
+    return step
+
+
 def save_csv(path: str, columns: Sequence[str] | None = None, drop: Sequence[str] = (), mode: str = "overwrite") -> Chain:
     """Step that writes chosen columns as CSV with a header and passes the table on."""
 
