@@ -1,11 +1,13 @@
 """Validation and observability."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from millrace.operators import relational as rel, rows
-from millrace.operators.observation import ObservedPipeline
-from millrace.operators.validation import Suite
-from millrace.plans.catalog import register
+from millrace.operators.observation import DRIFT_LIMIT, ObservedPipeline
+from millrace.operators.validation import Suite, ValidationError
+from millrace.plans.catalog import REGISTRY, register, rounded
+from millrace.plans.storage import folder
 
 
 def _dirty_orders(t):
@@ -73,6 +75,19 @@ def validation_examples(t):
     return shown.select("check", "column", F.concat_ws("; ", "examples").alias("examples"))
 
 
+@register("validation_failure", "J2 J3 J13 J14", REGISTRY["validation_counts"].sql.replace(
+    "SELECT * FROM c", "SELECT false AS is_valid, 2 + count(*) FILTER (WHERE NOT passed) AS error_count FROM c"))
+def validation_failure(t):
+    """All failed checks in one exception: a column that is absent, one of another type, and the data checks."""
+    rules = suite(t).columns_exist(["o_orderkey", "o_absent"]).dtype("o_orderkey", "string")
+    try:
+        _dirty_orders(t).transform(rules.step("o_orderkey"))
+    except ValidationError as failed:
+        report = failed.report()
+        return t.spark.createDataFrame([(report["is_valid"], report["error_count"])], "is_valid boolean, error_count bigint")
+    raise AssertionError("the checks should have failed")
+
+
 @register("validated_pipeline", "J2 J3 J13 J15", """
 SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 1000""")
 def validated_pipeline(t):
@@ -128,3 +143,52 @@ SELECT 'key_to_text' AS step, 'dtype_change' AS kind, 'o_custkey' AS "column", '
 UNION ALL SELECT 'explode_categories', 'dtype_change', 'priority', 'int', 'string'""")
 def observed_warnings(t):
     return observed_run(t).warning_table(t.spark).where("kind = 'dtype_change'").drop("relative_change")
+
+
+def _lines(t):
+    """Steps that move a column's smallest value and mean, and that multiply the kinds of another."""
+    def keep_large(df):
+        return df.where("quantity > 30")
+
+    def name_kinds(df):
+        return df.withColumn("kind", F.concat_ws("-", "kind", "number"))
+
+    lines = t("lineitem").select(F.col("l_quantity").cast("double").alias("quantity"), F.col("l_returnflag").alias("kind"),
+                                 F.col("l_linenumber").cast("string").alias("number"))
+    return lines, keep_large, name_kinds
+
+
+@register("observed_drift_read_back", "K4 K5 K8", f"""
+WITH b AS (SELECT min(l_quantity)::DOUBLE AS lo, avg(l_quantity)::DOUBLE AS m FROM lineitem),
+a AS (SELECT min(l_quantity)::DOUBLE AS lo, avg(l_quantity)::DOUBLE AS m FROM lineitem WHERE l_quantity > 30),
+k AS (SELECT count(DISTINCT l_returnflag) AS flags, count(DISTINCT l_returnflag || '-' || l_linenumber) AS kinds FROM lineitem WHERE l_quantity > 30)
+SELECT * FROM (
+  SELECT 'keep_large' AS step, 'numeric_drift' AS kind, 'quantity_min' AS "column", round((a.lo - b.lo) / b.lo, 3) AS change FROM a, b
+  UNION ALL SELECT 'keep_large', 'numeric_drift', 'quantity_mean', round((a.m - b.m) / b.m, 3) FROM a, b
+  UNION ALL SELECT 'name_kinds', 'cardinality_change', 'kind', round((kinds - flags)::DOUBLE / flags, 3) FROM k)
+WHERE change > CASE WHEN kind = 'numeric_drift' THEN {DRIFT_LIMIT} ELSE 1 END""")
+def observed_drift(t):
+    lines, *steps = _lines(t)
+    pipeline = ObservedPipeline(steps)
+    pipeline.run(lines)
+    path = folder(t, "observed")
+    pipeline.save(t.spark, path)
+    saved = t.spark.read.parquet(f"{path}/warnings")
+    return saved.select("step", "kind", "column", rounded("relative_change", 3, "change"))
+
+
+@register("observed_failure", "K6", "SELECT 'name_kinds' AS step, count(*) > 0 AS stopped FROM lineitem")
+def observed_failure(t):
+    """The second of two steps fails: the error is kept with the name of its step, and raised."""
+    lines, _, name_kinds = _lines(t)
+
+    def drop_kind(df):
+        return df.drop("kind")
+
+    pipeline = ObservedPipeline([drop_kind, name_kinds])
+    try:
+        pipeline.run(lines)
+    except AnalysisException:
+        pass
+    found = [(e.split()[1], e.startswith("step name_kinds stopped")) for e in pipeline.errors]
+    return t.spark.createDataFrame(found, "step string, stopped boolean")
