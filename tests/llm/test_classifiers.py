@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import common, mix, quality, queries, secrets, sketch, toxicity
 
-from conftest import ODD, rows_of, SCHEMA, table
+from rows_for_tests import ODD, rows_of, SCHEMA, table
 
 
 def test_trees_separate_and_walk_like_a_loop():

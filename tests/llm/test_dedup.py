@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 
 from millrace.llm import exact_dedup, near_dedup, substring_dedup
 
-from conftest import ODD, table
+from rows_for_tests import ODD, table
 
 
 def sha(text):

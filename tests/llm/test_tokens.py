@@ -11,7 +11,7 @@ from hypothesis import given, settings, strategies as st
 
 from millrace.llm import bpe, token_count
 
-from conftest import ODD
+from rows_for_tests import ODD
 
 ALPHABETS = ["a b  the   ing\n\t▁<s></s><unk><0x0A>日本é😀\x00,.!&&$ 12 ", "etaoin shrdlu", " a▁b", "the ing er on", "aab"]
 
