@@ -149,7 +149,8 @@ FAMILIES = {
 GRIDS = {"logistic": crossval.grid(C=[0.01, 1.0]), "forest": crossval.grid(depth=[4])}
 
 
-@register("cross_validated_families", "O7 O8 O4 Q1 F6")
+@register("cross_validated_families", "O7 O8 O4 Q1 F6", _MARKED + """
+SELECT 'forest' AS model_family, '[(''depth'', 4)]' AS hyperparams, max(y) AS mean_score, max(y) AS test_score FROM m WHERE is_test""")
 def cross_validated(t):
     train, test = parts(t)
     before = preprocessing(scale.StandardScaler(FEATURES))
@@ -158,7 +159,8 @@ def cross_validated(t):
     return crossval.refit_and_test(train, test, crossval.summarise(scores), FAMILIES, GRIDS, "y", before)
 
 
-@register("expanding_window_scores", "O6 O7 D16")
+@register("expanding_window_scores", "O6 O7 D16", _MARKED + """
+SELECT 'logistic' AS model_family, '[(''C'', 1.0)]' AS hyperparams, max(y) AS mean_score, min(y) AS std_score FROM m WHERE NOT is_test""")
 def expanding_scores(t):
     train, _ = parts(t)
     blocks = split.expanding_folds(train, "o_orderdate", "id", 5, out="fold")

@@ -42,25 +42,46 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_local_folders: dict[str, str] = {}  # application id -> temporary folder, in local mode without a setting
+
+
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared checkpoint folder: the cluster's `spark.checkpoint.dir`, a temporary one only in local mode."""
+    """The shared checkpoint folder.
+
+    The cluster's `spark.checkpoint.dir`, or the one given to `setCheckpointDir`; in local mode without either, one temporary
+    folder for the whole application.
+    """
     context = spark.sparkContext
+    given = context._jsc.sc().getCheckpointDir()
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    folder = folder or (given.get() if given.isDefined() else None)
     if not folder:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        folder = tempfile.mkdtemp(prefix="millrace-checkpoint-")
-    if context._jsc.sc().getCheckpointDir().isEmpty():
+        if context.applicationId not in _local_folders:
+            _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="millrace-checkpoint-")
+        folder = _local_folders[context.applicationId]
+    if given.isEmpty():
         context.setCheckpointDir(folder)
     return folder
 
 
+def _application_folder(spark: SparkSession) -> str:
+    return f"{checkpoint_folder(spark)}/millrace/{spark.sparkContext.applicationId}"
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate table under the checkpoint folder and read it back.
 
     Cuts the lineage like `checkpoint()`, but computes the table once and keeps column pruning; the files outlive lost
-    executors.
+    executors. `delete_materialised` removes them once their results are no longer read.
     """
-    path = f"{checkpoint_folder(df.sparkSession)}/millrace/{name}-{uuid.uuid4().hex}"
+    path = f"{_application_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def delete_materialised(spark: SparkSession) -> None:
+    """Delete every table this application has materialised. Results that were built on them can no longer be computed."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
