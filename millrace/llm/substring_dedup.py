@@ -18,7 +18,7 @@ Words are compared by 40-bit hashes, which for twenty of them in a row and a 64-
 
 from __future__ import annotations
 
-import pickle
+import struct
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, functions as F
@@ -256,6 +256,29 @@ def _by_task(task, tasks: int):
         yield int(t), order[edges[t]:edges[t + 1]]
 
 
+KINDS = ("<u8", "<i8", "<u4", "<i4", "<u2", "|u1", "|b1")  # number types a blob may hold
+
+
+def _packed(arrays: list) -> bytes:
+    """Arrays as bytes, with five bytes of description each: blobs stay small where shards are many."""
+    heads = [struct.pack("<BI", KINDS.index(a.dtype.str), len(a)) for a in arrays]
+    return b"".join([*heads, *(a.tobytes() for a in arrays)])
+
+
+def _unpacked(blob: bytes, many: int) -> list:
+    import numpy as np
+
+    at, out = 5 * many, []
+    for i in range(many):
+        kind, length = struct.unpack_from("<BI", blob, 5 * i)
+        out.append(np.frombuffer(blob, KINDS[kind], length, at))
+        at += out[-1].nbytes
+    return out
+
+
+ARRAYS = 10  # in the blobs of either step
+
+
 def _blobs(found: list):
     import pyarrow as pa
 
@@ -272,7 +295,7 @@ def _groups(batches: Iterator) -> Iterator[tuple[int, list]]:
                 yield now, held
                 held = []
             now = shard
-            held.append(pickle.loads(blob))
+            held.append(_unpacked(blob, ARRAYS))
     if held:
         yield now, held
 
@@ -300,7 +323,7 @@ def _send_anchors(tasks: int):
                     holders, place = np.unique(doc[starts[chosen]], return_inverse=True)
                     kind = np.uint16 if len(holders) < 65_536 else np.uint32
                     blob += [ids[holders], ties[holders], place.astype(kind), (starts[chosen] - base[doc[starts[chosen]]]).astype(np.int32)]
-                out.append((t, pickle.dumps(blob, 5)))
+                out.append((t, _packed(blob)))
             if out:
                 yield _blobs(out)
 
@@ -347,10 +370,10 @@ def _send_segments(tasks: int):
             for t, rows_of in _by_task((anchor % np.uint64(tasks)).astype(np.int64), tasks):
                 one, later = rows_of[first[rows_of]], rows_of[~first[rows_of]]
                 mine = _take(symbols, begins[one], lengths[one])[0]
-                out.append((t, pickle.dumps([
+                out.append((t, _packed([
                     ids[one], ties[one], place[one].astype(np.int32), lengths[one].astype(np.int32),
                     (mine & np.uint64(0xFFFFFFFF)).astype(np.uint32), ((mine >> np.uint64(32)) & np.uint64(0xFF)).astype(np.uint8),
-                    ids[later], ties[later], place[later].astype(np.int32), lengths[later].astype(np.int32)], 5)))
+                    ids[later], ties[later], place[later].astype(np.int32), lengths[later].astype(np.int32)])))
             if out:
                 yield _blobs(out)
 
