@@ -1,6 +1,7 @@
 """Small hand-made tables with known answers."""
 
 import datetime
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -175,10 +176,10 @@ def test_resetting_sum_missing_value_until_next_reset(spark):
 def test_row_wise_steps_run_on_a_stream(spark, tmp_path):
     from millrace.streaming.chunks import process_new_files
 
-    source, sink = str(tmp_path / "in"), str(tmp_path / "out")
+    source, sink, name = str(tmp_path / "in"), str(tmp_path / "out"), f"stream-{uuid.uuid4().hex}"  # its progress outlives a run
     step = rows.chain(rows.assign(label=clean.missing_tokens_to_null("label")), rows.drop_missing(["label"]))
     batches = [[(1, " NA "), (2, " x ")], [(3, "y")]]
     for batch in batches:
         spark.createDataFrame(batch, "id bigint, label string").write.mode("append").parquet(source)
-        process_new_files(spark, source, "id bigint, label string", step, sink, f"stream-{tmp_path.name}")
+        process_new_files(spark, source, "id bigint, label string", step, sink, name)
     assert sorted(tuple(r) for r in spark.read.parquet(sink).collect()) == [(2, "x"), (3, "y")]
