@@ -12,8 +12,11 @@ windows have equal anchors wherever they stand. Consecutive windows with the sam
 3. Ranges go back to their documents.
 
 Segments with the same words are indexed once, and a portion of text sends each at most once, so passages shared by very many
-documents load no shard. All three steps see each word a constant number of times; nothing grows faster than the corpus.
-Words are compared by 40-bit hashes, which for twenty of them in a row and a 64-bit anchor leaves errors out of reach.
+documents load no shard. A phrase in very many documents with different words around it gives each of them a segment of its
+own under one anchor. Such a hot anchor has no shard: its windows are dealt one by one by a hash of all their words, so equal
+windows meet and the occurrences of the phrase are spread over all shards; the earliest of equal windows stays. All three steps
+see each word a constant number of times; nothing grows faster than the corpus. Words are compared by 40-bit hashes, which for
+twenty of them in a row and a 64-bit anchor leaves errors out of reach, and so do the 96 bits of a window of a hot anchor.
 """
 
 from __future__ import annotations
@@ -30,6 +33,8 @@ ANCHOR = 6
 PORTION = 1_000_000  # words that a task handles at once
 ANCHOR_WORDS = 4_000_000  # words of the corpus for each task of step 1
 SHARD_WORDS = 1_500_000  # words of the corpus for each shard of step 2
+HOT = 2_000  # segments from which on an anchor's windows are dealt one by one
+HOT_HERE = 100  # the same within a portion
 MOST_TASKS = 50_000  # beyond, a task does several shards one after the other
 
 
@@ -187,6 +192,41 @@ def _earliest(content):
     return first
 
 
+def _window_hashes(codes, at):
+    """Two hashes, of 64 and of 32 bits, of the windows that start at these places."""
+    import numpy as np
+
+    one, two = np.zeros(len(at), np.uint64), np.ones(len(at), np.uint64)
+    with np.errstate(over="ignore"):
+        for i in range(WINDOW):
+            code = codes[at + i]
+            one = _scrambled(one * np.uint64(0x9E3779B97F4A7C15) + code)
+            two = (two ^ (two >> np.uint64(29)) ^ code) * np.uint64(0xD6E8FEB86659FD93)
+    return one, (_scrambled(two) >> np.uint64(32)).astype(np.uint32)
+
+
+def _firsts(one, two):
+    """Which windows are the first with their two hashes, given in order of place."""
+    import numpy as np
+
+    order = np.lexsort((two, one))
+    new = np.ones(len(order), bool)
+    new[1:] = (one[order[1:]] != one[order[:-1]]) | (two[order[1:]] != two[order[:-1]])
+    first = np.zeros(len(order), bool)
+    first[order[new]] = True
+    return first
+
+
+def _places(ids, ties, place):
+    """Indices in order of id, tie and place, each place once."""
+    import numpy as np
+
+    order = np.lexsort((place, ties, ids))
+    same = np.zeros(len(order), bool)
+    same[1:] = (ids[order[1:]] == ids[order[:-1]]) & (ties[order[1:]] == ties[order[:-1]]) & (place[order[1:]] == place[order[:-1]])
+    return order[~same]
+
+
 def repeated_windows(symbols, starts, lengths):
     """For distinct segments in order of place: (segment, first window, windows) of each run of windows that occur earlier."""
     import numpy as np
@@ -276,7 +316,7 @@ def _unpacked(blob: bytes, many: int) -> list:
     return out
 
 
-ARRAYS = 10  # in the blobs of either step
+ANCHOR_ARRAYS, SEGMENT_ARRAYS = 10, 15  # in the blobs of the two steps
 
 
 def _blobs(found: list):
@@ -286,7 +326,7 @@ def _blobs(found: list):
         [pa.array([t for t, _ in found], pa.int32()), pa.array([b for _, b in found], pa.binary())], names=["shard", "blob"])
 
 
-def _groups(batches: Iterator) -> Iterator[tuple[int, list]]:
+def _groups(batches: Iterator, many: int) -> Iterator[tuple[int, list]]:
     """Blobs of each shard; rows come sorted by shard."""
     now, held = None, []
     for batch in batches:
@@ -295,7 +335,7 @@ def _groups(batches: Iterator) -> Iterator[tuple[int, list]]:
                 yield now, held
                 held = []
             now = shard
-            held.append(_unpacked(blob, ARRAYS))
+            held.append(_unpacked(blob, many))
     if held:
         yield now, held
 
@@ -312,17 +352,29 @@ def _send_anchors(tasks: int):
             value, first, where, many = np.unique(anchor, return_index=True, return_inverse=True, return_counts=True)
             known = many > 1  # within the portion: only one is sent on, all are candidates
             known[where[twice]] = True
-            sent = np.zeros(len(starts), bool)
-            sent[first] = True
-            task = (value % np.uint64(tasks)).astype(np.int64)[where] if len(value) else where
-            out = []
-            for t, rows_of in _by_task(task, tasks):
-                one, told = rows_of[sent[rows_of]], rows_of[known[where[rows_of]]]
-                blob = [anchor[one], known[where[one]]]
+            here = np.where(known, many, 0)
+            # Segments of anchors that are hot here need not learn it from the anchor's task and stay out of it.
+            hot = here[where] >= HOT_HERE
+            home = (value % np.uint64(tasks)).astype(np.int64)[where] if len(value) else where
+            away = (_scrambled(ids[doc[starts]].view(np.uint64)) % np.uint64(tasks)).astype(np.int64)
+            told_in = {t: r for t, r in _by_task(np.where(hot, away, home), tasks)}
+            one_in = {t: r for t, r in _by_task(home[first], tasks)}
+            rank, out, nobody = np.zeros(len(value), np.int64), [], np.zeros(0, np.int64)
+            for t in sorted(told_in.keys() | one_in.keys()):
+                one, told = first[one_in.get(t, nobody)], told_in.get(t, nobody)
+                told = told[known[where[told]]]
+                # In the order of the anchors sent, those already known to be hot last.
+                rank[where[one]] = np.arange(len(one))
+                told = told[np.argsort(np.where(hot[told], len(one), rank[where[told]]), kind="stable")]
+                if not len(one) and not len(told):
+                    continue
+                count = here[where[one]]
+                blob = [anchor[one], count.astype(np.min_scalar_type(int(count.max(initial=0))))]
                 for chosen in (one, told):
                     holders, place = np.unique(doc[starts[chosen]], return_inverse=True)
                     kind = np.uint16 if len(holders) < 65_536 else np.uint32
                     blob += [ids[holders], ties[holders], place.astype(kind), (starts[chosen] - base[doc[starts[chosen]]]).astype(np.int32)]
+                blob[-1] = np.where(hot[told], -1 - blob[-1], blob[-1])
                 out.append((t, _packed(blob)))
             if out:
                 yield _blobs(out)
@@ -337,19 +389,41 @@ def _found(ids, ties, values):
 
 
 def _find_candidates(batches: Iterator) -> Iterator:
-    """Segments whose anchor occurs twice, as starts within their documents."""
+    """Segments whose anchor occurs twice, as starts within their documents; -1 - start if the anchor is hot."""
     import numpy as np
 
-    for _, blobs in _groups(batches):
-        anchor = np.concatenate([b[0] for b in blobs])
+    for _, blobs in _groups(batches, ANCHOR_ARRAYS):
+        anchor, here = (np.concatenate([b[k] for b in blobs]) for k in range(2))
+        here = here.astype(np.int64)
         _, where, many = np.unique(anchor, return_inverse=True, return_counts=True)
+        hot = np.bincount(where, np.maximum(here, 1), len(many)) >= HOT
+        hot[where[here >= HOT_HERE]] = True
+        hot = hot[where]
         # A single row is enough where its portion has the anchor twice; its holders were told already.
-        chosen = (many[where] > 1) & ~np.concatenate([b[1] for b in blobs])
+        chosen = (many[where] > 1) & (here == 0)
         ids, ties, starts = (np.concatenate([b[k][b[4]] if k < 4 else b[5] for b in blobs]) for k in (2, 3, 5))
         told = [np.concatenate([b[k][b[8]] if k < 8 else b[9] for b in blobs]) for k in (6, 7, 9)]
+        starts = np.where(hot, -1 - starts, starts)
+        of = np.repeat(hot, np.where(here < HOT_HERE, here, 0))  # of the segments told, for those that do not know
+        open_ = told[2] >= 0
+        told[2] = told[2].copy()
+        told[2][open_] = np.where(of, -1 - told[2][open_], told[2][open_])
         yield _found(*(np.concatenate([x[chosen], y]) for x, y in zip((ids, ties, starts), told)))
 
 
+def _hot_windows(codes, doc, starts, counts, hot):
+    """Of the hot segments: the first of equal windows, their two hashes, and (start, words) of runs of the other windows."""
+    import numpy as np
+
+    at = _take(np.arange(len(codes)), starts[hot], counts[hot])[0]
+    one, two = _window_hashes(codes, at)
+    first = _firsts(one, two)
+    rest = at[~first]
+    heads = np.flatnonzero(np.diff(rest, prepend=-2) != 1)
+    many = np.diff(np.append(heads, len(rest)))
+    return at[first], (one[first], two[first]), (rest[heads], many + WINDOW - 1)
+
+
 def _send_segments(tasks: int):
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -358,22 +432,33 @@ def _send_segments(tasks: int):
         for rows in _portions(batches, 2):
             docs, codes, doc, base = _encoded(rows, words, 2)
             starts, counts, anchor, _ = segments(codes, doc)
-            wanted = [np.array(r[3], np.int64) + base[i] for i, r in enumerate(docs)]
-            chosen = np.isin(starts, np.concatenate(wanted))
+            told = [np.array(r[3], np.int64) for r in docs]
+            hot = np.concatenate(told) < 0
+            wanted = np.concatenate([np.where(x < 0, -1 - x, x) + base[i] for i, x in enumerate(told)])
+            ids, ties = np.array([r[0] for r in docs], np.int64), np.array([r[1] for r in docs], np.int32)
+            windows, whose, over = _hot_windows(codes, doc, starts, counts, np.isin(starts, wanted[hot]))
+            chosen = np.isin(starts, wanted[~hot])
             starts, lengths, anchor = starts[chosen], counts[chosen] + WINDOW - 1, anchor[chosen]
             symbols, begins = _take(codes, starts, lengths)
             first = _earliest(_content(symbols, begins, lengths))
-            holder = doc[starts]
-            ids, ties = np.array([r[0] for r in docs], np.int64)[holder], np.array([r[1] for r in docs], np.int32)[holder]
-            place = starts - base[holder]
-            out = []
-            for t, rows_of in _by_task((anchor % np.uint64(tasks)).astype(np.int64), tasks):
-                one, later = rows_of[first[rows_of]], rows_of[~first[rows_of]]
+            # Known repeats need no shard, so those of one passage are dealt by their holders.
+            again = np.concatenate([starts[~first], over[0]])
+            reach = np.concatenate([lengths[~first], over[1]])
+            starts, lengths, begins, anchor = starts[first], lengths[first], begins[first], anchor[first]
+            rows_in = [dict(_by_task((key % np.uint64(tasks)).astype(np.int64), tasks)) for key in (
+                anchor, _scrambled(ids[doc[again]].view(np.uint64)), whose[0])]
+            out, nobody = [], np.zeros(0, np.int64)
+            for t in sorted(set().union(*rows_in)):
+                one, later, alone = (r.get(t, nobody) for r in rows_in)
                 mine = _take(symbols, begins[one], lengths[one])[0]
+                blob = []
+                for at, length in ((starts[one], lengths[one]), (again[later], reach[later]), (windows[alone], None)):
+                    holder = doc[at]
+                    blob += [ids[holder], ties[holder], (at - base[holder]).astype(np.int32)]
+                    blob += [] if length is None else [length.astype(np.int32)]
                 out.append((t, _packed([
-                    ids[one], ties[one], place[one].astype(np.int32), lengths[one].astype(np.int32),
-                    (mine & np.uint64(0xFFFFFFFF)).astype(np.uint32), ((mine >> np.uint64(32)) & np.uint64(0xFF)).astype(np.uint8),
-                    ids[later], ties[later], place[later].astype(np.int32), lengths[later].astype(np.int32)])))
+                    *blob[:4], (mine & np.uint64(0xFFFFFFFF)).astype(np.uint32), ((mine >> np.uint64(32)) & np.uint64(0xFF)).astype(np.uint8),
+                    *blob[4:], whose[0][alone], whose[1][alone]])))
             if out:
                 yield _blobs(out)
 
@@ -384,24 +469,24 @@ def _search_shards(batches: Iterator) -> Iterator:
     """Ranges of words to remove from the segments of each shard: begin and end in the upper and lower half of a number."""
     import numpy as np
 
-    for _, blobs in _groups(batches):
-        ids, ties, place, lengths, low, top, *later = (np.concatenate([b[k] for b in blobs]) for k in range(10))
+    for _, blobs in _groups(batches, SEGMENT_ARRAYS):
+        ids, ties, place, lengths, low, top, *rest = (np.concatenate([b[k] for b in blobs]) for k in range(SEGMENT_ARRAYS))
+        later, alone = rest[:4], rest[4:]
         lengths = lengths.astype(np.int64)
         symbols = low.astype(np.uint64) | (top.astype(np.uint64) << np.uint64(32))
         starts = np.concatenate([[0], lengths.cumsum()])[:-1].astype(np.int64)
-        order = np.lexsort((place, ties, ids))
-        same = np.r_[False, (ids[order[1:]] == ids[order[:-1]]) & (ties[order[1:]] == ties[order[:-1]]) & (
-            place[order[1:]] == place[order[:-1]])] if len(order) else np.zeros(0, bool)
-        order = order[~same]  # rows that repeat id and text are one document
+        order = _places(ids, ties, place)  # rows that repeat id and text are one document
         content = _content(symbols, starts, lengths)[order]
         first = _earliest(content)
         indexed, copies = order[first], order[~first]
         text, begins = _take(symbols, starts[indexed], lengths[indexed])
         runs = repeated_windows(text, begins, lengths[indexed])
         of = indexed[runs[:, 0]]
-        at = [place[of] + runs[:, 1], place[copies], later[2]]
-        to = [at[0] + runs[:, 2] + WINDOW - 1, place[copies] + lengths[copies], later[2] + later[3]]
-        yield _found(np.concatenate([ids[of], ids[copies], later[0]]), np.concatenate([ties[of], ties[copies], later[1]]),
+        alone = [x[_places(*alone[:3])] for x in alone]
+        alone = [x[~_firsts(*alone[3:])] for x in alone]
+        at = [place[of] + runs[:, 1], place[copies], later[2], alone[2]]
+        to = [at[0] + runs[:, 2] + WINDOW - 1, place[copies] + lengths[copies], later[2] + later[3], alone[2] + WINDOW]
+        yield _found(np.concatenate([ids[of], ids[copies], later[0], alone[0]]), np.concatenate([ties[of], ties[copies], later[1], alone[1]]),
                      (np.concatenate(at).astype(np.int64) << 32) | np.concatenate(to))
 
 

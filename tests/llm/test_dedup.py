@@ -4,6 +4,8 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import pyarrow as pa
+
 from millrace.llm import exact_dedup, near_dedup, substring_dedup
 
 from rows_for_tests import ODD, table
@@ -171,6 +173,61 @@ def test_passages_of_odd_rows(odd, none):
     assert substring_dedup.deduplicated(none).count() == 0
 
 
+def phrase_texts(many):
+    """A phrase of 8 words in nine of ten texts with other words around it; some texts share more than the phrase."""
+    rng, phrase = random.Random(17), [f"hot{i}" for i in range(8)]
+    out = []
+    for i in range(many):
+        before, after = ([f"w{rng.randrange(10**9)}" for _ in range(15)] for _ in range(2))
+        if i % 10:
+            before, after = (([*before[:3], *(f"same{k}" for k in range(12))], after) if i % 7 == 0 else (before, after))
+            out.append(" ".join([*before, *phrase, *after]))
+        else:
+            out.append(" ".join([*before, *after]))
+    return out
+
+
+def test_passages_around_a_hot_phrase(spark, monkeypatch):
+    texts = phrase_texts(400)
+    want = plain_passages(enumerate(texts))
+    assert sum(removed > 0 for _, removed, _ in want.values()) > 30
+    for hot, here, portion in ((2_000, 100, 1_000_000), (30, 10**9, 2_000), (30, 8, 2_000), (10**9, 10**9, 2_000)):
+        monkeypatch.setattr(substring_dedup, "HOT", hot)
+        monkeypatch.setattr(substring_dedup, "HOT_HERE", here)
+        monkeypatch.setattr(substring_dedup, "PORTION", portion)
+        got = substring_dedup.deduplicated(table(spark, texts)).collect()
+        assert {r["doc_id"]: tuple(r)[1:] for r in got} == {i: v for (i, _), v in want.items()}
+
+
+def test_no_shard_holds_all_of_a_hot_phrase(monkeypatch):
+    monkeypatch.setattr(substring_dedup, "PORTION", 5_000)
+    monkeypatch.setattr(substring_dedup, "HOT", 300, raising=False)
+    texts, tasks = phrase_texts(4_000), 32
+    batches = [pa.record_batch({"id": pa.array(range(k, k + 50), pa.int64()), "tie": pa.array([0] * 50, pa.int32()),
+                                "text": texts[k:k + 50]}) for k in range(0, len(texts), 50)]
+
+    def dealt(sent):
+        rows = sorted((r for b in sent for r in b.to_pylist()), key=lambda r: r["shard"])
+        return [pa.RecordBatch.from_pylist(rows, pa.schema([("shard", pa.int32()), ("blob", pa.binary())]))]
+
+    def largest_share(batches):
+        sizes = Counter()
+        for row in batches[0].to_pylist():
+            sizes[row["shard"]] += len(row["blob"])
+        return max(sizes.values()) / sum(sizes.values())
+
+    anchors = dealt(substring_dedup._send_anchors(tasks)(iter(batches)))
+    starts = defaultdict(list)
+    for batch in substring_dedup._find_candidates(iter(anchors)):
+        for row in batch.to_pylist():
+            starts[row["id"]].append(row["found"])
+    assert len(starts) > 1_500
+    wanted = [pa.record_batch({"id": [i], "tie": pa.array([0], pa.int32()), "text": [texts[i]], "starts": [s]}) for i, s in starts.items()]
+    segments = dealt(substring_dedup._send_segments(tasks)(iter(wanted)))
+    share = largest_share(segments)
+    assert share < 3 / tasks
+
+
 def test_index_counts_occurrences():
     import numpy as np
 
