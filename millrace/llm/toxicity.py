@@ -3,8 +3,8 @@
 Token labels come from document labels: on a bounded sample, evidence (whole words and word beginnings) is chosen greedily so
 that it covers as many toxic and as few clean documents as possible; tokens with evidence are toxic in toxic documents, all
 others are not. The field has two tags, a weight for each piece of evidence and one for each tag transition, and is fitted by
-gradient ascent on the sentences of the sample. Forward-backward marginals give offending spans, and a logistic curve over
-what they add up to in a document gives its score.
+gradient ascent on all sentences of the sample, equal ones once with their number. Forward-backward marginals give offending
+spans, and a logistic curve over what they add up to in a document gives its score.
 """
 
 from __future__ import annotations
@@ -19,7 +19,6 @@ from millrace.llm.common import body, key_fraction, map_texts
 from millrace.llm.quality import labelled_sample
 
 SAMPLE = 3_000  # documents of each label that the model is fitted on, about
-SENTENCES = 4_000  # sentences with evidence, and as many without, that the field is fitted on
 EVIDENCE = 400  # pieces of evidence at most
 BEGINNINGS = range(3, 9)
 TOKEN = re.compile(r"\w+")
@@ -115,10 +114,11 @@ class Evidence(dict):
         return found
 
 
-def forward_backward(emission: list, first, move):
+def forward_backward(emission: list, first, move, times=None):
     """Probability of the toxic tag for every token, and the expected count of each tag transition, all sentences at once.
 
-    `emission`: an array per sentence, the score of the toxic tag against the other for each token.
+    `emission`: an array per sentence, the score of the toxic tag against the other for each token. `times`: how often each
+    sentence counts in the transitions, once if not given.
     """
     import numpy as np
 
@@ -152,17 +152,18 @@ def forward_backward(emission: list, first, move):
     inside[starts] = False
     at = np.flatnonzero(inside)
     pairs = ahead[at - 1][:, :, None] * trans * (gain[at] * back[at])[:, None, :]
-    return out, (pairs / pairs.sum((1, 2), keepdims=True)).sum(0)
+    share = pairs / pairs.sum((1, 2), keepdims=True)
+    return out, share.sum(0) if times is None else np.tensordot(np.repeat(times[order], lengths)[at], share, 1)
 
 
 def marginals(emission: list, first, move) -> list:
     return forward_backward(emission, first, move)[0]
 
 
-def fit_field(sequences: list, tags: list, many: int, rounds: int = 60, pull: float = 0.02):
+def fit_field(sequences: list, tags: list, many: int, times=None, rounds: int = 60, pull: float = 0.02):
     """Weights by ascent on the log-likelihood: counts observed in the tags less those the field expects.
 
-    `sequences`: per sentence a list of evidence tuples; `tags`: per sentence an array of 0 and 1.
+    `sequences`: per sentence a list of evidence tuples; `tags`: per sentence an array of 0 and 1; `times`: how often each counts.
     """
     import numpy as np
 
@@ -173,6 +174,8 @@ def fit_field(sequences: list, tags: list, many: int, rounds: int = 60, pull: fl
         sequences, np.concatenate([[0], np.cumsum([len(s) for s in sequences])])[:-1])]).astype(np.int64)
     number = np.array([n for s in sequences for t in s for n in t], np.int64)
     lengths = np.array([len(s) for s in sequences])
+    times = np.ones(len(sequences)) if times is None else np.asarray(times, float)
+    count = np.repeat(times, lengths)
     tag = np.concatenate(tags).astype(float)
     ends = lengths.cumsum()
     heads = ends - lengths
@@ -180,15 +183,15 @@ def fit_field(sequences: list, tags: list, many: int, rounds: int = 60, pull: fl
     inside[heads] = False
     pairs = np.flatnonzero(inside)
     both = np.stack([1 - tag, tag], 1)
-    seen = both[pairs - 1].T @ both[pairs]
+    seen = both[pairs - 1].T @ (both[pairs] * count[pairs, None])
     values = [weight, np.array(bias), first, move]
     speed = [np.zeros_like(v) for v in values]
     for _ in range(rounds):
         weight, bias, first, move = values
         flat = np.full(len(tag), float(bias))
         np.add.at(flat, row, weight[number])
-        split, steps = forward_backward(np.split(flat, ends[:-1]), first, move)
-        gap = tag - np.concatenate(split)
+        split, steps = forward_backward(np.split(flat, ends[:-1]), first, move, times)
+        gap = (tag - np.concatenate(split)) * count
         at_head = gap[heads].sum()
         slopes = (np.bincount(number, gap[row], many), gap.sum(), np.array([-at_head, at_head]), seen - steps)
         for k, (value, slope) in enumerate(zip(values, slopes)):
@@ -250,19 +253,20 @@ def tag(texts: list[str], model: Field, lookup: Evidence):
 
 def fit(texts: list[str], toxic: list[bool], weights: tuple[float, float] = (1.0, 1.0)) -> Field:
     """Evidence, field and curve from labelled texts; `weights` undo unequal sampling of clean and toxic texts."""
+    from collections import Counter
+
     import numpy as np
 
     evidence = choose_evidence(texts, toxic)
     lookup = Evidence(evidence)
-    with_, without = ([], []), ([], [])
+    # Of a sentence without evidence only the length matters, whatever the label, so they come down to few.
+    seen: Counter = Counter()
     for text, label in zip(texts, toxic):
         for sentence in sentences(text):
-            found = [lookup[word] for _, _, word in sentence]
-            into = with_ if any(found) else without
-            if len(into[0]) < SENTENCES:
-                into[0].append(found)
-                into[1].append(np.array([float(label and bool(f)) for f in found]))
-    weight, bias, first, move = fit_field(with_[0] + without[0], with_[1] + without[1], len(evidence))
+            found = tuple(lookup[word] for _, _, word in sentence)
+            seen[found, bool(label) and any(found)] += 1
+    tags = [np.array([float(label and bool(f)) for f in found]) for found, label in seen]
+    weight, bias, first, move = fit_field([found for found, _ in seen], tags, len(evidence), list(seen.values()))
     model = Field(evidence, weight, bias, first, move, np.zeros(5))
     plain = tuple({k.rstrip("*") for k in evidence})
     rows = []

@@ -107,6 +107,29 @@ def test_toxic_spans_and_scores(corpus):
         assert sorted(w for f in found for w in re.findall(r"\w+", f)) == sorted(said)
 
 
+def test_the_field_learns_from_late_sentences():
+    """The evidence of the last documents counts though many sentences come before it; equal sentences count as often as they are."""
+    rng = random.Random(3)
+
+    def text(word, lines):
+        return ". ".join(f"{word} {rng.choice('abcde')} {rng.choice('fghij')}" for _ in range(lines))
+
+    texts = [text("vilex", 60) for _ in range(100)] + [text("plain", 60) for _ in range(100)] + [text("grumpo", 3) for _ in range(20)]
+    toxic = [True] * 100 + [False] * 100 + [True] * 20
+    model = toxicity.fit(texts, toxic)
+    assert model.weight[model.evidence["vilex"]] > 1 and model.weight[model.evidence["grumpo"]] > 1
+    (score, spans), = toxicity.tag([texts[-1]], model, toxicity.Evidence(model.evidence))
+    assert score > 0.5 and [(a, b) for a, b, _ in spans] == [(m.start(), m.end()) for m in re.finditer("grumpo", texts[-1])]
+
+
+def test_a_sentence_counted_twice_is_two_sentences():
+    sequences = [[(0,), (), (1,)], [(), (), ()], [(1,), (0,)]]
+    tags = [np.array([1.0, 0, 0]), np.zeros(3), np.array([0.0, 1])]
+    once = toxicity.fit_field([sequences[0], *sequences], [tags[0], *tags], 2)
+    counted = toxicity.fit_field(sequences, tags, 2, [2, 1, 1])
+    assert all(np.allclose(a, b) for a, b in zip(once, counted))
+
+
 def test_toxicity_of_odd_rows(odd, none, labels):
     got = toxicity.tagged(odd, labels).collect()
     assert Counter(r["doc_id"] for r in got) == Counter(i for i, _, _ in ODD) and all(0 <= r["score"] <= 1 for r in got)
