@@ -11,6 +11,8 @@ short texts are as selective as those of long ones. A band's members are not exp
    text close to their common origin, so one comparison each connects nearly all that can be connected.
 2. What is left outside the hub's component is paired with members of other components only where an exact bound allows a
    link: two texts cannot share more than what both share with the hub and what else of theirs occurs in any other text.
+3. Where that could be very many pairs, texts meet by their rarest shingles instead of by the band: two linked texts share one
+   of the rarest fifth (at 80 %) of either's, so a template that all of them contain brings no two together.
 
 No link between components is lost that way, and links inside a component cannot change it.
 """
@@ -29,6 +31,7 @@ BUCKETS = 128
 ROWS = 4  # registers in a band: at Jaccard 0.8 all 32 bands miss with a chance of 5e-8
 MANTISSA = 10  # bits; the leading zeros take the other six
 SHIPPED_IDS = 200_000  # ids of the texts whose sets are needed that are shipped to the tasks reading the texts
+CROWD = 400  # possible pairs from which on a band's texts meet by their rarest shingles
 SLACK = 5.0  # standard errors that an estimate may be under the threshold without being discarded
 
 
@@ -204,6 +207,28 @@ def _shared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", "s_a", "s_b").mapInArrow(run, "a bigint, b bigint, common bigint, n_a bigint, n_b bigint")
 
 
+def _by_rarest(texts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs `a, b` of the texts (`rep, comp, outside`) that may be linked, of different components, one of them outside.
+
+    The shingles of a set are ordered by the number of sets that hold them. If two sets of n and m shingles are linked, they share
+    one of the first n - ceil(percent * n / 100) + 1 of the one and of the first as many of the other.
+    """
+    held = sets.join(texts.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").withColumn(
+        "row", F.xxhash64("shingles")).dropDuplicates(["doc_id", "row"])
+    each = held.select("doc_id", "row", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    often = each.groupBy("shingle").agg(F.count("*").alias("often"))
+    ordered = each.join(often, "shingle").groupBy("doc_id", "row", "n").agg(
+        F.array_sort(F.collect_list(F.struct("often", "shingle"))).alias("all"))
+    first = ordered.select(F.col("doc_id").alias("rep"), "n", F.explode(F.expr(
+        f"slice(all, 1, CAST(n - (n * {percent} + 99) DIV 100 + 1 AS INT))")).alias("s")).where("s.often > 1").select(
+        "rep", "n", F.col("s.shingle").alias("shingle"))
+    first = materialise(first.join(texts, "rep"), "near-rarest")
+    x = first.where("outside").select("shingle", *[F.col(c).alias(f"x_{c}") for c in ("rep", "n", "comp")])
+    met = first.join(x, "shingle").where(f"""comp <> x_comp AND (NOT outside OR x_rep < rep)
+        AND 100 * least(n, x_n) >= {percent} * greatest(n, x_n)""")
+    return met.select(F.least("rep", "x_rep").alias("a"), F.greatest("rep", "x_rep").alias("b")).distinct()
+
+
 def components(links: DataFrame) -> DataFrame:
     """`node, component` (smallest node reachable) for every node of the links, by alternating large and small stars.
 
@@ -291,12 +316,20 @@ def _linked(own: DataFrame, docs: DataFrame, shape: Shape) -> DataFrame:
         "band", "rep", "n", "elsewhere", "comp", F.coalesce("common", "n").alias("common"),
         ((F.col("comp") != F.col("hub_comp")) & (100 * F.col("elsewhere") >= percent * F.col("n"))).alias("outside"))
     at = materialise(at.join(own.select("rep", "bands").dropDuplicates(["rep"]), "rep"), "near-at")
+    crowded = materialise(at.groupBy("band").agg(F.count("*").alias("n"), F.count_if("outside").alias("out")).where(
+        F.col("n") * F.col("out") > CROWD).select("band"), "near-crowded")
+    crowd = None
+    if not crowded.isEmpty():
+        texts = at.join(crowded, "band", "left_semi").groupBy("rep", "comp").agg(F.max("outside").alias("outside"))
+        crowd = _by_rarest(materialise(texts, "near-crowd"), sets, percent)
+        at = at.join(crowded, "band", "left_anti")
     x = at.where("outside").select("band", *[F.col(c).alias(f"x_{c}") for c in ("rep", "n", "elsewhere", "comp", "common", "bands")])
     most = "(least(common, x_common) + greatest(0, least(elsewhere - common, x_elsewhere - x_common)))"
     across = at.join(x, "band").where(f"""comp <> x_comp AND (NOT outside OR x_rep < rep)
         AND 100 * least(n, x_n) >= {percent} * greatest(n, x_n) AND 100 * {most} >= {percent} * (n + x_n - {most})
         AND array_position(zip_with(bands, x_bands, (p, q) -> p = q), true) = array_position(bands, band)""")
     pairs = across.select(F.least("rep", "x_rep").alias("a"), F.greatest("rep", "x_rep").alias("b")).distinct()
+    pairs = pairs if crowd is None else pairs.union(crowd).distinct()
     hopeful = materialise(_hopeful(pairs, own, percent), "near-pairs")
     more = materialise(_shared(hopeful, sets).where(alike).select("a", "b"), "near-more")
     if more.isEmpty():

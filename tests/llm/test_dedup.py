@@ -99,6 +99,29 @@ def test_near_classes_are_those_of_all_pairs(spark):
             assert sum(r["component_id"] != want[r["doc_id"]] for r in got) <= len(got) // 5
 
 
+def test_near_copies_in_a_common_template(spark, monkeypatch):
+    """Texts that share 60 % of their words, each with a near copy of its own, are not paired with all others."""
+    rng, texts, counted, hopeful = random.Random(23), [], [], near_dedup._hopeful
+    template = [f"t{i}" for i in range(180)]
+    for i in range(120):
+        own = [f"w{rng.randrange(10**9)}" for _ in range(120)]
+        texts += [" ".join([*template, *own]), " ".join([*template, *own[:-1], "changed"])]
+
+    def counting(pairs, *rest):
+        counted.append(pairs.count())
+        return hopeful(pairs, *rest)
+
+    monkeypatch.setattr(near_dedup, "_hopeful", counting)
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.classes(table(spark, texts)).collect()}
+    assert got == {i: i - i % 2 for i in range(240)}
+    assert counted and counted[0] < 1_000
+
+
+def test_crowded_bands_find_the_same_classes(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "CROWD", 0)
+    test_near_classes_are_those_of_all_pairs(spark)
+
+
 def test_near_odd_rows(odd, none):
     got = near_dedup.classes(odd, near_dedup.Shape(4, 80)).collect()
     want = plain_classes([(i, t) for i, t, _ in ODD], 4, 80)
