@@ -43,7 +43,11 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
     found = secrets.scanned(_documents(spark, folder))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{secrets.KINDS[k]}") for k in range(3)]
+
+    def of(kind: int):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{secrets.KINDS[kind]}")
+
+    counts = [of(kind) for kind in range(3)]
     return found.select("doc_id", *counts, F.sha2(secrets.written(F.col("base")).cast("binary"), 256).alias("base_sha256"),
                         secrets.written(F.concat("base", "added")).alias("spans"))
 
