@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import bpe, common, exact_dedup, mix, near_dedup, quality, secrets, sketch, substring_dedup, token_count, toxicity
+from millrace.llm import bpe, common, exact_dedup, mix, near_dedup, quality, runs, secrets, sketch, substring_dedup, token_count, toxicity
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -108,8 +108,35 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
+
+def planted(doc_id: int | None, words: list) -> list:
+    """The words with the repetition that the contract of op13 plants in a tenth of the documents; rows without an id have none."""
+    import zlib
+
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    n, g = len(words), h // 10
+    if h % 10 or not n:
+        return words
+    first = g % n
+    period = 1 + (n - first) // (3 + g % 8)
+    unit = words[first:first + period]
+    return words[:first] + (unit * ((n - first) // period + 1))[:n - first]
+
+
+def op13_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = runs.collapsed(_documents(spark, folder), planted)
+    # The longest run; of equal ones the first, then that of the least period: the array is in that order.
+    longest = F.filter("runs", lambda r: r["length"] == F.array_max(F.col("runs")["length"]))[0]
+    listed = F.concat_ws("", F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"])))
+    return found.withColumn("best", F.when(F.size("runs") > 0, longest)).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("bigint").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("kept_text").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     f.__name__: f for f in (
         op1_toxicity, op2_substring_dedup, op3_bpe, op4_secrets, op5_quality, op6_near_dedup, op7_mix, op8_fingerprints,
-        op9_token_counts, op10_exact_dedup)}
+        op9_token_counts, op10_exact_dedup, op13_runs)}
 SQL = {"op7_mix": OP7_SQL, "op10_exact_dedup": OP10_SQL}
