@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import bpe, common, exact_dedup, mix, near_dedup, quality, runs, secrets, sketch, substring_dedup, token_count, toxicity
+from millrace.llm import (
+    bpe, common, exact_dedup, mix, near_dedup, packing, quality, runs, secrets, sketch, substring_dedup, token_count, toxicity)
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -109,6 +110,13 @@ FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
 
+def op11_packing(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    found = packing.packed(_documents(spark, folder), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    return found.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def planted(doc_id: int | None, words: list) -> list:
     """The words with the repetition that the contract of op13 plants in a tenth of the documents; rows without an id have none."""
     import zlib
@@ -138,5 +146,5 @@ def op13_runs(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f for f in (
         op1_toxicity, op2_substring_dedup, op3_bpe, op4_secrets, op5_quality, op6_near_dedup, op7_mix, op8_fingerprints,
-        op9_token_counts, op10_exact_dedup, op13_runs)}
+        op9_token_counts, op10_exact_dedup, op11_packing, op13_runs)}
 SQL = {"op7_mix": OP7_SQL, "op10_exact_dedup": OP10_SQL}
