@@ -1,7 +1,7 @@
 """Secret scans: known patterns, and character Markov models for strings that look random.
 
-Two first-order models of characters, one of random strings and one of ordinary identifiers, are counted over labelled
-samples: values that the known patterns find, with seeded random strings of usual alphabets, against other tokens and
+Two first-order models of characters, one of random strings and one of ordinary identifiers, are counted over the whole
+corpus: values that the known patterns find, with seeded random strings of usual alphabets, against other tokens and
 identifiers joined from them. A token whose log-likelihood ratio per character is high enough is reported as well. Counting is
 a Spark aggregation over pairs of characters, so the models are two small tables whatever the corpus holds.
 """
@@ -13,7 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.llm.common import key_fraction, map_texts
+from millrace.llm.common import map_texts
 
 # The kinds and patterns of the contract. Where it asks for a length, the pattern may ask for it as well: a
 # longest run that is too short holds no run that is long enough.
@@ -27,7 +27,6 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{6,}")
 DIGIT, LETTER = re.compile("[0-9]"), re.compile("[A-Za-z]")
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-."
-SAMPLE = 10_000  # documents the models are counted on, about
 DRAWN = 4_000  # random strings added to what the patterns find
 BACK = 20.0  # counts that the frequency of single characters stands for
 LEAST = 2.4  # log-likelihood ratio per character from which a token is reported
@@ -80,16 +79,14 @@ def count_pairs() -> Callable[[list, list], dict]:
     return rows
 
 
-def learn(docs: DataFrame, rows: int = SAMPLE):
+def learn(docs: DataFrame):
     """Log-likelihood ratio of each character pair as an array over ALPHABET x ALPHABET.
 
-    Counted over about `rows` documents chosen by a hash of their id. Pairs are smoothed by how frequent their second character is.
+    Counted over all documents, in each batch before the shuffle. Pairs are smoothed by how frequent their second character is.
     """
     import numpy as np
 
-    there = docs.count()
-    sample = docs if there <= rows else docs.where(key_fraction("doc_id", "secrets") < rows / there)
-    counted = map_texts(sample, count_pairs, "label int, pair string, n bigint").groupBy("label", "pair").agg(F.sum("n").alias("n"))
+    counted = map_texts(docs, count_pairs, "label int, pair string, n bigint").groupBy("label", "pair").agg(F.sum("n").alias("n"))
     place = {c: i for i, c in enumerate(ALPHABET)}
     counts = np.zeros((2, len(ALPHABET), len(ALPHABET)))
     for r in counted.collect():  # two labels and the pairs of a fixed alphabet
@@ -132,13 +129,14 @@ def start(ratio) -> Callable[[list, list], dict]:
 SPANS = "array<struct<start:int,end:int,kind:int>>"
 
 
-def scanned(docs: DataFrame, rows: int = SAMPLE) -> DataFrame:
+def scanned(docs: DataFrame) -> DataFrame:
     """`doc_id, base, added, ratio` of every whole text, one row per row of `docs`.
 
     `base` lists what the known patterns find, by start and kind (a number into KINDS), `added` what the models add; offsets are
-    code points, ends exclusive. A token that touches a span of `base` is not added. NULL and empty texts have none.
+    code points, ends exclusive. A token that touches a span of `base` is not added. NULL and empty texts have none. A very long text
+    is scanned in one task, in time that grows with its length.
     """
-    ratio = learn(docs, rows)
+    ratio = learn(docs)
     return map_texts(docs, lambda: start(ratio), f"doc_id bigint, base {SPANS}, added {SPANS}, ratio array<double>")
 
 
