@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.llm import (
-    bpe, common, exact_dedup, mix, near_dedup, packing, quality, runs, secrets, sketch, substring_dedup, token_count, toxicity)
+    bpe, common, exact_dedup, mix, near_dedup, packing, prefix_trie, quality, runs, secrets, sketch, substring_dedup, token_count, toxicity)
+from millrace.operators.joins import join_small
+from millrace.session import materialise
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -117,6 +119,73 @@ def op11_packing(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def _rebuilt(turns: DataFrame, ids: DataFrame) -> DataFrame:
+    """Conversations as the contract of op12 rebuilds them: the first turns of their hundred's first one, then their own later ones."""
+    turn = F.struct("place", "t1", "t2", "chars")
+    bases = turns.where("conv_id % 100 = 0 AND place < 5").groupBy(F.col("conv_id").alias("base")).agg(
+        F.array_sort(F.collect_list(turn)).alias("opening"))
+    cut = ids.withColumn("base", F.expr("conv_id - conv_id % 100")).withColumn("h", _taken()).join(bases, "base", "left").select(
+        "conv_id", F.expr("slice(coalesce(opening, array()), 1, h)").alias("opening"), "h")
+    cut = materialise(cut, "op12-cut")
+    # Only conversations whose base has fewer turns than they take move theirs forward.
+    moved = cut.where("size(opening) < h").select("conv_id", (F.col("h") - F.size("opening")).alias("by"))
+    own = join_small(turns.where(F.col("place") >= _taken()), moved, ["conv_id"]).withColumn(
+        "place", F.col("place") - F.coalesce("by", F.lit(0)))
+    return cut.select("conv_id", F.explode("opening").alias("t")).select("conv_id", "t.*").unionByName(own.drop("by"))
+
+
+def _taken():
+    return (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6).cast("int")
+
+
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = materialise(prefix_trie.numbered(common.table(spark, folder, "conversations")), "op12-turns")
+    ids = turns.select("conv_id").distinct()
+    return prefix_trie.trie(_rebuilt(turns, ids), ids)
+
+
+# crc32 of a decimal number, byte by byte over a table of 256 values that eight steps a byte give.
+OP12_SQL = """
+WITH RECURSIVE steps(b, k, c) AS (
+    SELECT range, 0, range FROM range(256)
+    UNION ALL SELECT b, k + 1, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM steps WHERE k < 8),
+crc_table AS (SELECT list(c ORDER BY b) AS t FROM steps WHERE k = 8),
+original AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) - 1 AS place
+    FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+    SELECT conv_id, conv_id - conv_id % 100 AS base,
+           xor(list_reduce(list_prepend(4294967295::BIGINT, [ascii(x)::BIGINT for x in string_split(conv_id::VARCHAR, '')]),
+                           lambda c, x: xor(c >> 8, t[xor(c, x) % 256 + 1])), 4294967295) % 6 AS h
+    FROM (SELECT DISTINCT conv_id FROM original), crc_table),
+lengths AS (SELECT conv_id AS base, count(*) AS n FROM original GROUP BY conv_id),
+turns AS (
+    SELECT c.conv_id, o.place, o.role, o.text FROM convs c JOIN original o ON o.conv_id = c.base AND o.place < c.h
+    UNION ALL
+    SELECT c.conv_id, o.place - c.h + least(c.h, coalesce(l.n, 0)), o.role, o.text
+    FROM convs c JOIN original o ON o.conv_id = c.conv_id AND o.place >= c.h LEFT JOIN lengths l ON l.base = c.base),
+paths AS (
+    SELECT conv_id, place + 1 AS depth, length(text) AS chars,
+           md5(string_agg(md5(role) || md5(text), '' ORDER BY place) OVER (PARTITION BY conv_id ORDER BY place)) AS node
+    FROM turns
+    UNION ALL SELECT conv_id, 0, 0, '' FROM convs),
+stepped AS (SELECT *, lag(node) OVER c AS above, lead(node) OVER c IS NULL AS ends FROM paths WINDOW c AS (PARTITION BY conv_id ORDER BY depth)),
+nodes AS (
+    SELECT node, above, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+           sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+    FROM stepped GROUP BY ALL),
+children AS (SELECT above AS node, count(*) AS n_children FROM nodes GROUP BY above),
+-- The ancestors of a node are on the path of any of its members.
+below AS (
+    SELECT p.node, count(*) FILTER (WHERE c.n_children IS NULL) AS n_leaves, sum((n.n_convs - 1) * n.chars) AS saved_tokens
+    FROM nodes n JOIN paths p ON p.conv_id = n.conv_id AND p.depth <= n.depth LEFT JOIN children c ON c.node = n.node GROUP BY p.node)
+SELECT n.conv_id, n.depth::BIGINT AS depth, a.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n_children, 0)::BIGINT AS n_children,
+       b.n_leaves::BIGINT AS n_leaves, b.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN below b ON b.node = n.node LEFT JOIN children c ON c.node = n.node LEFT JOIN nodes a ON a.node = n.above
+"""
+
+
 def planted(doc_id: int | None, words: list) -> list:
     """The words with the repetition that the contract of op13 plants in a tenth of the documents; rows without an id have none."""
     import zlib
@@ -146,5 +215,5 @@ def op13_runs(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f for f in (
         op1_toxicity, op2_substring_dedup, op3_bpe, op4_secrets, op5_quality, op6_near_dedup, op7_mix, op8_fingerprints,
-        op9_token_counts, op10_exact_dedup, op11_packing, op13_runs)}
-SQL = {"op7_mix": OP7_SQL, "op10_exact_dedup": OP10_SQL}
+        op9_token_counts, op10_exact_dedup, op11_packing, op12_prefix_trie, op13_runs)}
+SQL = {"op7_mix": OP7_SQL, "op10_exact_dedup": OP10_SQL, "op12_prefix_trie": OP12_SQL}
