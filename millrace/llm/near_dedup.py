@@ -12,7 +12,8 @@ short texts are as selective as those of long ones. A band's members are not exp
 2. What is left outside the hub's component is paired with members of other components only where an exact bound allows a
    link: two texts cannot share more than what both share with the hub and what else of theirs occurs in any other text.
 3. Where that could be very many pairs, texts meet by their rarest shingles instead of by the band: two linked texts share one
-   of the rarest fifth (at 80 %) of either's, so a template that all of them contain brings no two together.
+   of the rarest fifth (at 80 %) of either's, so a template that all of them contain brings no two together. A pair is given once,
+   where the places of that shingle allow a link, and what both share with their hub, counted by bits.
 
 No link between components is lost that way, and links inside a component cannot change it.
 """
@@ -182,36 +183,49 @@ def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     return map_texts(docs.join(wanted, "doc_id", "left_semi"), start, "doc_id bigint, shingles array<bigint>")
 
 
+def _mask(part, whole):
+    """Which elements of a sorted array another one holds, as bits of whole numbers."""
+    import numpy as np
+
+    bits = np.packbits(np.isin(whole, part, assume_unique=True), bitorder="little")
+    return np.concatenate([bits, np.zeros(-len(bits) % 8, np.uint8)]).view(np.int64)
+
+
 def _shared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs `a, b` with the number of shingles the full sets have in common and have each."""
+    """Pairs `a, b` with the number of shingles the full sets have in common and have each, and b's shingles that a has, as bits."""
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
         for batch in batches:
-            common, left, right = [], [], []
+            common, left, right, masks = [], [], [], []
             s_a, s_b = batch.column("s_a"), batch.column("s_b")
             for i in range(batch.num_rows):
                 x, y = (s[i].values.to_numpy() for s in (s_a, s_b))
                 common.append(len(np.intersect1d(x, y, assume_unique=True)))
                 left.append(len(x))
                 right.append(len(y))
+                masks.append(_mask(x, y))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b"), *(pa.array(v, pa.int64()) for v in (common, left, right))],
-                names=["a", "b", "common", "n_a", "n_b"])
+                [batch.column("a"), batch.column("b"), *(pa.array(v, pa.int64()) for v in (common, left, right)),
+                 pa.array(masks, pa.list_(pa.int64()))], names=["a", "b", "common", "n_a", "n_b", "mask"])
 
     def side(name):
         return sets.select(F.col("doc_id").alias(name), F.col("shingles").alias(f"s_{name}"))
 
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    return both.select("a", "b", "s_a", "s_b").mapInArrow(run, "a bigint, b bigint, common bigint, n_a bigint, n_b bigint")
+    return both.select("a", "b", "s_a", "s_b").mapInArrow(
+        run, "a bigint, b bigint, common bigint, n_a bigint, n_b bigint, mask array<bigint>")
 
 
 def _by_rarest(texts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs `a, b` of the texts (`rep, comp, outside`) that may be linked, of different components, one of them outside.
+    """Pairs `a, b` of the texts that may be linked, of different components, one of them outside; each pair once.
 
-    The shingles of a set are ordered by the number of sets that hold them. If two sets of n and m shingles are linked, they share
-    one of the first n - ceil(percent * n / 100) + 1 of the one and of the first as many of the other.
+    `texts` has `rep, comp, outside`, the hub the text shares most with, a mask of the hub's shingles it has, and how many of its
+    other shingles occur in any other text (`extra`). The shingles of a set are ordered by the number of sets that hold them. If two
+    sets of n and m shingles are linked, they share one of the first n - ceil(percent * n / 100) + 1 of the one and of the first as
+    many of the other. A pair is given at the first they share, if what follows there in both can be enough; and if they have
+    the same hub, what both share with it, counted exactly, and the smaller `extra` must be enough.
     """
     held = sets.join(texts.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").withColumn(
         "row", F.xxhash64("shingles")).dropDuplicates(["doc_id", "row"])
@@ -219,13 +233,24 @@ def _by_rarest(texts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     often = each.groupBy("shingle").agg(F.count("*").alias("often"))
     ordered = each.join(often, "shingle").groupBy("doc_id", "row", "n").agg(
         F.array_sort(F.collect_list(F.struct("often", "shingle"))).alias("all"))
-    first = ordered.select(F.col("doc_id").alias("rep"), "n", F.explode(F.expr(
-        f"slice(all, 1, CAST(n - (n * {percent} + 99) DIV 100 + 1 AS INT))")).alias("s")).where("s.often > 1").select(
-        "rep", "n", F.col("s.shingle").alias("shingle"))
+    first = ordered.select(F.col("doc_id").alias("rep"), "n", F.expr(
+        f"slice(all, 1, CAST(n - (n * {percent} + 99) DIV 100 + 1 AS INT))").alias("rare"))
+    # Shingles that no other text holds come first and are shared with none, but count as places.
+    first = first.select("rep", "n", F.expr("transform(filter(rare, s -> s.often > 1), s -> s.shingle)").alias("rare"),
+                         F.posexplode("rare").alias("place", "s")).where("s.often > 1").select(
+        "rep", "n", "rare", "place", F.col("s.shingle").alias("shingle"))
     first = materialise(first.join(texts, "rep"), "near-rarest")
-    x = first.where("outside").select("shingle", *[F.col(c).alias(f"x_{c}") for c in ("rep", "n", "comp")])
+    kept = ("rep", "n", "rare", "place", "comp", "hub", "mask", "extra")
+    x = first.where("outside").select("shingle", *[F.col(c).alias(f"x_{c}") for c in kept])
+
+    def enough(most: str) -> str:
+        return f"100 * ({most}) >= {percent} * (n + x_n - ({most}))"
+
+    both = "aggregate(zip_with(mask, x_mask, (p, q) -> bit_count(p & q)), 0, (t, c) -> t + c)"
     met = first.join(x, "shingle").where(f"""comp <> x_comp AND (NOT outside OR x_rep < rep)
-        AND 100 * least(n, x_n) >= {percent} * greatest(n, x_n)""")
+        AND {enough("least(n - place, x_n - x_place)")}
+        AND (NOT hub <=> x_hub OR hub IS NULL OR {enough(f"{both} + least(extra, x_extra)")})
+        AND array_intersect(rare, x_rare)[0] = shingle""")
     return met.select(F.least("rep", "x_rep").alias("a"), F.greatest("rep", "x_rep").alias("b")).distinct()
 
 
@@ -311,6 +336,10 @@ def _linked(own: DataFrame, docs: DataFrame, shape: Shape) -> DataFrame:
 
     # Outsiders of a band: not in the component of its hub. Any pair across components has at least one.
     with_hub = shared.groupBy(F.col("a").alias("rep"), F.col("b").alias("hub")).agg(F.max("common").alias("common"))
+    # The hub a text shares most with; of rows that repeat an id nothing is known.
+    best = shared.groupBy(F.col("a").alias("rep"), F.col("b").alias("hub")).agg(
+        F.max("common").alias("common"), F.any_value("mask").alias("mask"), F.count("*").alias("rows")).where("rows = 1").groupBy(
+        "rep").agg(F.max(F.struct("common", "hub", "mask")).alias("best"))
     at = placed.join(nodes, "rep").join(nodes.select(F.col("rep").alias("hub"), F.col("comp").alias("hub_comp")), "hub").join(
         with_hub, ["rep", "hub"], "left").select(
         "band", "rep", "n", "elsewhere", "comp", F.coalesce("common", "n").alias("common"),
@@ -320,7 +349,9 @@ def _linked(own: DataFrame, docs: DataFrame, shape: Shape) -> DataFrame:
         F.col("n") * F.col("out") > CROWD).select("band"), "near-crowded")
     crowd = None
     if not crowded.isEmpty():
-        texts = at.join(crowded, "band", "left_semi").groupBy("rep", "comp").agg(F.max("outside").alias("outside"))
+        texts = at.join(crowded, "band", "left_semi").groupBy("rep", "comp", "elsewhere").agg(F.max("outside").alias("outside"))
+        texts = texts.join(best, "rep", "left").select(
+            "rep", "comp", "outside", "best.hub", "best.mask", (F.col("elsewhere") - F.col("best.common")).alias("extra"))
         crowd = _by_rarest(materialise(texts, "near-crowd"), sets, percent)
         at = at.join(crowded, "band", "left_anti")
     x = at.where("outside").select("band", *[F.col(c).alias(f"x_{c}") for c in ("rep", "n", "elsewhere", "comp", "common", "bands")])
