@@ -33,6 +33,7 @@ ROWS = 4  # registers in a band: at Jaccard 0.8 all 32 bands miss with a chance
 MANTISSA = 10  # bits; the leading zeros take the other six
 SHIPPED_IDS = 200_000  # ids of the texts whose sets are needed that are shipped to the tasks reading the texts
 CROWD = 400  # possible pairs from which on a band's texts meet by their rarest shingles
+CELLS = 1 << 18  # counters of the order by frequency
 SLACK = 5.0  # standard errors that an estimate may be under the threshold without being discarded
 
 
@@ -218,27 +219,62 @@ def _shared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         run, "a bigint, b bigint, common bigint, n_a bigint, n_b bigint, mask array<bigint>")
 
 
+def _rarest(sets: DataFrame, percent: int) -> DataFrame:
+    """`rep, n, rare`: the shingles of each set that come first by frequency, as many as a link needs one of.
+
+    Frequencies are counts of CELLS cells of the hash range, so the order is the same everywhere and its table has a fixed size;
+    where cells fill up it still puts a template's shingles last.
+    """
+    import numpy as np
+
+    def count(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            cells, n = np.unique(batch.column("shingles").flatten().to_numpy().view(np.uint64) % np.uint64(CELLS), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(cells.astype(np.int64)), pa.array(n)], names=["cell", "n"])
+
+    counted = sets.select("shingles").mapInArrow(count, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
+    found = counted.toPandas()  # at most CELLS rows
+    often = np.zeros(CELLS, np.int64)
+    often[found["cell"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
+    shared = sets.sparkSession.sparkContext.broadcast(often)
+
+    def order(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            sizes, rare = [], []
+            for i in range(batch.num_rows):
+                all_of = batch.column("shingles")[i].values.to_numpy()
+                n = len(all_of)
+                frequency = shared.value[(all_of.view(np.uint64) % np.uint64(CELLS)).astype(np.int64)]
+                sizes.append(n)
+                rare.append(all_of[np.lexsort((all_of, frequency))[:n - (n * percent + 99) // 100 + 1]])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(rare, pa.list_(pa.int64()))], names=["rep", "n", "rare"])
+
+    return sets.select("doc_id", "shingles").mapInArrow(order, "rep bigint, n bigint, rare array<bigint>")
+
+
 def _by_rarest(texts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs `a, b` of the texts that may be linked, of different components, one of them outside; each pair once.
 
     `texts` has `rep, comp, outside`, the hub the text shares most with, a mask of the hub's shingles it has, and how many of its
-    other shingles occur in any other text (`extra`). The shingles of a set are ordered by the number of sets that hold them. If two
-    sets of n and m shingles are linked, they share one of the first n - ceil(percent * n / 100) + 1 of the one and of the first as
-    many of the other. A pair is given at the first they share, if what follows there in both can be enough; and if they have
+    other shingles occur in any other text (`extra`). Shingles are ordered by how often they occur (`_rarest`; any fixed
+    order is right). If two sets of n and m shingles are linked, they share one of the first n - ceil(percent * n / 100) + 1 of the
+    one and of the first as many of the other. A pair is given at the first they share, if what follows there in both can be enough; and if they have
     the same hub, what both share with it, counted exactly, and the smaller `extra` must be enough.
     """
     held = sets.join(texts.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").withColumn(
-        "row", F.xxhash64("shingles")).dropDuplicates(["doc_id", "row"])
-    each = held.select("doc_id", "row", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
-    often = each.groupBy("shingle").agg(F.count("*").alias("often"))
-    ordered = each.join(often, "shingle").groupBy("doc_id", "row", "n").agg(
-        F.array_sort(F.collect_list(F.struct("often", "shingle"))).alias("all"))
-    first = ordered.select(F.col("doc_id").alias("rep"), "n", F.expr(
-        f"slice(all, 1, CAST(n - (n * {percent} + 99) DIV 100 + 1 AS INT))").alias("rare"))
-    # Shingles that no other text holds come first and are shared with none, but count as places.
-    first = first.select("rep", "n", F.expr("transform(filter(rare, s -> s.often > 1), s -> s.shingle)").alias("rare"),
-                         F.posexplode("rare").alias("place", "s")).where("s.often > 1").select(
-        "rep", "n", "rare", "place", F.col("s.shingle").alias("shingle"))
+        "row", F.xxhash64("shingles")).dropDuplicates(["doc_id", "row"]).select("doc_id", "shingles")
+    first = _rarest(materialise(held, "near-held"), percent).select(
+        "rep", "n", "rare", F.posexplode("rare").alias("place", "shingle"))
+    first = materialise(first, "near-places")
+    met = first.groupBy("shingle").agg(F.count("*").alias("often")).where("often > 1").select("shingle")
+    first = first.join(met, "shingle", "left_semi")
     first = materialise(first.join(texts, "rep"), "near-rarest")
     kept = ("rep", "n", "rare", "place", "comp", "hub", "mask", "extra")
     x = first.where("outside").select("shingle", *[F.col(c).alias(f"x_{c}") for c in kept])
