@@ -11,6 +11,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Callable, Iterator
+from heapq import heapify, heappop, heappush
 from itertools import chain, islice
 
 from pyspark.sql import DataFrame
@@ -20,6 +21,7 @@ from millrace.llm.common import map_texts
 REMEMBERED = 400_000  # pieces and halves a task remembers before it starts afresh
 LONG = 1_000_000  # texts of more characters are split into pieces in portions
 PORTION = 200_000
+SHORT = 48  # bytes up to which pairs are looked through, instead of kept in a heap
 NEVER = 1 << 60
 
 
@@ -36,13 +38,17 @@ class Codec:
         self.ranks = ranks
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self._halves: dict[bytes, tuple[int, ...]] = {}
+        self._stable: dict[tuple[int, int], bool] = {}
         self._pairs: dict[tuple[int, int], tuple[int, ...]] = {}
+        self._split: dict[int, tuple[int, int] | None] = {}
 
-    def merged(self, piece: bytes) -> tuple[int, ...]:
-        """The definition: merge the adjacent pair of lowest rank, leftmost first, until none is left."""
+    def merged(self, piece: bytes, below: int = NEVER) -> tuple[int, ...]:
+        """The definition: merge the adjacent pair of lowest rank (under `below`), leftmost first, until none is left."""
+        if len(piece) > SHORT:
+            return self._merged_by_heap(piece, below)
         parts, rank = [piece[i:i + 1] for i in range(len(piece))], self.ranks.get
         order = [rank(a + b, NEVER) for a, b in zip(parts, parts[1:])]
-        while order and (best := min(order)) < NEVER:
+        while order and (best := min(order)) < below:
             at = order.index(best)
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
             del order[at]
@@ -52,8 +58,29 @@ class Codec:
                 order[at] = rank(parts[at] + parts[at + 1], NEVER)
         return tuple([self.ranks[p] for p in parts])
 
+    def _merged_by_heap(self, piece: bytes, below: int) -> tuple[int, ...]:
+        """The same over linked parts: a part is known by its start, `ends` has its end, `starts` the start of the one that ends there."""
+        rank, n = self.ranks.get, len(piece)
+        ends, starts = list(range(1, n + 1)), [0, *range(n)]
+        heap = [(r, i, i + 1, i + 2) for i in range(n - 1) if (r := rank(piece[i:i + 2], NEVER)) < below]
+        heapify(heap)
+        while heap:
+            _, i, middle, end = heappop(heap)
+            if ends[i] != middle or middle >= n or ends[middle] != end:
+                continue  # one of the two has been merged with another part
+            ends[i], starts[end], ends[middle] = end, i, -1
+            if end < n and (r := rank(piece[i:ends[end]], NEVER)) < below:
+                heappush(heap, (r, i, end, ends[end]))
+            if i and (r := rank(piece[starts[i]:end], NEVER)) < below:
+                heappush(heap, (r, starts[i], i, end))
+        out, i = [], 0
+        while i < n:
+            out.append(self.ranks[piece[i:ends[i]]])
+            i = ends[i]
+        return tuple(out)
+
     def pair(self, left: int, right: int) -> tuple[int, ...]:
-        """The encoding of the bytes of two tokens side by side; the two themselves if they are stable."""
+        """The encoding of the bytes of two tokens side by side."""
         known = self._pairs.get((left, right))
         if known is None:
             if len(self._pairs) > REMEMBERED:
@@ -61,16 +88,47 @@ class Codec:
             known = self._pairs[left, right] = self.merged(self.bytes_of[left] + self.bytes_of[right])
         return known
 
+    def split(self, token: int) -> tuple[int, int] | None:
+        """The two tokens whose merge makes this one; None for a single byte."""
+        if token not in self._split:
+            piece = self.bytes_of[token]
+            self._split[token] = self.merged(piece, token) if len(piece) > 1 else None
+        return self._split[token]
+
     def stable(self, left: int, right: int) -> bool:
-        return self.pair(left, right) == (left, right)
+        """Whether the encoding of the bytes of two tokens side by side is those two.
+
+        The merges that made both are undone, the later one first. Whenever what then touches at the border could be merged at a
+        rank below the merge just undone, that merge would have come first.
+        """
+        known = self._stable.get((left, right))
+        if known is None:
+            if len(self._stable) > REMEMBERED:
+                self._stable.clear()
+            known = self._stable[left, right] = self._holds(left, right)
+        return known
+
+    def _holds(self, left: int, right: int) -> bool:
+        limit: float = NEVER
+        while True:
+            if self.ranks.get(self.bytes_of[left] + self.bytes_of[right], NEVER) < limit:
+                return False
+            a, b = self.split(left), self.split(right)
+            if a is None and b is None:
+                return True
+            # Of equal ranks the left one is merged first, so it is undone last.
+            if b is None or (a is not None and left > right):
+                left, limit = a[-1], left
+            else:
+                right, limit = b[0], right + 1
 
     def join(self, left: tuple[int, ...], right: tuple[int, ...]) -> tuple[int, ...]:
         """The encoding of the concatenation of what two encodings stand for."""
-        if not left or not right:
+        if not left or not right or self.stable(left[-1], right[0]):
             return left + right
         i = j = 1
         window = self.pair(left[-1], right[0])
-        while window != left[len(left) - i:] + right[:j]:
+        while True:
             fits_left = i == len(left) or self.stable(left[-i - 1], window[0])
             fits_right = j == len(right) or self.stable(window[-1], right[j])
             if fits_left and fits_right:
@@ -78,7 +136,6 @@ class Codec:
             i = i if fits_left else min(len(left), 2 * i)
             j = j if fits_right else min(len(right), 2 * j)
             window = self.merged(self.decode(left[len(left) - i:] + right[:j]))
-        return left + right
 
     def encode(self, piece: bytes) -> tuple[int, ...]:
         """Tokens of one piece, by halves."""
@@ -87,7 +144,8 @@ class Codec:
             return (whole,)
         known = self._halves.get(piece)
         if known is None:
-            middle = len(piece) // 2
+            # Long pieces are cut at powers of two, where runs of one character stay in step with their tokens.
+            middle = len(piece) // 2 if len(piece) <= 64 else 1 << (len(piece) - 1).bit_length() - 1
             known = self.join(self.encode(piece[:middle]), self.encode(piece[middle:])) if piece else ()
             if len(piece) <= 12:
                 if len(self._halves) > REMEMBERED:
@@ -104,15 +162,15 @@ class Codec:
 
 
 class _Pieces(dict):
-    """Piece of text to (tokens, the tokens as text, the bytes they decode to), filled as pieces appear."""
+    """Piece of text to (the tokens as text, the bytes they decode to, how many they are, the tokens), filled as pieces appear."""
 
     def __init__(self, codec: Codec):
         super().__init__()
         self.codec = codec
 
-    def __missing__(self, piece: str):
+    def __missing__(self, piece: str) -> tuple:
         tokens = self.codec.encode(piece.encode())
-        value = tokens, " ".join(map(str, tokens)), self.codec.decode(tokens)
+        value = " ".join(map(str, tokens)), self.codec.decode(tokens), len(tokens), tokens
         if len(piece) <= 32:
             self[piece] = value
         return value
@@ -128,9 +186,12 @@ def _portions(pattern, text: str) -> Iterator[list[str]]:
 
 
 def start(ranks: dict[bytes, int], pattern: str, with_ids: bool) -> Callable[[list, list], dict]:
+    import gc
+
     import regex
 
     pieces, splitter = _Pieces(Codec(ranks)), regex.compile(pattern)
+    gc.set_threshold(100_000, 50, 100)  # what is remembered has no cycles: look for them seldom
 
     def rows(ids: list, texts: list) -> dict:
         out: dict = {"doc_id": ids, "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
@@ -141,13 +202,14 @@ def start(ranks: dict[bytes, int], pattern: str, with_ids: bool) -> Callable[[li
                 pieces.clear()
             n, digest, decoded, tokens = 0, hashlib.sha256(), hashlib.sha256(), []
             for portion in _portions(splitter, text):
-                found = list(map(pieces.__getitem__, portion))
-                if found:
-                    digest.update(((" " if n else "") + " ".join([f[1] for f in found])).encode())
-                    decoded.update(b"".join([f[2] for f in found]))
-                    n += sum([len(f[0]) for f in found])
-                    if with_ids:
-                        tokens += chain.from_iterable([f[0] for f in found])
+                if not portion:
+                    continue
+                written, raw, counts, lists = zip(*map(pieces.__getitem__, portion))
+                digest.update(((" " if n else "") + " ".join(written)).encode())
+                decoded.update(b"".join(raw))
+                n += sum(counts)
+                if with_ids:
+                    tokens += chain.from_iterable(lists)
             out["n_tokens"].append(n)
             out["ids_sha256"].append(digest.hexdigest())
             out["decoded_sha256"].append(decoded.hexdigest())
