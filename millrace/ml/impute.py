@@ -11,7 +11,8 @@ from pyspark.ml import Estimator, Model
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.ml.base import ColumnEstimator, ColumnModel, Configured, present
-from millrace.operators.neighbours import knn_join
+from millrace.operators.neighbours import knn_with_gaps
+from millrace.session import materialise
 from millrace.operators.ordered import forward_fill
 from millrace.operators.profile import modes
 
@@ -69,18 +70,11 @@ def forward_fill_step(columns: Sequence[str], order: str, tie: str | None = None
 # -- nearest neighbours ----------------------------------------------------------------------------------------------
 
 
-def _pattern(columns: Sequence[str]) -> Column:
-    """Which columns are present, as a bit mask."""
-    bits = [F.when(present(c).isNotNull(), F.lit(1 << i)).otherwise(F.lit(0)) for i, c in enumerate(columns)]
-    return sum(bits[1:], bits[0])
-
-
 class KNNImputer(Estimator, Configured):
     """Mean of the k nearest training rows that have the value, weighted by inverse distance.
 
     Distance is Euclidean over the columns both rows have, scaled up to all columns. Rows sharing no column with any
-    donor get the training mean. For each set of shared columns this is a plain Euclidean neighbour join, so rows are
-    grouped by (column to fill, columns the row has, shared columns) and the groups' answers merged per row.
+    donor get the training mean. Any number of columns and of missing patterns: values and masks go through one block kernel.
     """
 
     def __init__(self, columns=(), key: str = "id", k: int = 5, weights: str = "distance"):
@@ -99,52 +93,17 @@ class KNNImputerModel(Model):
         super().__init__()
         self.columns, self.settings, self.donors, self.means = list(columns), settings, donors, means
 
-    def _vector(self, shared: int) -> Column:
-        held = [i for i in range(len(self.columns)) if shared >> i & 1]
-        scale = (len(self.columns) / len(held)) ** 0.5
-        return F.array(*[present(c) * F.lit(scale) if i in held else F.lit(0.0) for i, c in enumerate(self.columns)])
-
     def neighbours(self, df: DataFrame, **join_options) -> DataFrame:
-        """(query_id, target, donor_id, distance): the k nearest donors per row and missing column."""
-        columns, k = self.columns, self.settings["k"]
-        every = (1 << len(columns)) - 1
-        queries = df.select(F.col(self.settings["key"]).cast("bigint").alias("id"), *[present(c).alias(c) for c in columns],
-                            _pattern(columns).alias("_p"))
-        donors = self.donors.withColumn("_p", _pattern(columns))
-        # Missing patterns are a property of the schema: at most 2 ** columns values.
-        asked = [r["_p"] for r in queries.where(F.col("_p") != every).select("_p").distinct().collect()]
-        given = [r["_p"] for r in donors.select("_p").distinct().collect()]
-        query_side, donor_side = [], []
-        for t in range(len(columns)):
-            for own in asked:
-                if own >> t & 1 or not own:
-                    continue
-                offers: dict[int, list[int]] = {}
-                for g in given:
-                    if g >> t & 1 and g & own:
-                        offers.setdefault(g & own, []).append(g)
-                for shared, patterns in offers.items():
-                    name = F.lit(f"{t}|{own}|{shared}").alias("grp")
-                    entry = F.struct(name, self._vector(shared).alias("vec"))
-                    query_side.append(F.when(F.col("_p") == own, entry))
-                    donor_side.append(F.when(F.col("_p").isin(patterns), entry))
-        if not query_side:
-            return df.sparkSession.createDataFrame([], "query_id bigint, target int, donor_id bigint, distance double")
-
-        def spread(table: DataFrame, entries: list[Column]) -> DataFrame:
-            return table.select("id", F.explode(F.array_compact(F.array(*entries))).alias("e")).select("id", "e.vec", "e.grp")
-
-        found = knn_join(spread(queries, query_side), spread(donors, donor_side), k, **join_options)
-        found = found.withColumn("target", F.split("grp", r"\|")[0].cast("int"))
-        w = Window.partitionBy("query_id", "target").orderBy("distance", "donor_id")
-        best = found.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
-        return best.select("query_id", "target", "donor_id", "distance")
+        """(query_id, target, donor_id, distance, value): the k nearest donors per row and missing column."""
+        def points(table: DataFrame, key: str) -> DataFrame:
+            vec = F.array(*[present(c).cast("double") for c in self.columns])
+            return materialise(table.select(F.col(key).cast("bigint").alias("id"), vec.alias("vec")), "knn-points")
+
+        return knn_with_gaps(points(df, self.settings["key"]), points(self.donors, "id"), self.settings["k"], **join_options)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         columns, key = self.columns, self.settings["key"]
-        near = self.neighbours(dataset).join(self.donors, F.col("donor_id") == F.col("id"))
-        value = F.element_at(F.array(*[F.col(c) for c in columns]), F.col("target") + 1)
-        near = near.select("query_id", "target", "distance", value.alias("v"))
+        near = self.neighbours(dataset).withColumnRenamed("value", "v")
         if self.settings["weights"] == "distance":
             touching = F.count_if(F.col("distance") == 0) > 0
             at_zero = F.avg(F.when(F.col("distance") == 0, F.col("v")))

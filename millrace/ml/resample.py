@@ -71,16 +71,16 @@ def smote(
     categorical_value='mode'. A class of one row is repeated as it is. Result: key, label, columns, base (the row it
     grew from) and is_synthetic.
     """
-    columns = [*features, *categorical]
-    rows = df.select(F.col(key).cast("bigint").alias("_id"), F.col(label).alias("_y"),
-                     *[F.col(c).cast("double").alias(c) for c in features], *categorical)
+    rows = materialise(df.select(F.col(key).cast("bigint").alias("_id"), F.col(label).alias("_y"),
+                                 F.array(*[F.col(c).cast("double") for c in features]).alias("_v"), *categorical), "smote")
     quota = _with_quota(rows, "_id", "_y", seed)
     numbered = hash_prefix(quota, "_id", {"_upto": F.col("_extra")}, seed=seed)
     growing = numbered.where(F.col("_extra") > 0)
     small = join_null_safe(rows, growing.select("_y").distinct(), ["_y"], "left_semi")
-    points = vectors(small, "_id", features, "_y")
+    points = small.select(F.col("_id").alias("id"), F.col("_v").alias("vec"), F.coalesce(
+        F.col("_y").cast("string"), F.lit("\x00missing")).alias("grp"))
     near = knn_join(points, points, k, exclude_self=True, **join_options)
-    donors = rows.select(F.col("_id").alias("donor_id"), F.struct(*columns).alias("_d"))
+    donors = rows.select(F.col("_id").alias("donor_id"), F.struct("_v", *categorical).alias("_d"))
     # At most k entries per row.
     listed = near.join(donors, "donor_id").groupBy(F.col("query_id").alias("_id")).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("rank", "_d"))), lambda s: s["_d"]).alias("_near"))
@@ -93,7 +93,9 @@ def smote(
     u = key_uniform("_id", "_copy", seed=f"{seed}:step")
     other = F.try_element_at("_near", pick("neighbour"))
     grown = grown.withColumns({"_other": other, "_u": u})
-    made = {c: F.coalesce(F.col(c) + F.col("_u") * (F.col("_other")[c] - F.col(c)), F.col(c)) for c in features}
+    # A row without neighbours, or a missing feature, stays as it is.
+    between = F.zip_with("_v", F.col("_other")["_v"], lambda x, o: F.coalesce(x + F.col("_u") * (o - x), x))
+    made = {}
     for c in categorical:
         if categorical_value == "mode":
             values = F.transform("_near", lambda d: d[c])
@@ -104,11 +106,12 @@ def smote(
             chosen = F.try_element_at("_near", pick(f"category:{c}"))[c]
         made[c] = F.when(F.size("_near") > 0, chosen).otherwise(F.col(c))
     new_id = F.col("_copy") - F.col("_upto")  # -upto .. -upto + extra - 1: unique over all rows
-    synthetic = grown.select(new_id.alias(key), F.col("_y").alias(label), *[e.alias(c) for c, e in made.items()],
+    synthetic = grown.select(new_id.alias("_id"), "_y", F.coalesce(between, "_v").alias("_v"), *[e.alias(c) for c, e in made.items()],
                              F.col("_id").alias("base"), F.lit(True).alias("is_synthetic"))
-    original = rows.select(F.col("_id").alias(key), F.col("_y").alias(label), *columns, F.col("_id").alias("base"),
-                           F.lit(False).alias("is_synthetic"))
-    return original.unionByName(synthetic)
+    original = rows.select("_id", "_y", "_v", *categorical, F.col("_id").alias("base"), F.lit(False).alias("is_synthetic"))
+    every = materialise(original.unionByName(synthetic), "smote-grown")
+    return every.select(F.col("_id").alias(key), F.col("_y").alias(label), *[F.col("_v")[i].alias(c) for i, c in enumerate(features)],
+                        *categorical, "base", "is_synthetic")
 
 
 def tomek_links(df: DataFrame, key: str, label: str, features: Sequence[str], **join_options) -> DataFrame:

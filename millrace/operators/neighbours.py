@@ -5,10 +5,11 @@ No pair of rows is ever written out: tasks compare blocks of vectors with numpy
 * Copies are compared once. Equal vectors are collapsed to one vector with its few lowest ids first, so a group of
   copies, however large, costs as much as a single row; the answer is then given to every copy.
 * Few donors (size checked): the donor table is shipped to the tasks and each query batch is answered in one pass.
-* Otherwise each group gets a bounded set of pivot vectors. A query belongs to the cell of its nearest pivot. With U the
-  largest query distance in cell i and K the k-th smallest donor distance to pivot i, the triangle inequality says that
-  every neighbour of every query of the cell lies within 2U + K of the pivot, so a donor is sent only to the cells it can
-  matter for. Cells of any size are cut into blocks of bounded size by key hash; block results are merged per query.
+* Otherwise donors are put into cells of about CELL_ROWS by a tree of two levels of pivots, as many as the rows ask for; the
+  tree is a table, and queries go down it too. A cell is known by its centre and its radius, so two cells have a least distance.
+  Queries first meet the donors of their own cell, then the nearest other cells, and then every cell that is not
+  farther than the largest k-th distance their cell has found by then. Donors farther than that from the cell are not sent
+  either. Cells of any size are cut into blocks of bounded size by key hash; block results are merged per query.
 """
 
 from __future__ import annotations
@@ -18,16 +19,18 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from millrace.operators.joins import join_small
 from millrace.session import materialise
 
 BLOCK_ROWS = 4_096
-MAX_PIVOTS = 64
+CELL_ROWS = 2_000  # distinct donors in a cell, about
+TASK_ROWS = 50_000  # rows that one task brings to their pivots
+NEAR_CELLS = 4  # other cells a cell is compared with before its reach is taken
+SLACK = 1e-9  # far above the rounding error of distances, so no neighbour is lost to it
 # Donor tables up to this many numbers (rows x dimensions) are shipped to the tasks: 64 MB of doubles.
 SHIPPED_NUMBERS = 8_000_000
-MAX_GROUPS = 10_000
-
 
 
 def _matrix(vectors) -> np.ndarray:
@@ -57,6 +60,87 @@ def nearest_in_block(queries: np.ndarray, donors: np.ndarray, donor_rank: np.nda
             yield i, near[j], exact[j]
 
 
+def nearest_with_gaps(queries: np.ndarray, donors: np.ndarray, donor_rank: np.ndarray, k: int) -> Iterator[tuple]:
+    """(query position, column, donor position, distance): for each missing (NaN) entry the k nearest donors that have the column.
+
+    Distance is Euclidean over the columns both rows have, scaled up to all columns; rows without a common column are not near.
+    All masked distances of two blocks come from three matrix products; those near the k-th are measured again exactly.
+    """
+    if not len(queries) or not len(donors):
+        return
+    has_q, has_d = ~np.isnan(queries), ~np.isnan(donors)
+    q, d, dims = np.nan_to_num(queries), np.nan_to_num(donors), queries.shape[1]
+    shared = has_q.astype(float) @ has_d.T.astype(float)
+    parts = (q * q) @ has_d.T.astype(float), has_q.astype(float) @ (d * d).T
+    with np.errstate(divide="ignore", invalid="ignore"):
+        quick = np.where(shared > 0, np.maximum(parts[0] + parts[1] - 2.0 * (q @ d.T), 0.0) * dims / shared, np.inf)
+    error = 1e-12 * dims * dims * ((q * q).sum(1) + (d * d).sum(1).max() + 1.0)
+    for t in np.flatnonzero(~has_q.all(0)):
+        able = np.flatnonzero(has_d[:, t])
+        if not len(able):
+            continue
+        for i in np.flatnonzero(~has_q[:, t]):
+            far = quick[i, able]
+            kth = min(k, len(able)) - 1
+            near = able[far <= min(np.partition(far, kth)[kth] + error[i], np.finfo(float).max)]
+            both = has_q[i] & has_d[near]
+            exact = np.sqrt((np.where(both, d[near] - q[i], 0.0) ** 2).sum(1) * (dims / both.sum(1)))
+            for j in np.lexsort((donor_rank[near], exact))[:k]:
+                yield i, t, near[j], exact[j]
+
+
+def knn_with_gaps(
+    queries: DataFrame, donors: DataFrame, k: int, shipped_numbers: int = SHIPPED_NUMBERS, block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """(query_id, target, donor_id, distance, value) for every missing entry of the queries: the k nearest rows that have it.
+
+    Both tables have `id bigint` and `vec array<double>` of one length, with NULL or NaN for what is missing; `target` is the
+    position in the vector, `value` the donor's. Few donors (size checked) are shipped once; otherwise both tables are cut into
+    blocks of bounded size, each block of queries meets one copy of every block of donors, and block results are merged. A masked
+    distance obeys no triangle inequality, so no block can be left out: the work is queries x donors.
+    """
+    spark = queries.sparkSession
+    donors = materialise(donors.select("id", "vec").where(F.exists("vec", lambda x: x.isNotNull() & ~F.isnan(x))), "gap-donors")
+    gappy = F.exists("vec", lambda x: x.isNull() | F.isnan(x)) & F.exists("vec", lambda x: x.isNotNull() & ~F.isnan(x))
+    queries = queries.select("id", "vec").where(gappy)
+    schema = "query_id bigint, target int, donor_id bigint, distance double, value double"
+    size = donors.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("dims")).first()
+
+    def answered(a: pd.DataFrame, ids: np.ndarray, points: np.ndarray) -> pd.DataFrame:
+        out, own, rows = [], a["id"].to_numpy(np.int64), _matrix(a["vec"].tolist())
+        for s in range(0, len(own), 512):
+            out += [(own[s + i], t, ids[j], dist, points[j, t]) for i, t, j, dist in nearest_with_gaps(rows[s:s + 512], points, ids, k)]
+        return pd.DataFrame(out, columns=["query_id", "target", "donor_id", "distance", "value"])
+
+    if not size["n"]:
+        return spark.createDataFrame([], schema)
+    if size["n"] * size["dims"] <= shipped_numbers:
+        pdf = donors.toPandas()
+        shared = spark.sparkContext.broadcast((pdf["id"].to_numpy(np.int64), _matrix(pdf["vec"].tolist())))
+
+        def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                yield answered(batch, *shared.value)
+
+        return queries.mapInPandas(answer, schema)
+    queries = materialise(queries, "gap-queries")
+    blocks, donor_blocks = (math.ceil(n / block_rows) for n in (queries.count(), size["n"]))
+
+    def numbered(df: DataFrame, own: str, n: int, other: str, m: int) -> DataFrame:
+        return df.withColumn(own, F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")).withColumn(
+            other, F.explode(F.sequence(F.lit(0), F.lit(m - 1))))
+
+    def compare(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        return answered(a, b["id"].to_numpy(np.int64), _matrix(b["vec"].tolist()))
+
+    if not blocks:
+        return spark.createDataFrame([], schema)
+    left, right = numbered(queries, "qb", blocks, "db", donor_blocks), numbered(donors, "db", donor_blocks, "qb", blocks)
+    partial = left.groupBy("qb", "db").cogroup(right.groupBy("qb", "db")).applyInPandas(compare, schema)
+    w = Window.partitionBy("query_id", "target").orderBy("distance", "donor_id")
+    return partial.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).drop("_rn")
+
+
 def _complete(df: DataFrame) -> DataFrame:
     """Rows that can be compared: those with a vector that has no missing part."""
     return df.where(F.col("vec").isNotNull() & F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x)))
@@ -72,13 +156,14 @@ def _collapse(df: DataFrame, keep: int) -> DataFrame:
 
 def knn_join(
     queries: DataFrame, donors: DataFrame, k: int, exclude_self: bool = False,
-    shipped_numbers: int = SHIPPED_NUMBERS, block_rows: int = BLOCK_ROWS, pivots: int = MAX_PIVOTS,
+    shipped_numbers: int = SHIPPED_NUMBERS, block_rows: int = BLOCK_ROWS, cell_rows: int = CELL_ROWS, report: list | None = None,
 ) -> DataFrame:
     """(grp, query_id, donor_id, distance, rank) for the k nearest donors of every query row.
 
     Both tables have `id bigint`, `vec array<double>` and `grp string` (queries only meet donors of their group).
     With `exclude_self` a row is not its own neighbour (same id). A row whose vector is missing or has a missing part, NULL or
-    NaN, has no neighbours and is nobody's neighbour.
+    NaN, has no neighbours and is nobody's neighbour. `report`, if given, gets for each round of the large path the number
+    of cells, of pairs of cells and of donor rows sent.
     """
     spark = queries.sparkSession
     alone = queries is donors
@@ -88,19 +173,20 @@ def knn_join(
     d = materialise(_collapse(donors.select("id", "vec", "grp"), wanted), "donors")
     q = d if queries is donors else _collapse(queries.select("id", "vec", "grp"), 1)
     q = q.select("grp", "vec", "rep")
-    size = d.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("dims"), F.countDistinct("grp").alias("groups")).first()
+    size = d.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("dims")).first()
     if not size["n"]:
         return spark.createDataFrame([], "grp string, query_id bigint, donor_id bigint, distance double, rank int")
     if size["n"] * size["dims"] <= shipped_numbers:
         found = _shipped(spark, q, d, wanted)
     else:
-        if size["groups"] > MAX_GROUPS:
-            raise ValueError(f"more than {MAX_GROUPS} groups; join within coarser groups")
-        # All pivots together stay within the shipped size.
-        pivots = max(1, min(pivots, SHIPPED_NUMBERS // (size["groups"] * size["dims"])))
-        q = q if queries is donors else materialise(q, "queries")
-        found = _blocked(spark, q, d, wanted, block_rows, pivots)
-    # found: rep, donor rep, distance for distinct vectors. Give each query row its vector's answer, list donor copies.
+        d_rows = d.select("grp", "rep", "vec")
+        q_rows = d_rows if queries is donors else materialise(q.select("grp", "rep", "vec"), "queries")
+        found = _blocked(q_rows, d_rows, wanted, block_rows, cell_rows, report)
+    return _listed(found, q, d, queries, k, exclude_self)
+
+
+def _listed(found: DataFrame, q: DataFrame, d: DataFrame, queries: DataFrame, k: int, exclude_self: bool) -> DataFrame:
+    """Give each query row its vector's answer (rep, donor rep, distance for distinct vectors), and list the copies of donors."""
     near = found.join(d.select(F.col("rep").alias("donor"), "grp", "ids"), ["grp", "donor"])
     reps = queries.select("id", "vec", "grp").join(q, ["grp", "vec"]).select(F.col("id").alias("query_id"), "grp", "rep")
     rows = reps.join(near, ["grp", "rep"]).select("grp", "query_id", F.explode("ids").alias("donor_id"), "distance")
@@ -136,76 +222,121 @@ def _shipped(spark: SparkSession, q: DataFrame, d: DataFrame, k: int) -> DataFra
     return q.repartition("grp", "rep").mapInPandas(answer, FOUND)
 
 
-def _blocked(spark: SparkSession, q: DataFrame, d: DataFrame, k: int, block_rows: int, pivots: int) -> DataFrame:
-    by_hash = Window.partitionBy("grp").orderBy(F.xxhash64("vec"), "rep")
-    chosen = d.withColumn("_rn", F.row_number().over(by_hash)).where(F.col("_rn") <= pivots).select("grp", "vec")
-    picked: dict[str, list] = {}
-    for r in chosen.toLocalIterator():
-        picked.setdefault(r["grp"], []).append(r["vec"])
-    centres = spark.sparkContext.broadcast({g: _matrix(v) for g, v in picked.items()})
+def _sizes(df: DataFrame, key: Sequence[str], rows_per: int, out: str) -> DataFrame:
+    """Rows of each key, and into how many parts of `rows_per` they are cut."""
+    return df.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).withColumn(out, F.ceil(F.col("n") / rows_per).cast("int"))
 
-    def to_pivots(part: pd.DataFrame, g: str) -> np.ndarray:
-        return np.sqrt(_squared(_matrix(part["vec"].tolist()), centres.value[g]))
 
-    def donor_stats(batches):
-        """Per task and pivot the k smallest donor distances."""
-        best: dict[str, np.ndarray] = {}
-        for batch in batches:
-            for g, part in batch.groupby("grp"):
-                stack = to_pivots(part, g)
-                stack = np.vstack([best[g], stack]) if g in best else stack
-                best[g] = np.sort(stack, axis=0)[:k]
-        for g, block in best.items():
-            rows = [(g, c, float(x)) for c in range(block.shape[1]) for x in block[:, c]]
-            yield pd.DataFrame(rows, columns=["grp", "cell", "dist"])
-
-    smallest = d.select("grp", "vec").mapInPandas(donor_stats, "grp string, cell int, dist double")
-    w = Window.partitionBy("grp", "cell").orderBy("dist")
-    kth = smallest.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).groupBy("grp", "cell").agg(
-        F.max("dist").alias("kth"), F.count(F.lit(1)).alias("n"))
-    kth_of = {(r["grp"], r["cell"]): (r["kth"] if r["n"] >= k else math.inf) for r in kth.collect()}
-
-    def assign(batches):
-        for batch in batches:
-            batch = batch[batch["grp"].isin(list(centres.value))]
-            for g, part in batch.groupby("grp"):
-                far = to_pivots(part, g)
-                cell = far.argmin(1)
-                yield part.assign(cell=cell.astype(np.int32), dist=far[np.arange(len(part)), cell])
-
-    celled = q.mapInPandas(assign, "grp string, vec array<double>, rep bigint, cell int, dist double")
-    cells = celled.groupBy("grp", "cell").agg(F.max("dist").alias("reach"), F.count(F.lit(1)).alias("n")).collect()
-    reach = {(r["grp"], r["cell"]): 2.0 * r["reach"] + kth_of[r["grp"], r["cell"]] for r in cells}
-    limits = {}
-    for g, centre in centres.value.items():
-        # Slack far above the rounding error of the quick distances, so no neighbour is lost to it.
-        slack = 1e-5 * (1.0 + float(np.abs(centre).max()) * math.sqrt(centre.shape[1]))
-        limits[g] = np.array([reach.get((g, c), -math.inf) + slack for c in range(len(centre))])
-    limits = spark.sparkContext.broadcast(limits)
-
-    def spread(batches):
-        for batch in batches:
-            for g, part in batch.groupby("grp"):
-                rows, cell = np.nonzero(to_pivots(part, g) <= limits.value[g][None, :])
-                if len(rows):
-                    yield part.iloc[rows].assign(cell=cell.astype(np.int32))
-
-    sent = d.select("grp", "vec", "rep").mapInPandas(spread, "grp string, vec array<double>, rep bigint, cell int")
-    sent_count = {(r["grp"], r["cell"]): r["count"] for r in sent.groupBy("grp", "cell").count().collect()}
-    plan = [(r["grp"], r["cell"], math.ceil(r["n"] / block_rows),
-             math.ceil(sent_count.get((r["grp"], r["cell"]), 0) / block_rows)) for r in cells]
-    # At most one row per pivot: a bounded table.
-    blocks = F.broadcast(spark.createDataFrame(plan, "grp string, cell int, qblocks int, dblocks int"))
-
-    def numbered(df: DataFrame, own: str, other: str, own_n: str, other_n: str) -> DataFrame:
-        """Own block by key hash; one copy for every block of the other side."""
-        return df.join(blocks, ["grp", "cell"]).where(F.col(other_n) > 0).select(
-            "grp", "cell", "vec", "rep", F.pmod(F.xxhash64("rep"), F.col(own_n)).cast("int").alias(own),
-            F.explode(F.sequence(F.lit(0), F.col(other_n) - 1)).alias(other))
+def _pivots(rows: DataFrame, key: Sequence[str], wanted: Column, salt: int) -> DataFrame:
+    """About `wanted` rows of each key (an expression of its size n), at least one, chosen by key hash: `key, pivot, centre`."""
+    draw = F.xxhash64(F.lit(salt), "rep")
+    sizes = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(draw, "rep"))["rep"].alias("_least"))
+    share = F.pmod(draw, F.lit(1 << 52)) / F.lit(2.0**52)
+    chosen = join_small(rows, sizes.withColumn("_share", wanted / F.col("n")), key).where(
+        (share < F.col("_share")) | (F.col("rep") == F.col("_least")))
+    return chosen.select(*key, F.col("rep").alias("pivot"), F.col("vec").alias("centre"))
+
+
+def _to_nearest(rows: DataFrame, pivots: DataFrame, key: Sequence[str], out: str, far: str) -> DataFrame:
+    """Adds the nearest pivot of the row's key and the distance to it. Keys of any size are cut into parts of bounded size."""
+    parts = materialise(_sizes(rows, key, TASK_ROWS, "_parts").drop("n"), "knn-parts")
+    left = join_small(rows, parts, key).withColumn("_part", F.pmod(F.xxhash64("rep"), F.col("_parts")).cast("int")).drop("_parts")
+    right = pivots.join(parts, list(key)).withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
+    schema = rows.select("*", F.lit(0).cast("bigint").alias(out), F.lit(0.0).alias(far)).schema
+    names = rows.columns
+
+    def nearest(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if not len(a) or not len(b):
+            return a[names].iloc[:0].assign(**{out: np.empty(0, np.int64), far: np.empty(0)})
+        points, centres, ids = _matrix(a["vec"].tolist()), _matrix(b["centre"].tolist()), b["pivot"].to_numpy(np.int64)
+        best = np.concatenate([_squared(points[s:s + 2048], centres).argmin(1) for s in range(0, len(points), 2048)])
+        return a[names].assign(**{out: ids[best], far: np.sqrt(((points - centres[best]) ** 2).sum(1))})
+
+    by = [*key, "_part"]
+    return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(nearest, schema)
+
 
+def _celled(rows: DataFrame, tops: DataFrame, cells: DataFrame) -> DataFrame:
+    first = materialise(_to_nearest(rows, tops, ["grp"], "top", "far_top"), "knn-top")
+    return materialise(_to_nearest(first, cells, ["grp", "top"], "cell", "far"), "knn-cell")
+
+
+def _again(df: DataFrame) -> DataFrame:
+    """The same columns as new ones, so both sides of a cogroup may come from one table."""
+    return df.select(*[F.col(c).alias(c) for c in df.columns])
+
+
+def _close(a: pd.DataFrame, b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Distances between the centres of two tables of cells, and below which no two of their rows can be."""
+    gap = np.sqrt(((_matrix(a["centre"].tolist())[:, None, :] - _matrix(b["centre"].tolist())[None, :, :]) ** 2).sum(2))
+    return gap, gap * (1 - SLACK) - SLACK - (a["radius"].to_numpy()[:, None] + b["radius"].to_numpy()[None, :]) * (1 + SLACK)
+
+
+def _cell_pairs(tops_q: DataFrame, tops_d: DataFrame, cells_q: DataFrame, cells_d: DataFrame, k: int) -> DataFrame:
+    """`grp, cell, donor_cell, gap, bound`: donor cells that may hold one of the k nearest donors of a query of the cell.
+
+    `reach` of the query tables is the largest k-th distance found so far. Cells under two upper pivots are looked at only where
+    those may be close enough. `bound` is the reach, or what upper cells near by promise if that is less.
+    """
+    salted = tops_q.withColumn("_part", F.pmod(F.xxhash64("top"), F.ceil(F.count(F.lit(1)).over(Window.partitionBy("grp")) / 256)))
+    parts = _again(salted.select("grp", "_part").distinct())
+
+    def tops(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if not len(a) or not len(b):
+            return pd.DataFrame({"grp": [], "top": [], "donor_top": [], "limit": []}).astype({"top": np.int64, "donor_top": np.int64})
+        gap, least = _close(a, b)
+        # All donors under a pivot are within gap + its radius of the query pivot: the first of them that hold k rows bound the k-th.
+        most = gap + b["radius"].to_numpy()[None, :]
+        order = most.argsort(1)
+        held = b["n"].to_numpy()[order].cumsum(1)
+        enough = held >= k
+        at = np.take_along_axis(most, order, 1)[np.arange(len(a)), enough.argmax(1)]
+        promised = np.where(enough.any(1), (at + a["radius"].to_numpy()) * (1 + SLACK) + SLACK, np.inf)
+        limit = np.minimum(a["reach"].to_numpy(), promised)
+        i, j = np.nonzero(least <= limit[:, None])
+        return pd.DataFrame({"grp": a["grp"].iloc[0], "top": a["top"].to_numpy()[i], "donor_top": b["top"].to_numpy()[j], "limit": limit[i]})
+
+    upper = salted.groupBy("grp", "_part").cogroup(tops_d.join(parts, "grp").groupBy("grp", "_part")).applyInPandas(
+        tops, "grp string, top bigint, donor_top bigint, limit double")
+    upper = materialise(upper, "knn-upper")
+
+    def cells(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        names = ["grp", "cell", "donor_cell", "gap", "bound"]
+        if not len(a) or not len(b):
+            return pd.DataFrame({n: [] for n in names}).astype({"cell": np.int64, "donor_cell": np.int64})
+        out, limit = [], np.minimum(a["reach"].to_numpy(), a["limit"].to_numpy())
+        for s in range(0, len(a), 256):
+            gap, least = _close(a.iloc[s:s + 256], b)
+            i, j = np.nonzero(least <= limit[s:s + 256, None])
+            out.append(pd.DataFrame({"grp": a["grp"].iloc[0], "cell": a["cell"].to_numpy()[s + i], "donor_cell": b["cell"].to_numpy()[j],
+                                     "gap": gap[i, j], "bound": limit[s + i]}))
+        return pd.concat(out)[names]
+
+    key = ["grp", "top", "donor_top"]
+    left = cells_q.join(upper, ["grp", "top"])
+    right = cells_d.withColumnRenamed("top", "donor_top").join(_again(upper.select(*key)), ["grp", "donor_top"])
+    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(
+        cells, "grp string, cell bigint, donor_cell bigint, gap double, bound double")
+
+
+def _compared(queries: DataFrame, donors: DataFrame, pairs: DataFrame, cells_q: DataFrame, cells_d: DataFrame, k: int, block_rows: int):
+    """The k nearest donors of each query within the listed pairs of cells, a few for each block; and how many donor rows are sent."""
+    sized = pairs.join(cells_d.select("grp", F.col("cell").alias("donor_cell"), F.col("n").alias("n_d")), ["grp", "donor_cell"])
+    blocks = sized.groupBy("grp", "cell").agg(F.sum("n_d").alias("sent")).join(
+        cells_q.select("grp", "cell", "n", "centre", "radius"), ["grp", "cell"]).select(
+        "grp", "cell", "centre", "radius", F.ceil(F.col("n") / block_rows).cast("int").alias("qblocks"),
+        F.ceil(F.col("sent") / block_rows).cast("int").alias("dblocks"))
+    blocks = materialise(blocks, "knn-blocks")
+    own = queries.join(blocks.drop("centre", "radius"), ["grp", "cell"]).select(
+        "grp", "cell", "vec", "rep", F.pmod(F.xxhash64("rep"), F.col("qblocks")).cast("int").alias("qb"),
+        F.explode(F.sequence(F.lit(0), F.col("dblocks") - 1)).alias("db"))
+    away = F.sqrt(F.aggregate(F.zip_with("vec", "centre", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, v: s + v))
+    sent = donors.select("grp", F.col("cell").alias("donor_cell"), "vec", "rep").join(pairs, ["grp", "donor_cell"]).join(
+        blocks, ["grp", "cell"]).where(away <= (F.col("radius") + F.col("bound")) * (1 + SLACK) + SLACK).select(
+        "grp", "cell", "vec", "rep", F.pmod(F.xxhash64("rep"), F.col("dblocks")).cast("int").alias("db"), "qblocks")
+    sent = materialise(sent, "knn-sent")
+    copied = sent.withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("qblocks") - 1)))
     key = ["grp", "cell", "qb", "db"]
-    left = numbered(celled, "qb", "db", "qblocks", "dblocks").groupBy(*key)
-    right = numbered(sent, "db", "qb", "dblocks", "qblocks").groupBy(*key)
 
     def compare(group_key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         ids, reps = a["rep"].to_numpy(np.int64), b["rep"].to_numpy(np.int64)
@@ -213,13 +344,64 @@ def _blocked(spark: SparkSession, q: DataFrame, d: DataFrame, k: int, block_rows
         return pd.DataFrame([(group_key[0], ids[i], reps[j], dist) for i, j, dist in found],
                             columns=["grp", "rep", "donor", "distance"])
 
-    partial = left.cogroup(right).applyInPandas(compare, FOUND)
-    merge = Window.partitionBy("grp", "rep").orderBy("distance", "donor")
-    return partial.withColumn("_rn", F.row_number().over(merge)).where(F.col("_rn") <= k).drop("_rn")
+    return own.groupBy(*key).cogroup(copied.groupBy(*key)).applyInPandas(compare, FOUND), sent
+
+
+def _blocked(q: DataFrame, d: DataFrame, k: int, block_rows: int, cell_rows: int, report: list | None) -> DataFrame:
+    """Round by round: own cells, then the nearest other cells, then all that the k-th distances found by then leave."""
+    tops = materialise(_pivots(d, ["grp"], F.sqrt(F.col("n") / cell_rows), 1), "knn-tops")
+    first = materialise(_to_nearest(d, tops, ["grp"], "top", "far_top"), "knn-first")
+    cells = materialise(_pivots(first, ["grp", "top"], F.col("n") / cell_rows, 2), "knn-cells")
+    donors = materialise(_to_nearest(first, cells, ["grp", "top"], "cell", "far"), "knn-donors")
+    # An upper pivot that is itself under another one, by rounding, would lead queries nowhere.
+    tops = tops.join(cells.select("grp", F.col("top").alias("pivot")).distinct(), ["grp", "pivot"], "left_semi")
+    queries = donors if q is d else _celled(q, tops, cells)
+
+    def stats(rows: DataFrame, key: list[str], far: str, pivots: DataFrame, *more: Column) -> DataFrame:
+        found = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.max(far).alias("radius"), *more)
+        return found.join(pivots.select("grp", F.col("pivot").alias(key[-1]), "centre"), ["grp", key[-1]])
+
+    cells_d = materialise(stats(donors, ["grp", "top", "cell"], "far", cells), "knn-cells-d")
+    tops_d = materialise(stats(donors, ["grp", "top"], "far_top", tops), "knn-tops-d")
+    by_query = Window.partitionBy("grp", "rep").orderBy("distance", "donor")
+    found, done = None, None
+    for step in ("own", "near", "rest"):
+        reach = F.lit(math.inf)
+        rows = queries
+        if found is not None:
+            kth = found.groupBy("grp", "rep").agg(F.when(F.count(F.lit(1)) >= k, F.max("distance")).alias("kth"))
+            rows, reach = queries.join(kth, ["grp", "rep"], "left"), F.coalesce("kth", F.lit(math.inf))
+        reach = F.max(reach).alias("reach")
+        cells_q = materialise(stats(rows, ["grp", "top", "cell"], "far", cells, reach), "knn-cells-q")
+        if step == "own":
+            pairs = cells_q.select("grp", "cell", "reach").join(cells_d.select("grp", "cell"), ["grp", "cell"]).select(
+                "grp", "cell", F.col("cell").alias("donor_cell"), F.lit(0.0).alias("gap"), F.col("reach").alias("bound"))
+        else:
+            tops_q = stats(rows, ["grp", "top"], "far_top", tops, reach)
+            pairs = _cell_pairs(materialise(tops_q, "knn-tops-q"), tops_d, cells_q, cells_d, k)
+            pairs = pairs.join(done, ["grp", "cell", "donor_cell"], "left_anti")
+            if step == "near":
+                w = Window.partitionBy("grp", "cell").orderBy("gap", "donor_cell")
+                pairs = pairs.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= NEAR_CELLS).drop("_rn")
+        pairs = materialise(pairs, f"knn-pairs-{step}")
+        if pairs.isEmpty():
+            continue
+        partial, sent = _compared(queries, donors, pairs, cells_q, cells_d, k, block_rows)
+        if report is not None:
+            report.append({"round": step, "cells": cells_q.count(), "pairs": pairs.count(), "copies": sent.count()})
+        every = partial if found is None else found.unionByName(partial)
+        found = materialise(every.withColumn("_rn", F.row_number().over(by_query)).where(F.col("_rn") <= k).drop("_rn"), "knn-found")
+        links = pairs.select("grp", "cell", "donor_cell")
+        done = links if done is None else done.unionByName(links)
+    return found
 
 
 def vectors(df: DataFrame, key: str, columns: Sequence[str], group: str | None = None) -> DataFrame:
-    """Rows in the shape `knn_join` takes, from plain numeric columns."""
+    """Rows in the shape `knn_join` takes, from plain numeric columns; stored, as they are read several times.
+
+    Storing also keeps filters on the vector from being pushed through a projection of very many columns, where the optimizer would
+    try every mixture of the columns and what they are made from.
+    """
     vec = F.array(*[F.col(c).cast("double") for c in columns])
     grp = F.coalesce(F.col(group).cast("string"), F.lit("\x00missing")) if group else F.lit("all")
-    return df.select(F.col(key).cast("bigint").alias("id"), vec.alias("vec"), grp.alias("grp"))
+    return materialise(df.select(F.col(key).cast("bigint").alias("id"), vec.alias("vec"), grp.alias("grp")), "vectors")

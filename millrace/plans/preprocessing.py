@@ -66,36 +66,29 @@ def mode_imputed(t):
     return fit_on_train(impute.ModeImputer(["status_gap"]), table).transform(table).select("o_orderkey", "status_gap")
 
 
-_POINTS = """
-WITH e AS (SELECT vec_id AS id, CASE WHEN vec_id % 5 <> 0 THEN embedding[1]::DOUBLE END AS x0, CASE WHEN vec_id % 7 <> 0 THEN embedding[2]::DOUBLE END AS x1,
-  CASE WHEN vec_id % 3 <> 0 THEN embedding[3]::DOUBLE END AS x2, embedding[4]::DOUBLE AS x3 FROM embeddings)
-"""
-
-
-def _points(t):
-    def x(i, keep=None):
-        value = F.col("embedding")[i].cast("double")
-        return (F.when(F.col("vec_id") % keep != 0, value) if keep else value).alias(f"x{i}")
-
-    return t("embeddings").select(F.col("vec_id").alias("id"), x(0, 5), x(1, 7), x(2, 3), x(3))
+DIMS = [f"x{i}" for i in range(64)]
 
 
-def _knn_column(i):
-    return f"""c{i} AS (SELECT id, CASE WHEN count(*) FILTER (WHERE dist = 0) > 0 THEN avg(v) FILTER (WHERE dist = 0) ELSE sum(v / dist) / sum(1 / dist) END AS v
-FROM (SELECT q.id, d.x{i} AS v, d.dist FROM e q, LATERAL (SELECT d.id, d.x{i}, sqrt(4.0::DOUBLE / n * s) AS dist FROM
-  (SELECT d.*, (CASE WHEN q.x0 IS NULL OR d.x0 IS NULL THEN 0 ELSE 1 END + CASE WHEN q.x1 IS NULL OR d.x1 IS NULL THEN 0 ELSE 1 END
-     + CASE WHEN q.x2 IS NULL OR d.x2 IS NULL THEN 0 ELSE 1 END + CASE WHEN q.x3 IS NULL OR d.x3 IS NULL THEN 0 ELSE 1 END) AS n,
-     coalesce((q.x0 - d.x0) ^ 2, 0) + coalesce((q.x1 - d.x1) ^ 2, 0) + coalesce((q.x2 - d.x2) ^ 2, 0) + coalesce((q.x3 - d.x3) ^ 2, 0) AS s
-   FROM e d WHERE d.x{i} IS NOT NULL) d ORDER BY dist, id LIMIT 5) d WHERE q.x{i} IS NULL) GROUP BY id)"""
+def _gappy(t):
+    """The embedding's dimensions as columns, three or four of each row missing."""
+    gaps = F.transform(F.col("embedding").cast("array<double>"), lambda x, i: F.when((F.col("vec_id") + i + 1) % 19 != 0, x))
+    return t("embeddings").select(F.col("vec_id").alias("id"), gaps.alias("v")).select("id", *[F.col("v")[i].alias(c) for i, c in enumerate(DIMS)])
 
 
-@register("knn_imputed", "L6 C6", _POINTS + ", " + ", ".join(_knn_column(i) for i in (0, 1, 2)) + """
-SELECT e.id, round(coalesce(e.x0, c0.v), 6) AS x0, round(coalesce(e.x1, c1.v), 6) AS x1, round(coalesce(e.x2, c2.v), 6) AS x2, round(e.x3, 6) AS x3
-FROM e LEFT JOIN c0 ON c0.id = e.id LEFT JOIN c1 ON c1.id = e.id LEFT JOIN c2 ON c2.id = e.id""")
+@register("knn_imputed", "L6 C6", f"""
+WITH e AS (SELECT vec_id AS id, list_transform(embedding::DOUBLE[], lambda x, i: CASE WHEN (vec_id + i) % 19 <> 0 THEN x END) AS v FROM embeddings),
+gaps AS (SELECT q.id, q.v AS qv, d.id AS donor, d.v AS dv, list_transform(list_zip(q.v, d.v), lambda p: (p[1] - p[2]) ^ 2) AS parts FROM e q JOIN e d ON true),
+far AS (SELECT id, qv, donor, dv, sqrt({len(DIMS)}.0::DOUBLE / len(list_filter(parts, lambda x: x IS NOT NULL)) * list_sum(parts)) AS dist FROM gaps),
+near AS (SELECT id, i, dv[i] AS v, dist FROM far, range(1, {len(DIMS) + 1}) r(i) WHERE qv[i] IS NULL AND dv[i] IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY id, i ORDER BY dist, donor) <= 5),
+fills AS (SELECT id, i, CASE WHEN count(*) FILTER (WHERE dist = 0) > 0 THEN avg(v) FILTER (WHERE dist = 0) ELSE sum(v / dist) / sum(1 / dist) END AS v
+  FROM near GROUP BY id, i),
+wide AS (SELECT id, {", ".join(f"max(v) FILTER (WHERE i = {i + 1}) AS {c}" for i, c in enumerate(DIMS))} FROM fills GROUP BY id)
+SELECT e.id, {", ".join(f"round(coalesce(e.v[{i + 1}], w.{c}), 6) AS {c}" for i, c in enumerate(DIMS))} FROM e LEFT JOIN wide w ON w.id = e.id""")
 def knn_imputed(t):
-    points = _points(t)
-    done = impute.KNNImputer(["x0", "x1", "x2", "x3"], key="id", k=5).fit(points).transform(points)
-    return done.select("id", *[rounded(f"x{i}") for i in range(4)])
+    points = _gappy(t)
+    done = impute.KNNImputer(DIMS, key="id", k=5).fit(points).transform(points)
+    return done.select("id", *[rounded(c) for c in DIMS])
 
 
 @register("chained_regression_imputed", "L7", """

@@ -6,23 +6,26 @@ from millrace.ml import resample, split
 from millrace.operators.neighbours import knn_join
 from millrace.plans.catalog import register, rounded, sql_hash
 
-DIMS = ["x0", "x1", "x2", "x3"]
+DIMS = [f"x{i}" for i in range(64)]
 
 
 def points(t):
-    """Four embedding dimensions as columns."""
+    """The embedding's dimensions as columns."""
     return t("embeddings").select(F.col("vec_id").alias("id"), "label", *[
         F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(DIMS)], (F.col("vec_id") % 4).cast("string").alias("kind"))
 
 
+# All dimensions, as a list; `_columns` turns a list into the columns of `points`.
 _POINTS = """
-WITH e AS (SELECT vec_id AS id, label, embedding[1]::DOUBLE AS x0, embedding[2]::DOUBLE AS x1, embedding[3]::DOUBLE AS x2, embedding[4]::DOUBLE AS x3,
-  (vec_id % 4)::VARCHAR AS kind FROM embeddings),
-pairs AS (SELECT a.id AS a, b.id AS b, a.label AS la, b.label AS lb, sqrt((a.x0 - b.x0) ^ 2 + (a.x1 - b.x1) ^ 2 + (a.x2 - b.x2) ^ 2 + (a.x3 - b.x3) ^ 2) AS dist
-  FROM e a JOIN e b ON a.id <> b.id)
+WITH e AS (SELECT vec_id AS id, label, embedding::DOUBLE[] AS v, (vec_id % 4)::VARCHAR AS kind FROM embeddings),
+pairs AS (SELECT a.id AS a, b.id AS b, a.label AS la, b.label AS lb, list_distance(a.v, b.v) AS dist FROM e a JOIN e b ON a.id <> b.id)
 """
 
 
+def _columns(of: str) -> str:
+    return ", ".join(f"round({of}[{i + 1}], 8) AS {c}" for i, c in enumerate(DIMS))
+
+
 @register("five_nearest_embeddings", "C6", """
 WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
 d AS (SELECT a.vec_id AS query_id, b.vec_id AS donor_id, list_distance(a.v, b.v) AS dist FROM e a JOIN e b ON a.vec_id <> b.vec_id)
@@ -32,6 +35,26 @@ def five_nearest(t):
     return knn_join(rows, rows, 5, exclude_self=True).select("query_id", "donor_id", rounded("distance", 8), "rank")
 
 
+@register("five_nearest_embeddings_in_cells", "C6", """
+WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+d AS (SELECT a.vec_id AS query_id, b.vec_id AS donor_id, list_distance(a.v, b.v) AS dist FROM e a JOIN e b ON a.vec_id <> b.vec_id)
+SELECT query_id, donor_id, round(dist, 8) AS distance, row_number() OVER (PARTITION BY query_id ORDER BY dist, donor_id)::INTEGER AS rank FROM d QUALIFY rank <= 5""")
+def five_nearest_in_cells(t):
+    """The join of tables too large to ship, on the same rows."""
+    rows = t("embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vec"), F.lit("all").alias("grp"))
+    found = knn_join(rows, rows, 5, exclude_self=True, shipped_numbers=0, block_rows=500, cell_rows=100)
+    return found.select("query_id", "donor_id", rounded("distance", 8), "rank")
+
+
+@register("approximate_neighbour_recall", "C6")
+def approximate_recall(t):
+    """How many of its five nearest rows the hashed join finds for each row; SQL has no such hashing."""
+    from millrace.operators.approximate import approximate_knn_join, recall
+
+    rows = t("embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vec"), F.lit("all").alias("grp"))
+    return recall(approximate_knn_join(rows, rows, 5, exclude_self=True), knn_join(rows, rows, 5, exclude_self=True))
+
+
 @register("five_nearest_with_missing", "C6", """
 WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings WHERE vec_id % 7 <> 3),
 d AS (SELECT a.vec_id AS query_id, b.vec_id AS donor_id, list_distance(a.v, b.v) AS dist FROM e a JOIN e b ON a.vec_id <> b.vec_id)
@@ -52,7 +75,7 @@ def nearest_blocked(t):
     from millrace.operators.neighbours import vectors
 
     rows = vectors(points(t), "id", DIMS, "label")
-    found = knn_join(rows, rows, 3, exclude_self=True, shipped_numbers=0, block_rows=200, pivots=8)
+    found = knn_join(rows, rows, 3, exclude_self=True, shipped_numbers=0, block_rows=200, cell_rows=100)
     return found.select("query_id", "donor_id", "rank")
 
 
@@ -66,26 +89,25 @@ cnt AS (SELECT a, count(*) AS k FROM nn GROUP BY a),
 g AS (SELECT p.*, k, unnest(generate_series(0, extra - 1)) AS copy FROM p JOIN cnt ON cnt.a = p.id WHERE extra > 0),
 g2 AS (SELECT *, {sql_hash("id, '_', copy", '42:neighbour')} % k + 1 AS pick, {sql_hash("id, '_', copy", '42:category:kind')} % k + 1 AS kpick,
   {sql_hash("id, '_', copy", '42:step')} / 4503599627370496.0::DOUBLE AS u FROM g),
-made AS (SELECT (copy - upto)::BIGINT AS id, g2.label, g2.x0 + u * (d.x0 - g2.x0) AS x0, g2.x1 + u * (d.x1 - g2.x1) AS x1, g2.x2 + u * (d.x2 - g2.x2) AS x2,
-  g2.x3 + u * (d.x3 - g2.x3) AS x3, g2.id AS base, c.kind FROM g2 JOIN nn ON nn.a = g2.id AND nn.rank = pick JOIN e d ON d.id = nn.b
+made AS (SELECT (copy - upto)::BIGINT AS id, g2.label, [{", ".join(f"g2.v[{i + 1}] + u * (d.v[{i + 1}] - g2.v[{i + 1}])" for i in range(len(DIMS)))}] AS v,
+  g2.id AS base, c.kind FROM g2 JOIN nn ON nn.a = g2.id AND nn.rank = pick JOIN e d ON d.id = nn.b
   JOIN nn n2 ON n2.a = g2.id AND n2.rank = kpick JOIN e c ON c.id = n2.b)
 """
 _SMOTE = _POINTS + "," + _SIZES
 
 
-@register("smote_rows", "N1 C6", _SMOTE + """
-SELECT id, label, round(x0, 8) AS x0, round(x1, 8) AS x1, round(x2, 8) AS x2, round(x3, 8) AS x3, base, true AS is_synthetic FROM made
-UNION ALL SELECT id, label, round(x0, 8), round(x1, 8), round(x2, 8), round(x3, 8), id, false FROM e""")
+@register("smote_rows", "N1 C6", _SMOTE + f"""
+SELECT id, label, {_columns('v')}, base, true AS is_synthetic FROM made UNION ALL SELECT id, label, {_columns('v')}, id, false FROM e""")
 def smote_rows(t):
     done = resample.smote(points(t), "id", "label", DIMS, 5)
     return done.select("id", "label", *[rounded(c, 8) for c in DIMS], "base", "is_synthetic")
 
 
-@register("smote_rows_with_category", "N2", _SMOTE + """
-SELECT id, label, round(x0, 8) AS x0, kind, true AS is_synthetic FROM made UNION ALL SELECT id, label, round(x0, 8), kind, false FROM e""")
+@register("smote_rows_with_category", "N2", _SMOTE + f"""
+SELECT id, label, {_columns('v')}, kind, true AS is_synthetic FROM made UNION ALL SELECT id, label, {_columns('v')}, kind, false FROM e""")
 def smote_nc(t):
     done = resample.smote(points(t), "id", "label", DIMS, 5, categorical=["kind"])
-    return done.select("id", "label", rounded("x0", 8), "kind", "is_synthetic")
+    return done.select("id", "label", *[rounded(c, 8) for c in DIMS], "kind", "is_synthetic")
 
 
 @register("random_over_sampled", "N3", f"""
@@ -122,9 +144,8 @@ def edited(t):
     return resample.edited_neighbours(points(t), "id", "label", DIMS).select("id", "label")
 
 
-_GROWN = _SMOTE + """, allrows AS (SELECT id, label, x0, x1, x2, x3 FROM e UNION ALL SELECT id, label, x0, x1, x2, x3 FROM made),
-ap AS (SELECT a.id AS a, b.id AS b, a.label AS la, b.label AS lb, sqrt((a.x0 - b.x0) ^ 2 + (a.x1 - b.x1) ^ 2 + (a.x2 - b.x2) ^ 2 + (a.x3 - b.x3) ^ 2) AS dist
-  FROM allrows a JOIN allrows b ON a.id <> b.id)
+_GROWN = _SMOTE + """, allrows AS (SELECT id, label, v FROM e UNION ALL SELECT id, label, v FROM made),
+ap AS (SELECT a.id AS a, b.id AS b, a.label AS la, b.label AS lb, list_distance(a.v, b.v) AS dist FROM allrows a JOIN allrows b ON a.id <> b.id)
 """
 
 

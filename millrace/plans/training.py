@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from millrace.ml import crossval, ensemble, metrics, models, scale, select, split
 from millrace.ml.base import preprocessing
+from millrace.plans.sampling import DIMS
 from millrace.plans.catalog import register, rounded, sql_hash
 from millrace.session import materialise
 
@@ -172,9 +173,9 @@ def expanding_scores(t):
 @register("imbalance_methods_compared", "N8 N1 N3 N4 N7 G1")
 def imbalance(t):
     rows = t("embeddings").select(F.col("vec_id").alias("id"), (F.col("label") == 0).cast("double").alias("y"), *[
-        F.col("embedding")[i].cast("double").alias(f"x{i}") for i in range(4)])
+        F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(DIMS)])
     marked = materialise(split.train_test_split(rows, "id", 0.3, stratify="y"), "samples")
-    return crossval.compare_imbalance_methods(marked.where(~F.col("is_test")), marked.where("is_test"), "id", "y", ["x0", "x1", "x2", "x3"])
+    return crossval.compare_imbalance_methods(marked.where(~F.col("is_test")), marked.where("is_test"), "id", "y", DIMS)
 
 
 def _kept(t, model):

@@ -101,6 +101,53 @@ def test_knn_imputation_by_hand(spark):
     assert np.isclose(got[5], 40 / 3) and np.isclose(values(done, "a")[5], 7 / 5)  # nothing to measure by: training means
 
 
+@pytest.mark.parametrize("options", [{}, {"shipped_numbers": 0, "block_rows": 60}])
+def test_gaps_in_seventy_columns(spark, options):
+    """Neighbours of rows with any missing pattern, against brute force; donors are stored once, or once for a block of queries."""
+    from millrace.operators.neighbours import knn_with_gaps
+
+    rng = np.random.default_rng(4)
+    data = rng.normal(size=(200, 70)).round(1)
+    data[rng.random(data.shape) < 0.1] = np.nan
+    data[:20] = data[20:40]  # equal rows
+    data[199], data[198, 1:] = np.nan, np.nan
+    pdf = pd.DataFrame({"id": np.arange(200), "vec": data.tolist()})
+    table = spark.createDataFrame(pdf, "id bigint, vec array<double>")
+    expected = set()
+    for i in range(199):
+        both = ~np.isnan(data) & ~np.isnan(data[i])
+        n = both.sum(1)
+        distance = np.sqrt((np.where(both, data - data[i], 0) ** 2).sum(1) * (70 / np.maximum(n, 1)))
+        for t in np.flatnonzero(np.isnan(data[i])):
+            able = np.flatnonzero(~np.isnan(data[:, t]) & (n > 0))
+            best = able[np.lexsort((able, distance[able].round(9)))][:4]
+            expected |= {(i, t, j, round(distance[j], 6), data[j, t]) for j in best}
+    found = knn_with_gaps(table, table, 4, **options).collect()
+    assert {(r.query_id, r.target, r.donor_id, round(r.distance, 6), r.value) for r in found} == expected
+
+
+def test_hashed_neighbours(spark):
+    """Recall on clusters and on an even cloud, with buckets that must be hashed again; distances are exact."""
+    from millrace.operators.approximate import approximate_knn_join, recall
+    from millrace.operators.neighbours import knn_join
+
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(15, 32)) * 3
+    points = np.concatenate([centres[rng.integers(0, 15, 1500)] + rng.normal(size=(1500, 32)) * 0.2, np.tile(centres[0], (300, 1))])
+    pdf = pd.DataFrame({"id": np.arange(1800), "vec": points.tolist(), "grp": np.where(np.arange(1800) % 5 == 0, "a", "b")})
+    table = spark.createDataFrame(pdf, "id bigint, vec array<double>, grp string").persist()
+    report = []
+    found = approximate_knn_join(table, table, 5, exclude_self=True, bucket_rows=150, report=report).persist()
+    exact = knn_join(table, table, 5, exclude_self=True)
+    hits, wanted = recall(found, exact).agg(F.sum("hits"), F.sum("wanted")).first()
+    assert wanted == 9000 and hits / wanted >= 0.9
+    assert report[0] > 0 and report[-1] <= 600
+    wrong = found.join(exact, ["grp", "query_id", "donor_id"]).where(found["distance"] != exact["distance"]).count()
+    assert wrong == 0
+    empty = approximate_knn_join(table.limit(0), table.limit(0), 5)
+    assert empty.count() == 0
+
+
 def test_chained_regressions_match_numpy(spark):
     rng = np.random.default_rng(2)
     n = 500
@@ -264,7 +311,7 @@ def test_incomplete_vectors_have_no_neighbours(spark):
     rows += [(60, [float("nan"), 0.0, 0.0], "g"), (61, [None, 0.0, 0.0], "g"), (62, None, "g")]
     table = spark.createDataFrame(rows, "id bigint, vec array<double>, grp string")
     shipped = knn_join(table, table, 3, exclude_self=True).select("query_id", "donor_id", "rank")
-    blocked = knn_join(table, table, 3, exclude_self=True, shipped_numbers=0, block_rows=16, pivots=4).select("query_id", "donor_id", "rank")
+    blocked = knn_join(table, table, 3, exclude_self=True, shipped_numbers=0, block_rows=16, cell_rows=10).select("query_id", "donor_id", "rank")
     assert sorted(map(tuple, shipped.collect())) == sorted(map(tuple, blocked.collect()))
     assert {r["query_id"] for r in shipped.collect()} == set(range(60))
 

@@ -86,7 +86,7 @@ def brute(pdf, k):
     return out
 
 
-@pytest.mark.parametrize("options", [{}, {"shipped_numbers": 0, "block_rows": 64, "pivots": 6}])
+@pytest.mark.parametrize("options", [{}, {"shipped_numbers": 0, "block_rows": 64, "cell_rows": 20}])
 def test_neighbours_with_copies_and_ties(spark, options):
     rng = np.random.default_rng(5)
     n = 400
@@ -98,6 +98,33 @@ def test_neighbours_with_copies_and_ties(spark, options):
     assert {(r["query_id"], r["donor_id"], r["rank"]) for r in found} == brute(pdf, 4)
 
 
+def test_far_cells_are_not_sent_to(spark):
+    """Clusters in 64 dimensions: exact, and donors go to under a fifth of the cells."""
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(30, 64)) * 4
+    points = centres[rng.integers(0, 30, size=3000)] + rng.normal(size=(3000, 64)) * 0.1
+    pdf = pd.DataFrame({"id": np.arange(3000), "vec": points.tolist(), "grp": "all"})
+    df = spark.createDataFrame(pdf, "id bigint, vec array<double>, grp string").cache()
+    report = []
+    found = neighbours.knn_join(df, df, 5, exclude_self=True, shipped_numbers=0, block_rows=200, cell_rows=60, report=report)
+    assert {(r["query_id"], r["donor_id"], r["rank"]) for r in found.collect()} == brute(pdf, 5)
+    assert report[0]["cells"] > 30
+    assert sum(r["copies"] for r in report) < 0.2 * report[0]["cells"] * 3000
+
+
+def test_neighbours_from_another_table_in_cells(spark):
+    """Queries with few donors near by, groups without donors, and fewer donors than asked for."""
+    rng = np.random.default_rng(9)
+    donors = pd.DataFrame({"id": np.arange(300), "vec": rng.normal(size=(300, 5)).tolist(), "grp": ["a"] * 297 + ["b"] * 3})
+    queries = pd.DataFrame({"id": np.arange(100), "vec": (rng.normal(size=(100, 5)) * 3).tolist(), "grp": ["a"] * 80 + ["b"] * 10 + ["c"] * 10})
+    schema = "id bigint, vec array<double>, grp string"
+    tables = [spark.createDataFrame(t, schema) for t in (queries, donors)]
+    plain = {tuple(r) for r in neighbours.knn_join(*tables, 4).select("query_id", "donor_id", "rank").collect()}
+    celled = neighbours.knn_join(*tables, 4, shipped_numbers=0, block_rows=50, cell_rows=10)
+    assert {tuple(r) for r in celled.select("query_id", "donor_id", "rank").collect()} == plain
+    assert len(plain) == 80 * 4 + 10 * 3
+
+
 def test_neighbours_of_too_small_groups(spark):
     df = spark.createDataFrame([(1, [0.0], "a"), (2, [1.0], "a"), (3, [5.0], "b")], "id bigint, vec array<double>, grp string")
     found = {(r["query_id"], r["donor_id"]) for r in neighbours.knn_join(df, df, 5, exclude_self=True).collect()}
