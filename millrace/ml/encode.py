@@ -10,6 +10,7 @@ import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Estimator, Model
+from pyspark.ml.feature import OneHotEncoder as SparkOneHotEncoder, VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import DataFrame, functions as F
@@ -49,9 +50,9 @@ class OneHotEncoder(ColumnEstimator):
         for c in self.columns:
             state[c] = sorted(r["v"] for r in rows if r["c"] == c)
             if len(state[c]) > limit:
-                raise ValueError(f"{c}: more than {limit} categories, use a table-based encoder")
+                raise ValueError(f"{c}: more than {limit} categories, use SparseOneHotEncoder")
         if len(rows) > limit * len(self.columns):
-            raise ValueError(f"more than {limit} categories per column, use a table-based encoder")
+            raise ValueError(f"more than {limit} categories per column, use SparseOneHotEncoder")
         return state
 
 
@@ -252,6 +253,42 @@ class BinaryEncoder(Estimator, Configured):
         return BinaryModel.fitted(self, {"bits": bits}, tables)
 
 
+class SparseOneHotModel(TableModel):
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        sizes, out, vectors = self.values["sizes"], dataset, []
+        for c in self.columns:
+            out = out.join(self.tables[c], out[c] == F.col("_cat"), "left")
+            # What the table does not hold takes the place after the last, which the encoder drops.
+            out = out.withColumn(f"_at_{c}", F.coalesce(F.col("_code") - 1, F.lit(sizes[c])).cast("double")).drop("_cat", "_code")
+            vectors.append(f"_hot_{c}")
+        places = [f"_at_{c}" for c in self.columns]
+        # The encoder only wants to know how many places there are.
+        largest = dataset.sparkSession.range(1).select(*[F.lit(float(max(sizes[c] - 1, 0))).alias(p) for c, p in zip(self.columns, places)])
+        encoder = SparkOneHotEncoder(inputCols=places, outputCols=vectors, dropLast=True, handleInvalid="keep").fit(largest)
+        joined = VectorAssembler(inputCols=vectors, outputCol=self.settings["out"]).transform(encoder.transform(out))
+        return joined.drop(*places, *vectors, *self.columns)
+
+
+class SparseOneHotEncoder(Estimator, Configured):
+    """One sparse vector with a place for every training category of every column, however many there are; unknown: all zeros.
+
+    Categories are numbered in key-hash order and kept as a table that is joined by value, so neither the driver nor the
+    expression of a column grows with them.
+    """
+
+    def __init__(self, columns=(), out: str = "one_hot"):
+        super().__init__()
+        self._configure(columns, out=out)
+
+    def _fit(self, dataset: DataFrame) -> SparseOneHotModel:
+        tables, sizes = {}, {}
+        for c in self.columns:
+            categories = dataset.where(F.col(c).isNotNull()).select(F.col(c).alias("_cat")).distinct()
+            tables[c] = materialise(hash_rank(categories, "_cat", seed="code", out="_code"), "codes")
+            sizes[c] = tables[c].count()
+        return SparseOneHotModel.fitted(self, {"sizes": sizes}, tables)
+
+
 def ordered_target_statistics(
     df: DataFrame, key: str, column: str, target: str, out: str, prior_weight: float = 1.0, seed: int = 42
 ) -> DataFrame:

@@ -96,8 +96,64 @@ def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return counts.groupBy("column").agg(F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("value"))
 
 
+WIDE = 40  # columns from which on cross products come from matrix blocks
+PARTS = ("n", "si", "sj", "qi", "qj", "p")  # of a pair, over the rows that have both: rows, sums, sums of squares, products
+
+
+def cross_products(df: DataFrame, columns: Sequence[str], values: Column | None = None) -> DataFrame:
+    """`i, j` and PARTS of every column pair i < j, over the rows where both are present, in one scan.
+
+    Each task adds up X'X and the like for batches of rows, with zeros and a presence mask for what is missing, and hands on
+    one row per pair; those are summed before and after the shuffle. Values are taken from near their mean (that of a few rows;
+    it only steers rounding). `values` may give the row as one array instead of columns.
+    """
+    width = len(columns)
+    row = F.array(*[F.col(c).cast("double") for c in columns]) if values is None else values
+    rows = df.select(row.alias("v"))
+    few = [r["v"] for r in rows.limit(100).collect()]
+
+    def products(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        def centre_of(sample):
+            known = ~np.isnan(sample)
+            return np.where(known, sample, 0.0).sum(0) / np.maximum(known.sum(0), 1)
+
+        centre = centre_of(np.array(few, dtype=float).reshape(-1, width))
+        total = np.zeros((4, width, width))
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = batch.column("v").flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, width) - centre
+            there = ~np.isnan(x)
+            x, m = np.where(there, x, 0.0), there.astype(float)
+            total += np.stack([m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x])
+        i, j = np.triu_indices(width, 1)
+        n, s, q, p = total
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(i, pa.int32()), pa.array(j, pa.int32()), *(pa.array(v) for v in (n[i, j], s[i, j], s[j, i], q[i, j], q[j, i], p[i, j]))],
+            names=["i", "j", *PARTS])
+
+    schema = "i int, j int, " + ", ".join(f"{c} double" for c in PARTS)
+    return rows.mapInArrow(products, schema).groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in PARTS])
+
+
+def wide_correlations(df: DataFrame, columns: Sequence[str], values: Column | None = None) -> DataFrame:
+    """`correlations` for any number of columns; a pair without two rows or without variance has none."""
+    found = cross_products(df, columns, values)
+    di, dj = (F.col(f"q{k}") - F.col(f"s{k}") * F.col(f"s{k}") / F.col("n") for k in "ij")
+    flat = (di <= 1e-12 * F.col("qi")) | (dj <= 1e-12 * F.col("qj")) | (F.col("n") < 2)
+    corr = F.when(~flat, (F.col("p") - F.col("si") * F.col("sj") / F.col("n")) / F.sqrt(di * dj))
+    names = F.array(*[F.lit(c) for c in columns])
+    return found.where("n > 0").select(names[F.col("i")].alias("left"), names[F.col("j")].alias("right"), corr.alias("corr")).unionByName(
+        found.where("n = 0").select(names[F.col("i")].alias("left"), names[F.col("j")].alias("right"), F.lit(None).cast("double").alias("corr")))
+
+
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every column pair over the rows where both are present, all pairs in one scan."""
+    if len(columns) > WIDE:
+        return wide_correlations(df, columns)
     pairs = list(combinations(columns, 2))
     row = df.agg(*[F.corr(a, b).alias(f"r_{i}") for i, (a, b) in enumerate(pairs)])
     structs = [F.struct(F.lit(a).alias("left"), F.lit(b).alias("right"), F.col(f"r_{i}").alias("corr"))

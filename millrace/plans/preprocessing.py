@@ -154,6 +154,19 @@ def binary_encoded(t):
     return encode.BinaryEncoder(["city"]).fit(table).transform(table)
 
 
+@register("sparse_one_hot", "L9", f"""
+WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 13 <> 0 THEN o_custkey END AS customer, o_orderkey % 4 <> 0 AS known FROM orders),
+c AS (SELECT customer, row_number() OVER (ORDER BY {sql_hash('customer', 'code')}, customer) - 1 AS place FROM (SELECT DISTINCT customer FROM o WHERE known AND customer IS NOT NULL))
+SELECT o_orderkey, (SELECT count(*) FROM c) AS places, place, CASE WHEN place IS NOT NULL THEN 1.0::DOUBLE END AS value FROM o LEFT JOIN c USING (customer)""")
+def sparse_one_hot(t):
+    """A place for every customer of three quarters of the orders; all others, and missing ones, are zeros."""
+    table = t("orders").select("o_orderkey", F.when(F.col("o_orderkey") % 13 != 0, F.col("o_custkey")).alias("customer"))
+    model = encode.SparseOneHotEncoder(["customer"]).fit(table.where("o_orderkey % 4 <> 0"))
+    parts = F.from_json(F.to_json(F.struct("one_hot")), "one_hot struct<type:int, size:bigint, indices:array<bigint>, values:array<double>>")["one_hot"]
+    done = model.transform(table).select("o_orderkey", parts.alias("v"))
+    return done.select("o_orderkey", F.col("v.size").alias("places"), F.get("v.indices", F.lit(0)).alias("place"), F.get("v.values", F.lit(0)).alias("value"))
+
+
 @register("hash_encoded", "L14", "SELECT o_orderkey, " + ", ".join(
     f"({sql_hash('o_custkey', 'hash')} % 8 = {i})::INTEGER AS o_custkey_{i}" for i in range(8)) + " FROM orders")
 def hash_encoded(t):

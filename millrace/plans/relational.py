@@ -228,6 +228,17 @@ def correlation_pairs(t):
     return profile.correlations(gappy, gappy.columns).select("left", "right", rounded("corr"))
 
 
+@register("embedding_correlations", "D8 M7", """
+WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings)
+SELECT 'x' || (i - 1) AS "left", 'x' || (j - 1) AS "right", round(corr(v[i], CASE WHEN (vec_id + j) % 11 <> 0 THEN v[j] END), 6) AS corr
+FROM e, range(1, 65) a(i), range(1, 65) b(j) WHERE i < j AND (vec_id + i) % 11 <> 0 GROUP BY i, j""")
+def embedding_correlations(t):
+    """All pairs of 64 columns, each with gaps of its own."""
+    gaps = F.transform(F.col("embedding").cast("array<double>"), lambda x, i: F.when((F.col("vec_id") + i + 1) % 11 != 0, x))
+    found = profile.wide_correlations(t("embeddings"), [f"x{i}" for i in range(64)], gaps)
+    return found.select("left", "right", rounded("corr"))
+
+
 @register("first_row_per_key", "D9", """
 SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS rn
 FROM lineitem) WHERE rn = 1""")
