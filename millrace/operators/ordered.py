@@ -17,6 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from millrace.operators.joins import join_small
+from millrace.session import materialise
 
 ROWS_PER_SLICE = 2_000_000
 MAX_SLICES = 2_000
@@ -208,8 +209,7 @@ def forward_fill(
 def scan_by_key(df: DataFrame, by: Sequence[str], order: Sequence[str], function, schema: str | T.StructType) -> DataFrame:
     """A user scan with state: `function` gets the rows of one key as a sorted pandas table and returns one.
 
-    The rows of a key meet in one task, as a scan in a user function must have them; without a key, or with a very hot one, use
-    the scans above.
+    The rows of a key meet in one task; without a key, or with a very hot one, use `scan_in_slices` or the scans above.
     """
     cols = list(order)
 
@@ -219,6 +219,57 @@ def scan_by_key(df: DataFrame, by: Sequence[str], order: Sequence[str], function
     return df.groupBy(*by).applyInPandas(each, schema)
 
 
+def scan_in_slices(
+    df: DataFrame, by: Sequence[str], order: str, tie: str | None, summary, combine, function, schema: str | T.StructType,
+    rows_per_slice: int = ROWS_PER_SLICE,
+) -> DataFrame:
+    """A user scan with state, over keys of any size: no task holds more of a key than a slice.
+
+    `summary(rows)` tells in bytes what a slice of a key, a sorted pandas table, does to the state; `combine(state, summary)` gives
+    the state after it, from the state before it (None at a key's start); `function(rows, state)` gets the slice with the state
+    before it and returns the result rows. Summaries are made for all slices at once, combined in order for each key (a few bytes
+    a slice), and handed to their slices. Rows must have an order value; a missing key is a key.
+    """
+    cols, sliced_rows = _order_columns(order, tie), sliced(df, order, tie, rows_per_slice)
+    names = [f"_k{i}" for i in range(len(by))]
+    keyed = sliced_rows.select(*[F.col(c).alias(n) for c, n in zip(by, names)], F.col(SLICE).cast("int").alias(SLICE), F.struct(*df.columns).alias("_row"))
+    own = names
+
+    def sorted_rows(part):
+        import pandas as pd
+
+        return pd.DataFrame(part["_row"].tolist(), columns=df_columns).sort_values(cols, kind="stable").reset_index(drop=True)
+
+    df_columns = df.columns
+
+    def summarise(part):
+        import pandas as pd
+
+        head = part[[*own, SLICE]].iloc[:1].reset_index(drop=True)
+        return pd.concat([head, pd.DataFrame({"_does": [summary(sorted_rows(part))]})], axis=1)
+
+    key_types = {n: keyed.schema[n].dataType for n in names}
+    fields = [T.StructField(n, key_types[n]) for n in names] + [T.StructField(SLICE, T.IntegerType())]
+    does = keyed.groupBy(*own, SLICE).applyInPandas(summarise, T.StructType([*fields, T.StructField("_does", T.BinaryType())]))
+
+    def chain(part):
+        part = part.sort_values(SLICE).reset_index(drop=True)
+        state, states = None, []
+        for one in part["_does"]:
+            states.append(state)
+            state = combine(state, one)
+        return part.assign(_state=states)[[*own, SLICE, "_state"]]
+
+    states = does.groupBy(*own).applyInPandas(chain, T.StructType([*fields, T.StructField("_state", T.BinaryType())]))
+    states = materialise(states, "scan-states")
+
+    def apply(rows, state):
+        return function(sorted_rows(rows), state["_state"].iloc[0] if len(state) else None) if len(rows) else None
+
+    left = keyed.groupBy(*own, SLICE)
+    return left.cogroup(states.groupBy(*own, SLICE)).applyInPandas(apply, schema)
+
+
 def centered_mean(
     df: DataFrame, columns: dict[str, str], order: str, tie: str | None = None, half: int = 3,
     rows_per_slice: int = ROWS_PER_SLICE,

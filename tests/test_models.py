@@ -91,6 +91,20 @@ def test_binary_codes_are_distinct(spark):
     assert sum(unknown.first()[1:]) == 0
 
 
+def test_sparse_one_hot_of_many_categories(spark, tmp_path):
+    table = spark.range(3000).select("id", F.col("id").cast("string").alias("a"), F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("b"))
+    model = encode.SparseOneHotEncoder(["a", "b"]).fit(table)
+    rows = model.transform(table).collect()
+    assert {r["one_hot"].size for r in rows} == {3002}
+    assert len({tuple(r["one_hot"].indices[:1]) for r in rows}) == 3000
+    assert all(r["one_hot"].values.sum() == (2 if r["id"] % 3 else 1) for r in rows)
+    unknown = model.transform(spark.createDataFrame([(1, "zz", None)], "id bigint, a string, b bigint")).first()
+    assert unknown["one_hot"].size == 3002 and not len(unknown["one_hot"].values)
+    model.write().overwrite().save(str(tmp_path / "model"))
+    again = encode.SparseOneHotModel.load(str(tmp_path / "model")).transform(table)
+    assert again.orderBy("id").first()["one_hot"] == min(rows, key=lambda r: r["id"])["one_hot"]
+
+
 def test_knn_imputation_by_hand(spark):
     table = spark.createDataFrame([(0, 0.0, 0.0), (1, 1.0, 10.0), (2, 3.0, 30.0), (3, 1.0, None), (4, 2.0, None), (5, None, None)],
                                   "id int, a double, b double")

@@ -129,3 +129,52 @@ def test_neighbours_of_too_small_groups(spark):
     df = spark.createDataFrame([(1, [0.0], "a"), (2, [1.0], "a"), (3, [5.0], "b")], "id bigint, vec array<double>, grp string")
     found = {(r["query_id"], r["donor_id"]) for r in neighbours.knn_join(df, df, 5, exclude_self=True).collect()}
     assert found == {(1, 2), (2, 1)}
+
+
+def test_three_hundred_columns_correlate_like_pairs(spark):
+    from millrace.operators import profile
+
+    rng = np.random.default_rng(6)
+    data = rng.normal(size=(400, 300)) + 1000 * rng.normal(size=300)
+    data[:, 1] = 3 - data[:, 0]
+    data[:, 2] = 5.0
+    data[rng.random(data.shape) < 0.05] = np.nan
+    data[:, 3] = np.nan
+    names = [f"c{i}" for i in range(300)]
+    table = spark.createDataFrame(pd.DataFrame({"v": data.tolist()}), "v array<double>").repartition(3)
+    found = {(r["left"], r["right"]): r["corr"] for r in profile.wide_correlations(table, names, F.col("v")).collect()}
+    assert len(found) == 300 * 299 // 2
+    expected = pd.DataFrame(data, columns=names).corr(min_periods=2)
+    for a, b in [(0, 1), (0, 4), (17, 203), (5, 299), (150, 151)]:
+        assert np.isclose(found[names[a], names[b]], expected.iloc[a, b], atol=1e-9)
+    assert found["c0", "c2"] is None and found["c0", "c3"] is None
+    narrow = table.select(*[F.col("v")[i].alias(names[i]) for i in (0, 4, 5)])
+    pairs = profile.wide_correlations(narrow, narrow.columns).collect()
+    assert {(r["left"], r["right"]): round(r["corr"], 9) for r in pairs} == {
+        k: round(found[k], 9) for k in (("c0", "c4"), ("c0", "c5"), ("c4", "c5"))}
+
+
+def test_user_scan_carries_state_over_slices_of_a_hot_key(spark):
+    import struct
+
+    rng = np.random.default_rng(7)
+    pdf = pd.DataFrame({"id": np.arange(600), "k": np.where(rng.random(600) < 0.4, 0, rng.integers(1, 9, 600)), "v": rng.random(600)})
+    pdf.loc[5:9, "k"] = -1
+    table = spark.createDataFrame(pdf).withColumn("k", F.expr("nullif(k, -1)"))
+
+    def total(rows):
+        return struct.pack("<dq", rows["v"].sum(), len(rows))
+
+    def combine(state, does):
+        a, b = struct.unpack("<dq", state or bytes(16)), struct.unpack("<dq", does)
+        return struct.pack("<dq", a[0] + b[0], a[1] + b[1])
+
+    def running(rows, state):
+        before, n = struct.unpack("<dq", state or bytes(16))
+        return rows.assign(upto=rows["v"].cumsum() + before, nth=n + np.arange(len(rows)), seen=len(rows))[["id", "upto", "nth", "seen"]]
+
+    found = ordered.scan_in_slices(table, ["k"], "id", None, total, combine, running, "id bigint, upto double, nth bigint, seen bigint",
+                                   rows_per_slice=50).toPandas().sort_values("id")
+    assert (found["upto"].to_numpy() - pdf.groupby("k")["v"].cumsum().to_numpy()).__abs__().max() < 1e-9
+    assert (found["nth"].to_numpy() == pdf.groupby("k").cumcount().to_numpy()).all()
+    assert found["seen"].max() <= 60
