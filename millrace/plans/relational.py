@@ -228,7 +228,7 @@ def correlation_pairs(t):
     return profile.correlations(gappy, gappy.columns).select("left", "right", rounded("corr"))
 
 
-@register("embedding_correlations", "D8 M7", """
+@register("embedding_correlations", "D8", """
 WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings)
 SELECT 'x' || (i - 1) AS "left", 'x' || (j - 1) AS "right", round(corr(v[i], CASE WHEN (vec_id + j) % 11 <> 0 THEN v[j] END), 6) AS corr
 FROM e, range(1, 65) a(i), range(1, 65) b(j) WHERE i < j AND (vec_id + i) % 11 <> 0 GROUP BY i, j""")
