@@ -223,34 +223,40 @@ def scan_in_slices(
     df: DataFrame, by: Sequence[str], order: str, tie: str | None, summary, combine, function, schema: str | T.StructType,
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
-    """A user scan with state, over keys of any size: no task holds more of a key than a slice.
+    """A user scan with state, over keys of any size: no user function gets more of a key than a slice.
 
     `summary(rows)` tells in bytes what a slice of a key, a sorted pandas table, does to the state; `combine(state, summary)` gives
     the state after it, from the state before it (None at a key's start); `function(rows, state)` gets the slice with the state
-    before it and returns the result rows. Summaries are made for all slices at once, combined in order for each key (a few bytes
-    a slice), and handed to their slices. Rows must have an order value; a missing key is a key.
+    before it and returns the result rows. Keys of up to `rows_per_slice` rows are one slice and need no state: they are handed over
+    whole, once. Only larger keys are cut, every `rows_per_slice` of their own rows: summaries are made for all their slices at
+    once, combined in order for each key (a few bytes a slice), and handed to their slices. So the calls are as many as the keys
+    and the slices' worth of rows, whatever the order of the rows. Rows must have an order value; a missing key is a key.
     """
-    cols, sliced_rows = _order_columns(order, tie), sliced(df, order, tie, rows_per_slice)
+    cols, columns = _order_columns(order, tie), df.columns
     names = [f"_k{i}" for i in range(len(by))]
-    keyed = sliced_rows.select(*[F.col(c).alias(n) for c, n in zip(by, names)], F.col(SLICE).cast("int").alias(SLICE), F.struct(*df.columns).alias("_row"))
-    own = names
+    renamed = [F.col(c).alias(n) for c, n in zip(by, names)]
+    sizes = df.groupBy(*renamed).agg(F.count(F.lit(1)).alias("_n"))
+    large = materialise(sizes.where(F.col("_n") > rows_per_slice).select(*names, F.lit(True).alias("_large")), "scan-large")
+    keyed = join_small(df.select(*columns, *renamed), large, names)
+    small = keyed.where(F.col("_large").isNull()).drop("_large")
 
     def sorted_rows(part):
-        import pandas as pd
+        return part[columns].sort_values(cols, kind="stable").reset_index(drop=True)
 
-        return pd.DataFrame(part["_row"].tolist(), columns=df_columns).sort_values(cols, kind="stable").reset_index(drop=True)
-
-    df_columns = df.columns
+    done = small.groupBy(*names).applyInPandas(lambda part: function(sorted_rows(part), None), schema)
+    if large.isEmpty():
+        return done
+    # The position of a row in its key is counted in wide slices, which no user function sees.
+    wide = min(ROWS_PER_SLICE, 100 * rows_per_slice)
+    counted = prefix_sums(keyed.where("_large").drop("_large"), order, {"_upto": F.lit(1).cast("bigint")}, tie, names, wide)
+    cut = materialise(counted.withColumn(SLICE, F.expr(f"(_upto - 1) div {rows_per_slice}").cast("int")).drop("_upto"), "scan-slices")
+    key = [*names, SLICE]
 
     def summarise(part):
-        import pandas as pd
-
-        head = part[[*own, SLICE]].iloc[:1].reset_index(drop=True)
-        return pd.concat([head, pd.DataFrame({"_does": [summary(sorted_rows(part))]})], axis=1)
+        return part[key].iloc[:1].reset_index(drop=True).assign(_does=[summary(sorted_rows(part))])
 
-    key_types = {n: keyed.schema[n].dataType for n in names}
-    fields = [T.StructField(n, key_types[n]) for n in names] + [T.StructField(SLICE, T.IntegerType())]
-    does = keyed.groupBy(*own, SLICE).applyInPandas(summarise, T.StructType([*fields, T.StructField("_does", T.BinaryType())]))
+    fields = [cut.schema[n] for n in key]
+    does = cut.groupBy(*key).applyInPandas(summarise, T.StructType([*fields, T.StructField("_does", T.BinaryType())]))
 
     def chain(part):
         part = part.sort_values(SLICE).reset_index(drop=True)
@@ -258,16 +264,16 @@ def scan_in_slices(
         for one in part["_does"]:
             states.append(state)
             state = combine(state, one)
-        return part.assign(_state=states)[[*own, SLICE, "_state"]]
+        return part.assign(_state=states)[[*key, "_state"]]
 
-    states = does.groupBy(*own).applyInPandas(chain, T.StructType([*fields, T.StructField("_state", T.BinaryType())]))
+    states = does.groupBy(*names).applyInPandas(chain, T.StructType([*fields, T.StructField("_state", T.BinaryType())]))
     states = materialise(states, "scan-states")
 
     def apply(rows, state):
-        return function(sorted_rows(rows), state["_state"].iloc[0] if len(state) else None) if len(rows) else None
+        return function(sorted_rows(rows), state["_state"].iloc[0])
 
-    left = keyed.groupBy(*own, SLICE)
-    return left.cogroup(states.groupBy(*own, SLICE)).applyInPandas(apply, schema)
+    sliced_rows = cut.groupBy(*key).cogroup(states.groupBy(*key)).applyInPandas(apply, schema)
+    return done.unionByName(sliced_rows)
 
 
 def centered_mean(

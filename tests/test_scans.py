@@ -178,3 +178,18 @@ def test_user_scan_carries_state_over_slices_of_a_hot_key(spark):
     assert (found["upto"].to_numpy() - pdf.groupby("k")["v"].cumsum().to_numpy()).__abs__().max() < 1e-9
     assert (found["nth"].to_numpy() == pdf.groupby("k").cumcount().to_numpy()).all()
     assert found["seen"].max() <= 60
+
+
+def test_user_scan_calls_once_for_a_small_key(spark):
+    """Keys of fewer rows than a slice are handed over whole, however their rows lie in the order; the large one is cut evenly."""
+    n = 4000
+    pdf = pd.DataFrame({"id": np.arange(n), "k": np.where(np.arange(n) % 2 == 0, 0, np.arange(n) % 100), "v": 1.0})
+
+    def rows_seen(rows, state):
+        return rows.assign(seen=len(rows), nth=int(state or b"0") + np.arange(len(rows)))[["id", "k", "seen", "nth"]]
+
+    found = ordered.scan_in_slices(
+        spark.createDataFrame(pdf), ["k"], "id", None, lambda rows: b"%d" % len(rows), lambda state, does: b"%d" % (int(state or b"0") + int(does)),
+        rows_seen, "id bigint, k bigint, seen bigint, nth bigint", rows_per_slice=100).toPandas().sort_values("id")
+    assert (found["seen"].to_numpy() == np.where(pdf["k"] == 0, 100, 40)).all()
+    assert (found["nth"].to_numpy() == pdf.groupby("k").cumcount().to_numpy()).all()
