@@ -37,7 +37,7 @@ def typical_distance(donors: DataFrame, k: int, sample: int = SAMPLE) -> float:
     found = []
     for _, part in rows.groupby("grp"):
         points, kth = _matrix(part["vec"].tolist()), {}
-        for i, _, distance in nearest_in_block(points, points, np.arange(len(points)), k + 1):
+        for i, _, distance in zip(*nearest_in_block(points, points, np.arange(len(points)), k + 1)):
             kth[i] = max(kth.get(i, 0.0), distance)
         found += [d for d in kth.values() if d > 0]
     return float(np.median(found)) if found else 1.0
@@ -107,8 +107,8 @@ def approximate_knn_join(
         ids, reps = a["rep"].to_numpy(np.int64), b["rep"].to_numpy(np.int64)
         if not len(ids) or not len(reps):
             return pd.DataFrame({"grp": [], "rep": [], "donor": [], "distance": []})
-        found = nearest_in_block(_matrix(a["vec"].tolist()), _matrix(b["vec"].tolist()), reps, wanted)
-        return pd.DataFrame([(a["grp"].iloc[0], ids[i], reps[j], x) for i, j, x in found], columns=["grp", "rep", "donor", "distance"])
+        i, j, far = nearest_in_block(_matrix(a["vec"].tolist()), _matrix(b["vec"].tolist()), reps, wanted)
+        return pd.DataFrame({"grp": a["grp"].iloc[0], "rep": ids[i], "donor": reps[j], "distance": far})
 
     key = ["bucket", "qb", "db"]
     left = numbered(query_side, q, "qb", "qblocks", "db", "dblocks").groupBy(*key)

@@ -10,6 +10,8 @@ No pair of rows is ever written out: tasks compare blocks of vectors with numpy
   Queries first meet the donors of their own cell, then the nearest other cells, and then every cell that is not
   farther than the largest k-th distance their cell has found by then. Donors farther than that from the cell are not sent
   either. Cells of any size are cut into blocks of bounded size by key hash; block results are merged per query.
+* Where cells rule out little, as for vectors spread evenly in many dimensions, all rows are compared instead, in a grid of large
+  packed blocks: each row is copied to a bounded number of blocks, so only the arithmetic grows with queries x donors.
 """
 
 from __future__ import annotations
@@ -25,6 +27,14 @@ from millrace.operators.joins import join_small
 from millrace.session import materialise
 
 BLOCK_ROWS = 4_096
+CHUNK_QUERIES, CHUNK_DONORS = 1_024, 8_192  # rows of one matrix of quick distances
+HITS = 65_536  # pairs measured exactly at once
+TASK_PAIRS = 250_000_000  # pairs for which donors sent whole get one more task
+BLOCK_PAIRS = 144  # pairs of blocks, about, into which all pairs of rows are cut
+BLOCK_NUMBERS = 3_200_000  # numbers in such a block at most: 26 MB
+PIECE_NUMBERS = 262_144  # numbers in one packed value, about
+ALL_PAIRS_ROWS = 1_000  # rows in such a block at least, where all rows are compared
+FEW_COPIES = 200_000  # donor rows sent to cells that are not worth another plan
 CELL_ROWS = 2_000  # distinct donors in a cell, about
 TASK_ROWS = 50_000  # rows that one task brings to their pivots
 NEAR_CELLS = 4  # other cells a cell is compared with before its reach is taken
@@ -42,51 +52,275 @@ def _squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum((a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T), 0.0)
 
 
-def nearest_in_block(queries: np.ndarray, donors: np.ndarray, donor_rank: np.ndarray, k: int) -> Iterator[tuple]:
-    """(query position, donor position, distance) of the k nearest donors of each query.
+def _chunks(rows: int) -> Iterator[tuple[int, int]]:
+    """Cuts of a block of donors: small ones first, so that the k-th distances are small when the long ones come."""
+    start = 0
+    while start < rows:
+        stop = min(rows, start + min(CHUNK_DONORS, max(CHUNK_QUERIES, start)))
+        yield start, stop
+        start = stop
+
+
+def _best(key: np.ndarray, rank: np.ndarray, distance: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the k entries of least distance (ties: least rank) of each key, by key; and their place in it."""
+    order = np.lexsort((rank, distance, key))
+    ordered = key[order]
+    first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]]) if len(ordered) else np.empty(0, np.int64)
+    place = np.arange(len(ordered)) - np.repeat(first, np.diff(np.r_[first, len(ordered)]))
+    return order[place < k], place[place < k]
 
-    The quick distances only shortlist: everything within the rounding error of the k-th is measured again exactly.
-    """
-    if not len(queries) or not len(donors):
-        return
-    scale = (queries * queries).sum(1)[:, None] + (donors * donors).sum(1).max() + 1.0
-    quick = _squared(queries, donors)
-    kth = min(k, len(donors)) - 1
-    limit = np.partition(quick, kth, axis=1)[:, kth][:, None] + 1e-12 * scale * max(1, queries.shape[1])
-    for i in range(len(queries)):
-        near = np.nonzero(quick[i] <= limit[i])[0]
-        exact = np.sqrt(((donors[near] - queries[i]) ** 2).sum(1))
-        for j in np.lexsort((donor_rank[near], exact))[:k]:
-            yield i, near[j], exact[j]
 
+def _kth(key: np.ndarray, place: np.ndarray, distance: np.ndarray, k: int, keys: int) -> np.ndarray:
+    """The k-th distance of each key, infinite for keys of fewer entries."""
+    out = np.full(keys, np.inf)
+    out[key[place == k - 1]] = distance[place == k - 1]
+    return out
 
-def nearest_with_gaps(queries: np.ndarray, donors: np.ndarray, donor_rank: np.ndarray, k: int) -> Iterator[tuple]:
-    """(query position, column, donor position, distance): for each missing (NaN) entry the k nearest donors that have the column.
+
+def nearest_in_block(queries: np.ndarray, donors: np.ndarray, donor_rank: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query positions, donor positions and distances of the k nearest donors of each query, as three arrays.
+
+    Donors pass by in chunks, compared with the k-th distance each query has so far; memory is bounded by the chunk. The quick
+    distances, in single precision about the donors' mean, only shortlist: everything within their rounding error of the k-th is
+    measured exactly. Where that error leaves too much, the chunk is shortlisted again in double precision.
+    """
+    parts = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
+    if not len(queries) or not len(donors):
+        return parts[0]
+    dims, centre = queries.shape[1], donors.mean(0)
+    d = donors - centre
+    d_square = (d * d).sum(1)
+    top_d, top_raw = d_square.max(), (donors * donors).sum(1).max()
+    wide_d = np.column_stack([d, d_square])
+    thin_d = wide_d.astype(np.float32) if top_d < 1e30 else None
+    for s in range(0, len(queries), CHUNK_QUERIES):
+        raw = queries[s:s + CHUNK_QUERIES]
+        q = raw - centre
+        square = (q * q).sum(1)
+        wide_q = np.column_stack([-2.0 * q, np.ones(len(q))])
+        # Rounding errors of the quick distances in double and in single precision.
+        fine = 1e-12 * max(1, dims) * ((raw * raw).sum(1) + top_raw + 1.0)
+        rough = fine + 2.0**-22 * (dims + 4) * (square + top_d)
+        single = rough.max() < 1e30
+        thin_q = wide_q.astype(np.float32) if single else None
+        limit = np.full(len(q), np.inf)  # above the k-th squared distance so far, less the query's own square
+        at, of, far = parts[0]
+        for start, stop in _chunks(len(donors)):
+            for thin in ([True, False] if single else [False]):
+                error = rough if thin else fine
+                quick = (thin_q @ thin_d[start:stop].T) if thin else (wide_q @ wide_d[start:stop].T)
+                open_ = np.isinf(limit)
+                bound = limit + error
+                if open_.any() and stop - start > k:
+                    bound[open_] = np.partition(quick[open_], k - 1, axis=1)[:, k - 1] + 2 * error[open_]
+                bound = np.nextafter(bound.astype(np.float32), np.float32(np.inf)) if thin else bound
+                hits = np.flatnonzero(quick <= bound[:, None])
+                if len(hits) <= 16 * k * len(q) + 4096:
+                    break
+            for h in range(0, len(hits), HITS):
+                i, j = np.divmod(hits[h:h + HITS], stop - start)
+                j += start
+                exact = np.sqrt(((donors[j] - raw[i]) ** 2).sum(1))
+                at, of, far = np.r_[at, i], np.r_[of, j], np.r_[far, exact]
+                kept, place = _best(at, donor_rank[of], far, k)
+                at, of, far = at[kept], of[kept], far[kept]
+            if len(hits):
+                limit = _kth(at, place, far, k, len(q)) ** 2 - square + fine
+        parts.append((at + s, of, far))
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
+def nearest_with_gaps(
+    queries: np.ndarray, donors: np.ndarray, donor_rank: np.ndarray, k: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Query positions, columns, donor positions and distances, as arrays: for each missing (NaN) entry the k nearest donors that
+    have the column.
 
     Distance is Euclidean over the columns both rows have, scaled up to all columns; rows without a common column are not near.
-    All masked distances of two blocks come from three matrix products; those near the k-th are measured again exactly.
+    All masked distances of two chunks come from one matrix product, and the numbers of common columns from another. A donor is
+    looked at only if it is no farther than the k-th so far of one of the query's missing columns, and then measured exactly.
+    Single and double precision as in `nearest_in_block`.
     """
+    parts = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
     if not len(queries) or not len(donors):
-        return
-    has_q, has_d = ~np.isnan(queries), ~np.isnan(donors)
-    q, d, dims = np.nan_to_num(queries), np.nan_to_num(donors), queries.shape[1]
-    shared = has_q.astype(float) @ has_d.T.astype(float)
-    parts = (q * q) @ has_d.T.astype(float), has_q.astype(float) @ (d * d).T
-    with np.errstate(divide="ignore", invalid="ignore"):
-        quick = np.where(shared > 0, np.maximum(parts[0] + parts[1] - 2.0 * (q @ d.T), 0.0) * dims / shared, np.inf)
-    error = 1e-12 * dims * dims * ((q * q).sum(1) + (d * d).sum(1).max() + 1.0)
-    for t in np.flatnonzero(~has_q.all(0)):
-        able = np.flatnonzero(has_d[:, t])
-        if not len(able):
-            continue
-        for i in np.flatnonzero(~has_q[:, t]):
-            far = quick[i, able]
-            kth = min(k, len(able)) - 1
-            near = able[far <= min(np.partition(far, kth)[kth] + error[i], np.finfo(float).max)]
-            both = has_q[i] & has_d[near]
-            exact = np.sqrt((np.where(both, d[near] - q[i], 0.0) ** 2).sum(1) * (dims / both.sum(1)))
-            for j in np.lexsort((donor_rank[near], exact))[:k]:
-                yield i, t, near[j], exact[j]
+        return parts[0]
+    dims, has_d = queries.shape[1], ~np.isnan(donors)
+    centre = np.nan_to_num(donors).sum(0) / np.maximum(has_d.sum(0), 1)
+    d = np.where(has_d, donors - centre, 0.0)
+    d_square = d * d
+    top_d, top_raw = d_square.sum(1).max(), np.nansum(donors * donors, 1).max()
+    wide_d = np.hstack([has_d, d_square, d])
+    thin_d, thin_has_d = wide_d.astype(np.float32) if top_d < 1e30 else None, has_d.astype(np.float32)
+    for s in range(0, len(queries), CHUNK_QUERIES):
+        raw = queries[s:s + CHUNK_QUERIES]
+        has_q = ~np.isnan(raw)
+        q = np.where(has_q, raw - centre, 0.0)
+        square = q * q
+        wide_q = np.hstack([square, has_q, -2.0 * q])
+        fine = 1e-12 * dims * dims * (np.nansum(raw * raw, 1) + top_raw + 1.0)
+        rough = 2.0**-22 * (3 * dims + 4) * (square.sum(1) + top_d)  # before scaling
+        single = rough.max() < 1e28
+        thin_q, thin_has_q, gaps = wide_q.astype(np.float32) if single else None, has_q.astype(np.float32), (~has_q).sum(1).max()
+        limit = np.where(has_q, -np.inf, np.inf)  # of each query and missing column: above its k-th squared distance so far
+        key, of, far = parts[0][0], parts[0][1], parts[0][3]  # key: query position * dims + column
+        for start, stop in _chunks(len(donors)):
+            here = has_d[start:stop]
+            shared = thin_has_q @ thin_has_d[start:stop].T
+            apart = shared == 0 if not shared.min() else None
+            scale = np.float32(dims) / (shared if apart is None else np.maximum(shared, np.float32(1)))
+            for thin in ([True, False] if single else [False]):
+                error = fine + rough * float(scale.max()) if thin else fine
+                quick = (thin_q @ thin_d[start:stop].T) if thin else (wide_q @ wide_d[start:stop].T)
+                quick *= scale if thin else np.float64(dims) / np.maximum(shared, np.float32(1)).astype(np.float64)
+                if apart is not None:
+                    quick[apart] = np.inf
+                known = np.where(np.isinf(limit), -np.inf, limit)
+                bound = known.max(1) + error
+                found = [np.flatnonzero(quick <= (np.nextafter(bound.astype(np.float32), np.float32(np.inf)) if thin else bound)[:, None])]
+                for t in np.flatnonzero((limit == np.inf).any(0)):  # columns for which k donors are not found yet
+                    able, rows = np.flatnonzero(here[:, t]), np.flatnonzero(limit[:, t] == np.inf)
+                    if len(able):
+                        some = quick[np.ix_(rows, able)]
+                        kth = min(k, len(able)) - 1
+                        upto = np.minimum(np.partition(some, kth, axis=1)[:, kth] + 2 * error[rows], np.finfo(np.float32 if thin else float).max)
+                        i, j = np.nonzero(some <= upto[:, None])
+                        found.append(rows[i] * (stop - start) + able[j])
+                hits = np.unique(np.concatenate(found)) if len(found) > 1 else found[0]
+                if len(hits) <= 16 * k * gaps * len(q) + 4096:
+                    break
+            for h in range(0, len(hits), HITS):
+                i, j = np.divmod(hits[h:h + HITS], stop - start)
+                j += start
+                both = has_q[i] & has_d[j]
+                n = both.sum(1)
+                exact = np.sqrt((np.where(both, donors[j] - raw[i], 0.0) ** 2).sum(1) * (dims / np.maximum(n, 1)))
+                wanted = ~has_q[i] & has_d[j] & (exact[:, None] ** 2 <= limit[i] + fine[i][:, None]) & (n > 0)[:, None]
+                pair, t = np.nonzero(wanted)
+                key, of, far = np.r_[key, i[pair] * dims + t], np.r_[of, j[pair]], np.r_[far, exact[pair]]
+                kept, place = _best(key, donor_rank[of], far, k)
+                key, of, far = key[kept], of[kept], far[kept]
+            if len(hits):
+                kths = _kth(key, place, far, k, len(q) * dims).reshape(len(q), dims) ** 2 + fine[:, None]
+                limit = np.where(has_q, -np.inf, kths)
+        parts.append((key // dims + s, key % dims, of, far))
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
+def _tasks(spark: SparkSession, pairs: int) -> int:
+    """As many tasks as the pairs ask for: a small table of vectors can mean much work."""
+    return max(math.ceil(pairs / TASK_PAIRS), min(spark.sparkContext.defaultParallelism, math.ceil(pairs / 1_000_000)), 1)
+
+
+def _packed(rows: DataFrame, blocks: DataFrame, dims: int) -> DataFrame:
+    """Rows (`grp, rep, vec`, NULL parts as NaN) as few large values: `grp, block, reps, points`, bytes of up to about PIECE_NUMBERS numbers.
+
+    `blocks` has `grp, blocks, pieces`: into how many blocks a group is dealt by key hash, and a block into pieces.
+    """
+    piece = F.pmod(F.xxhash64("rep"), (F.col("blocks") * F.col("pieces")).cast("bigint"))
+    dealt = join_small(rows, blocks, ["grp"]).select("grp", "rep", "vec", "pieces", piece.alias("piece"))
+
+    def pack(part: pd.DataFrame) -> pd.DataFrame:
+        points = _matrix(part["vec"].tolist())
+        return pd.DataFrame({"grp": [part["grp"].iloc[0]], "block": [int(part["piece"].iloc[0] // part["pieces"].iloc[0])],
+                             "reps": [part["rep"].to_numpy(np.int64).tobytes()], "points": [points.tobytes()]})
+
+    done = dealt.groupBy("grp", "piece").applyInPandas(pack, "grp string, block int, reps binary, points binary")
+    return materialise(done, "knn-packed")
+
+
+def _unpacked(part: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    reps = np.frombuffer(b"".join(part["reps"]), np.int64)
+    return reps, np.frombuffer(b"".join(part["points"])).reshape(len(reps), -1) if len(reps) else np.empty((0, 0))
+
+
+def _block_size(pairs: float, dims: int, block_rows: int) -> int:
+    return max(1, min(BLOCK_NUMBERS // max(dims, 1), max(block_rows, math.isqrt(math.ceil(pairs / BLOCK_PAIRS)))))
+
+
+def _plan(sizes: DataFrame, pairs: float, dims: int, block_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Blocks of the queries and of the donors of each group (`grp, n_q, n_d`), for all pairs of blocks of a group to be compared.
+
+    Blocks have `block_rows` rows, and grow with the tables, so that a row is copied to about sqrt(BLOCK_PAIRS) blocks however many rows there are, until they
+    hold BLOCK_NUMBERS numbers: from there on the copies grow with the rows, as the work does.
+    """
+    rows = _block_size(pairs, dims, block_rows)
+
+    def side(n: str) -> DataFrame:
+        blocks = F.ceil(F.col(n) / rows)
+        return sizes.where(F.col(n) > 0).select("grp", blocks.cast("int").alias("blocks"),
+                                                F.ceil(F.col(n) * dims / blocks / PIECE_NUMBERS).cast("int").alias("pieces"))
+
+    return side("n_q"), side("n_d")
+
+
+def _met(q: DataFrame, d: DataFrame, plan: tuple[DataFrame, DataFrame], dims: int, compare, merged, schema: str) -> DataFrame:
+    """Each block of queries with each block of donors of its group, once: `compare(reps, points, donor reps, donor points)` gives
+    columns of numbers, `merged(columns)` the final ones of all answers to one block of queries.
+
+    Answers travel as one value a column and pair of blocks, and a query block's answers meet in one task, some numbers a row.
+    """
+    plan = tuple(materialise(side, "knn-plan") for side in plan)
+    left = _packed(q, plan[0], dims)
+    right = left if q is d else _packed(d, plan[1], dims)
+    across = [side.select("grp", F.col("blocks").alias("_other")) for side in plan]
+    key = ["grp", "qb", "db"]
+
+    def spread(packed: DataFrame, own: str, other: str, sizes: DataFrame) -> DataFrame:
+        return join_small(packed, sizes, ["grp"], "inner").select(
+            "grp", F.col("block").alias(own), F.explode(F.sequence(F.lit(0), F.col("_other") - 1)).alias(other), "reps", "points")
+
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def meet(k: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if not len(a) or not len(b):
+            return pd.DataFrame({"grp": [], "qb": [], **{n: [] for n in names}}).astype({"qb": np.int32})
+        found = compare(*_unpacked(a), *_unpacked(b))
+        return pd.DataFrame({"grp": [k[0]], "qb": [k[1]], **{n: [found[n].tobytes()] for n in names}})
+
+    met = spread(left, "qb", "db", across[1]).groupBy(*key).cogroup(_again(spread(right, "db", "qb", across[0])).groupBy(*key)).applyInPandas(
+        meet, "grp string, qb int, " + ", ".join(f"{n} binary" for n in names))
+    kinds = {c.split()[0]: {"bigint": np.int64, "int": np.int32, "double": np.float64}[c.split()[1]] for c in schema.split(", ")}
+
+    def merge(k: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        done = merged({n: np.frombuffer(b"".join(part[n]), kind) for n, kind in kinds.items()})
+        return pd.DataFrame({"grp": k[0], **done})
+
+    return materialise(met, "knn-met").groupBy("grp", "qb").applyInPandas(merge, "grp string, " + schema)
+
+
+def _all_pairs(q: DataFrame, d: DataFrame, sizes: DataFrame, pairs: float, dims: int, k: int, block_rows: int) -> DataFrame:
+    """The k nearest donors of each query by comparing all rows of a group."""
+
+    def compare(ids, points, reps, donors):
+        i, j, far = nearest_in_block(points, donors, reps, k)
+        return {"rep": ids[i], "donor": reps[j], "distance": far}
+
+    def merged(found):
+        kept, _ = _best(found["rep"], found["donor"], found["distance"], k)
+        return {n: v[kept] for n, v in found.items()}
+
+    return _met(q, d, _plan(sizes, pairs, dims, block_rows), dims, compare, merged, "rep bigint, donor bigint, distance double")
+
+
+def _gaps_packed(queries: DataFrame, donors: DataFrame, n: int, size, k: int, block_rows: int) -> DataFrame:
+    """`knn_with_gaps` of tables too large to ship."""
+
+    def rows(df: DataFrame) -> DataFrame:
+        return df.select(F.lit("all").alias("grp"), F.col("id").alias("rep"), "vec")
+
+    def compare(ids, points, reps, others):
+        i, t, j, far = nearest_with_gaps(points, others, reps, k)
+        return {"query_id": ids[i], "target": t.astype(np.int32), "donor_id": reps[j], "distance": far, "value": others[j, t]}
+
+    def merged(found):
+        key = np.unique(found["query_id"], return_inverse=True)[1] * (int(found["target"].max(initial=0)) + 1) + found["target"]
+        kept, _ = _best(key, found["donor_id"], found["distance"], k)
+        return {c: v[kept] for c, v in found.items()}
+
+    sizes = queries.sparkSession.range(1).select(F.lit("all").alias("grp"), F.lit(n).alias("n_q"), F.lit(size["n"]).alias("n_d"))
+    schema = "query_id bigint, target int, donor_id bigint, distance double, value double"
+    plan = _plan(sizes, n * size["n"], size["dims"], block_rows)
+    return _met(rows(queries), rows(donors), plan, size["dims"], compare, merged, schema).drop("grp")
 
 
 def knn_with_gaps(
@@ -96,8 +330,8 @@ def knn_with_gaps(
 
     Both tables have `id bigint` and `vec array<double>` of one length, with NULL or NaN for what is missing; `target` is the
     position in the vector, `value` the donor's. Few donors (size checked) are shipped once; otherwise both tables are cut into
-    blocks of bounded size, each block of queries meets one copy of every block of donors, and block results are merged. A masked
-    distance obeys no triangle inequality, so no block can be left out: the work is queries x donors.
+    blocks of `block_rows` rows or more (see `_plan`), each block of queries meets one copy of every block of donors, and block
+    results are merged. A masked distance obeys no triangle inequality, so no block can be left out: the work is queries x donors.
     """
     spark = queries.sparkSession
     donors = materialise(donors.select("id", "vec").where(F.exists("vec", lambda x: x.isNotNull() & ~F.isnan(x))), "gap-donors")
@@ -107,10 +341,8 @@ def knn_with_gaps(
     size = donors.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("dims")).first()
 
     def answered(a: pd.DataFrame, ids: np.ndarray, points: np.ndarray) -> pd.DataFrame:
-        out, own, rows = [], a["id"].to_numpy(np.int64), _matrix(a["vec"].tolist())
-        for s in range(0, len(own), 512):
-            out += [(own[s + i], t, ids[j], dist, points[j, t]) for i, t, j, dist in nearest_with_gaps(rows[s:s + 512], points, ids, k)]
-        return pd.DataFrame(out, columns=["query_id", "target", "donor_id", "distance", "value"])
+        i, t, j, far = nearest_with_gaps(_matrix(a["vec"].tolist()), points, ids, k)
+        return pd.DataFrame({"query_id": a["id"].to_numpy(np.int64)[i], "target": t, "donor_id": ids[j], "distance": far, "value": points[j, t]})
 
     if not size["n"]:
         return spark.createDataFrame([], schema)
@@ -122,23 +354,10 @@ def knn_with_gaps(
             for batch in batches:
                 yield answered(batch, *shared.value)
 
-        return queries.mapInPandas(answer, schema)
+        return queries.repartition(_tasks(spark, queries.count() * size["n"]), "id").mapInPandas(answer, schema)
     queries = materialise(queries, "gap-queries")
-    blocks, donor_blocks = (math.ceil(n / block_rows) for n in (queries.count(), size["n"]))
-
-    def numbered(df: DataFrame, own: str, n: int, other: str, m: int) -> DataFrame:
-        return df.withColumn(own, F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")).withColumn(
-            other, F.explode(F.sequence(F.lit(0), F.lit(m - 1))))
-
-    def compare(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        return answered(a, b["id"].to_numpy(np.int64), _matrix(b["vec"].tolist()))
-
-    if not blocks:
-        return spark.createDataFrame([], schema)
-    left, right = numbered(queries, "qb", blocks, "db", donor_blocks), numbered(donors, "db", donor_blocks, "qb", blocks)
-    partial = left.groupBy("qb", "db").cogroup(right.groupBy("qb", "db")).applyInPandas(compare, schema)
-    w = Window.partitionBy("query_id", "target").orderBy("distance", "donor_id")
-    return partial.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).drop("_rn")
+    n = queries.count()
+    return _gaps_packed(queries, donors, n, size, k, block_rows) if n else spark.createDataFrame([], schema)
 
 
 def _complete(df: DataFrame) -> DataFrame:
@@ -181,7 +400,7 @@ def knn_join(
     else:
         d_rows = d.select("grp", "rep", "vec")
         q_rows = d_rows if queries is donors else materialise(q.select("grp", "rep", "vec"), "queries")
-        found = _blocked(q_rows, d_rows, wanted, block_rows, cell_rows, report)
+        found = _blocked(q_rows, d_rows, wanted, block_rows, cell_rows, size["dims"], report)
     return _listed(found, q, d, queries, k, exclude_self)
 
 
@@ -212,14 +431,12 @@ def _shipped(spark: SparkSession, q: DataFrame, d: DataFrame, k: int) -> DataFra
                 if g not in shared.value:
                     continue
                 vectors, reps = shared.value[g]
-                ids = part["rep"].to_numpy(np.int64)
-                points = _matrix(part["vec"].tolist())
-                for s in range(0, len(ids), 512):
-                    out += [(g, ids[s + i], reps[j], dist)
-                            for i, j, dist in nearest_in_block(points[s:s + 512], vectors, reps, k)]
-            yield pd.DataFrame(out, columns=["grp", "rep", "donor", "distance"])
+                i, j, far = nearest_in_block(_matrix(part["vec"].tolist()), vectors, reps, k)
+                out.append(pd.DataFrame({"grp": g, "rep": part["rep"].to_numpy(np.int64)[i], "donor": reps[j], "distance": far}))
+            if out:
+                yield pd.concat(out)
 
-    return q.repartition("grp", "rep").mapInPandas(answer, FOUND)
+    return q.repartition(_tasks(spark, q.count() * len(pdf)), "grp", "rep").mapInPandas(answer, FOUND)
 
 
 def _sizes(df: DataFrame, key: Sequence[str], rows_per: int, out: str) -> DataFrame:
@@ -272,8 +489,9 @@ def _close(a: pd.DataFrame, b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return gap, gap * (1 - SLACK) - SLACK - (a["radius"].to_numpy()[:, None] + b["radius"].to_numpy()[None, :]) * (1 + SLACK)
 
 
-def _cell_pairs(tops_q: DataFrame, tops_d: DataFrame, cells_q: DataFrame, cells_d: DataFrame, k: int) -> DataFrame:
-    """`grp, cell, donor_cell, gap, bound`: donor cells that may hold one of the k nearest donors of a query of the cell.
+def _cell_pairs(tops_q: DataFrame, tops_d: DataFrame, cells_q: DataFrame, cells_d: DataFrame, k: int, counted: bool = False) -> DataFrame:
+    """`grp, cell, donor_cell, gap, bound`: donor cells that may hold one of the k nearest donors of a query of the cell; with
+    `counted` only `copies`, how many donor rows these pairs of cells would send, in parts.
 
     `reach` of the query tables is the largest k-th distance found so far. Cells under two upper pivots are looked at only where
     those may be close enough. `bound` is the reach, or what upper cells near by promise if that is less.
@@ -312,10 +530,17 @@ def _cell_pairs(tops_q: DataFrame, tops_d: DataFrame, cells_q: DataFrame, cells_
                                      "gap": gap[i, j], "bound": limit[s + i]}))
         return pd.concat(out)[names]
 
+    def copies(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if not len(a) or not len(b):
+            return pd.DataFrame({"copies": np.empty(0, np.int64)})
+        found = cells(a, b)
+        return pd.DataFrame({"copies": [int(b.set_index("cell")["n"].reindex(found["donor_cell"]).sum())]})
+
     key = ["grp", "top", "donor_top"]
     left = cells_q.join(upper, ["grp", "top"])
     right = cells_d.withColumnRenamed("top", "donor_top").join(_again(upper.select(*key)), ["grp", "donor_top"])
-    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(
+    both = left.groupBy(*key).cogroup(right.groupBy(*key))
+    return both.applyInPandas(copies, "copies bigint") if counted else both.applyInPandas(
         cells, "grp string, cell bigint, donor_cell bigint, gap double, bound double")
 
 
@@ -340,15 +565,32 @@ def _compared(queries: DataFrame, donors: DataFrame, pairs: DataFrame, cells_q:
 
     def compare(group_key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         ids, reps = a["rep"].to_numpy(np.int64), b["rep"].to_numpy(np.int64)
-        found = nearest_in_block(_matrix(a["vec"].tolist()), _matrix(b["vec"].tolist()), reps, k)
-        return pd.DataFrame([(group_key[0], ids[i], reps[j], dist) for i, j, dist in found],
-                            columns=["grp", "rep", "donor", "distance"])
+        i, j, far = nearest_in_block(_matrix(a["vec"].tolist()), _matrix(b["vec"].tolist()), reps, k)
+        return pd.DataFrame({"grp": group_key[0], "rep": ids[i], "donor": reps[j], "distance": far})
 
     return own.groupBy(*key).cogroup(copied.groupBy(*key)).applyInPandas(compare, FOUND), sent
 
 
-def _blocked(q: DataFrame, d: DataFrame, k: int, block_rows: int, cell_rows: int, report: list | None) -> DataFrame:
-    """Round by round: own cells, then the nearest other cells, then all that the k-th distances found by then leave."""
+def _whole(cells_q: DataFrame, cells_d: DataFrame, dims: int) -> tuple[DataFrame, dict]:
+    """Rows of each group on both sides; and the pairs of rows, and the copies of rows that comparing all of them takes."""
+    side = lambda cells, n: cells.groupBy("grp").agg(F.sum("n").alias(n))
+    sizes = materialise(side(cells_q, "n_q").join(side(cells_d, "n_d"), "grp"), "knn-sizes")
+    pairs = sizes.agg(F.sum(F.col("n_q").cast("double") * F.col("n_d"))).first()[0] or 0.0
+    rows = _block_size(pairs, dims, ALL_PAIRS_ROWS)
+    copies = sizes.agg(F.sum(F.col("n_q") * F.ceil(F.col("n_d") / rows) + F.col("n_d") * F.ceil(F.col("n_q") / rows))).first()[0] or 0
+    return sizes, {"pairs": pairs, "copies": copies}
+
+
+def _plain(queries: DataFrame, donors: DataFrame) -> tuple[DataFrame, DataFrame]:
+    rows = donors.select("grp", "rep", "vec")
+    return (rows if queries is donors else queries.select("grp", "rep", "vec")), rows
+
+
+def _blocked(q: DataFrame, d: DataFrame, k: int, block_rows: int, cell_rows: int, dims: int, report: list | None) -> DataFrame:
+    """Round by round: own cells, then the nearest other cells, then all that the k-th distances found by then leave.
+
+    Where they leave so much that cells would be sent more donor rows than a comparison of everything takes, all rows are compared.
+    """
     tops = materialise(_pivots(d, ["grp"], F.sqrt(F.col("n") / cell_rows), 1), "knn-tops")
     first = materialise(_to_nearest(d, tops, ["grp"], "top", "far_top"), "knn-first")
     cells = materialise(_pivots(first, ["grp", "top"], F.col("n") / cell_rows, 2), "knn-cells")
@@ -364,6 +606,7 @@ def _blocked(q: DataFrame, d: DataFrame, k: int, block_rows: int, cell_rows: int
     cells_d = materialise(stats(donors, ["grp", "top", "cell"], "far", cells), "knn-cells-d")
     tops_d = materialise(stats(donors, ["grp", "top"], "far_top", tops), "knn-tops-d")
     by_query = Window.partitionBy("grp", "rep").orderBy("distance", "donor")
+    sizes, whole = _whole(cells_q=stats(queries, ["grp", "top", "cell"], "far", cells), cells_d=cells_d, dims=dims)
     found, done = None, None
     for step in ("own", "near", "rest"):
         reach = F.lit(math.inf)
@@ -377,8 +620,14 @@ def _blocked(q: DataFrame, d: DataFrame, k: int, block_rows: int, cell_rows: int
             pairs = cells_q.select("grp", "cell", "reach").join(cells_d.select("grp", "cell"), ["grp", "cell"]).select(
                 "grp", "cell", F.col("cell").alias("donor_cell"), F.lit(0.0).alias("gap"), F.col("reach").alias("bound"))
         else:
-            tops_q = stats(rows, ["grp", "top"], "far_top", tops, reach)
-            pairs = _cell_pairs(materialise(tops_q, "knn-tops-q"), tops_d, cells_q, cells_d, k)
+            tops_q = materialise(stats(rows, ["grp", "top"], "far_top", tops, reach), "knn-tops-q")
+            if step == "near":
+                copies = _cell_pairs(tops_q, tops_d, cells_q, cells_d, k, counted=True).agg(F.sum("copies")).first()[0] or 0
+                if copies > max(FEW_COPIES, 2 * whole["copies"]):
+                    if report is not None:
+                        report.append({"round": "all", "cells": cells_q.count(), "copies": whole["copies"]})
+                    return _all_pairs(*_plain(queries, donors), sizes, whole["pairs"], dims, k, ALL_PAIRS_ROWS)
+            pairs = _cell_pairs(tops_q, tops_d, cells_q, cells_d, k)
             pairs = pairs.join(done, ["grp", "cell", "donor_cell"], "left_anti")
             if step == "near":
                 w = Window.partitionBy("grp", "cell").orderBy("gap", "donor_cell")

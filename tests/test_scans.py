@@ -193,3 +193,33 @@ def test_user_scan_calls_once_for_a_small_key(spark):
         rows_seen, "id bigint, k bigint, seen bigint, nth bigint", rows_per_slice=100).toPandas().sort_values("id")
     assert (found["seen"].to_numpy() == np.where(pdf["k"] == 0, 100, 40)).all()
     assert (found["nth"].to_numpy() == pdf.groupby("k").cumcount().to_numpy()).all()
+
+
+@pytest.mark.parametrize("groups", [["all"], ["a", "a", "a", "b"]])
+def test_neighbours_in_an_even_cloud_are_compared_in_packed_blocks(spark, monkeypatch, groups):
+    """Where cells rule nothing out, rows go to a number of blocks that does not grow with the cells; exact as before."""
+    monkeypatch.setattr(neighbours, "FEW_COPIES", 0)
+    monkeypatch.setattr(neighbours, "ALL_PAIRS_ROWS", 100)
+    rng = np.random.default_rng(10)
+    points = rng.normal(size=(700, 48)).round(2)
+    points[:30] = points[30:60]
+    pdf = pd.DataFrame({"id": np.arange(700), "vec": points.tolist(), "grp": [groups[i % len(groups)] for i in range(700)]})
+    df = spark.createDataFrame(pdf, "id bigint, vec array<double>, grp string").cache()
+    report = []
+    found = neighbours.knn_join(df, df, 5, exclude_self=True, shipped_numbers=0, block_rows=50, cell_rows=10, report=report)
+    assert {(r["query_id"], r["donor_id"], r["rank"]) for r in found.collect()} == brute(pdf, 5)
+    assert report[-1]["round"] == "all" and report[-1]["copies"] <= 2 * 7 * 700
+
+
+def test_nearest_rows_of_a_block_under_rounding():
+    """Far offsets, ties, copies of one distance and huge numbers: the shortlist in single precision loses no neighbour."""
+    rng = np.random.default_rng(11)
+    centres = np.repeat(rng.normal(size=(4, 8)) * 1000, 400, 0)
+    for points in (rng.normal(size=(1500, 6)) + 1e6, centres + rng.normal(size=centres.shape) * 0.01, np.eye(300),
+                   rng.integers(0, 4, size=(1300, 2)).astype(float), rng.normal(size=(1200, 3)) * 1e20):
+        rank = rng.permutation(len(points))
+        i, j, far = neighbours.nearest_in_block(points[:40], points, rank, 4)
+        for q in range(40):
+            distance = np.sqrt(((points - points[q]) ** 2).sum(1))
+            best = np.lexsort((rank, distance))[:4]
+            assert j[i == q].tolist() == best.tolist() and (far[i == q] == distance[best]).all()
