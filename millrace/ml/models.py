@@ -22,9 +22,10 @@ from pyspark.sql import DataFrame, functions as F
 from millrace.ml.base import present
 from millrace.ml.encode import ordered_target_statistics
 from millrace.operators.profile import with_class_weights
-from millrace.session import materialise
+from millrace.session import materialise, spread
 
 FEATURES = "_features"
+FOREST_BYTES = 200_000_000  # of training rows, as a forest stores them, in one task
 
 
 def without_summary(model):
@@ -52,6 +53,16 @@ def _pipeline(features: Sequence[str], estimator: Estimator) -> Pipeline:
     return ModelPipeline(stages=[VectorAssembler(inputCols=list(features), outputCol=FEATURES), estimator])
 
 
+class ForestPipeline(ModelPipeline):
+    """A pipeline whose training rows are dealt to tasks by what Spark's forests store of them: a count for each tree and row."""
+
+    trees = 1
+
+    def _fit(self, dataset: DataFrame) -> PipelineModel:
+        rows = FOREST_BYTES // (4 * self.trees + 200)
+        return super()._fit(spread(dataset, rows) if dataset.count() > rows * dataset.rdd.getNumPartitions() else dataset)
+
+
 def _classifier_columns(output: str) -> dict:
     return {"featuresCol": FEATURES, "predictionCol": f"{output}prediction", "probabilityCol": f"{output}probability",
             "rawPredictionCol": f"{output}raw"}
@@ -79,7 +90,10 @@ def logistic_regression(
 def random_forest(features: Sequence[str], label: str, output: str = "", trees: int = 100, weight: str | None = None,
                   max_depth: int = 5, seed: int = 42) -> Pipeline:
     options = _classifier_columns(output) | ({"weightCol": weight} if weight else {})
-    return _pipeline(features, RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=max_depth, seed=seed, **options))
+    forest = RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=max_depth, seed=seed, **options)
+    pipeline = ForestPipeline(stages=[VectorAssembler(inputCols=list(features), outputCol=FEATURES), forest])
+    pipeline.trees = trees
+    return pipeline
 
 
 def _boosted(features, label, output, classes, regression, weight, **settings) -> Pipeline:

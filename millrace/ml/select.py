@@ -18,7 +18,7 @@ from millrace.ml.split import fold_pair, kfold
 from millrace.operators.profile import correlations, unpivot_row
 from millrace.operators.quantiles import exact_quantiles
 from millrace.operators.relational import best_rows
-from millrace.session import materialise
+from millrace.session import materialise, spread
 
 # -- scores: (feature, score) ----------------------------------------------------------------------------------------
 
@@ -194,12 +194,19 @@ def lasso_weights(df: DataFrame, features: Sequence[str], label: str, alpha: flo
     return {c: abs(float(w)) for c, w in zip(features, model.coefficients)}
 
 
-def forest_importances(df: DataFrame, features: Sequence[str], label: str, trees: int, seed: int) -> dict[str, float]:
-    model = RandomForestClassifier(featuresCol="_features", labelCol="_label", numTrees=trees, seed=seed).fit(
+def _forest(df: DataFrame, features: Sequence[str], label: str, trees: int, seed: int):
+    return RandomForestClassifier(featuresCol="_features", labelCol="_label", numTrees=trees, seed=seed).fit(
         _assembled(df, features, label))
+
+
+def _importances(model, features: Sequence[str]) -> dict[str, float]:
     return {c: float(w) for c, w in zip(features, model.featureImportances.toArray())}
 
 
+def forest_importances(df: DataFrame, features: Sequence[str], label: str, trees: int, seed: int) -> dict[str, float]:
+    return _importances(_forest(df, features, label, trees, seed), features)
+
+
 class LassoSelector(_Selector):
     """Keep columns whose absolute Lasso coefficient is at least the median one."""
 
@@ -231,14 +238,25 @@ def _weakest_first(weights: dict[str, float]) -> list[str]:
     return sorted(weights, key=lambda c: (weights[c], c))
 
 
-def eliminate(df: DataFrame, features: Sequence[str], label: str, keep: int, step: int, trees: int, seed: int) -> list[list[str]]:
-    """Feature sets from all features down to `keep`, dropping the `step` weakest after each forest fit."""
+def eliminate(df: DataFrame, features: Sequence[str], label: str, keep: int, step: int, trees: int, seed: int,
+              seen: Callable | None = None) -> list[list[str]]:
+    """Feature sets from all features down to `keep`, dropping the `step` weakest after each forest fit.
+
+    `seen(features, forest)`, if given, gets every set with its forest, the last set too; a set is fitted once.
+    """
     sets = [list(features)]
-    while len(sets[-1]) > keep:
+    while True:
         now = sets[-1]
-        weak = _weakest_first(forest_importances(df, now, label, trees, seed))[: min(step, len(now) - keep)]
+        more = len(now) > keep
+        if not more and seen is None:
+            return sets
+        forest = _forest(df, now, label, trees, seed)
+        if seen is not None:
+            seen(now, forest)
+        if not more:
+            return sets
+        weak = _weakest_first(_importances(forest, now))[: min(step, len(now) - keep)]
         sets.append([c for c in now if c not in weak])
-    return sets
 
 
 class RFE(_Selector):
@@ -250,7 +268,7 @@ class RFE(_Selector):
 
     def learn(self, df, scalars, quantiles):
         s = self.settings
-        stored = materialise(df.select(*self.columns, s["label"]), "features")
+        stored = materialise(spread(df.select(*self.columns, s["label"])), "features")
         sets = eliminate(stored, self.columns, s["label"], s["n_features"], s["step"], s["trees"], s["seed"])
         return self._kept({}, sets[-1])
 
@@ -266,16 +284,17 @@ class RFECV(_Selector):
     def learn(self, df, scalars, quantiles):
         s = self.settings
         data = kfold(df.select(s["key"], *self.columns, s["label"]), s["key"], s["folds"], stratify=s["label"])
-        data = materialise(data, "folds")
+        data = materialise(spread(data), "folds")  # in even files, for the many passes of the fits
         # Sizes are compared on eliminations made inside each fold's training rows.
         table: dict[int, list[float]] = {}
         for fold in range(s["folds"]):
             train, held = fold_pair(data, fold)
-            for chosen in eliminate(train, self.columns, s["label"], s["min_features"], s["step"], s["trees"], s["seed"]):
-                forest = RandomForestClassifier(featuresCol="_features", labelCol="_label", numTrees=s["trees"],
-                                                seed=s["seed"]).fit(_assembled(train, chosen, s["label"]))
+
+            def score(chosen, forest, held=held):
                 scored = without_summary(forest).transform(_assembled(held, chosen, s["label"]))
                 table.setdefault(len(chosen), []).append(accuracy_value(scored, "_label", "prediction"))
+
+            eliminate(train, self.columns, s["label"], s["min_features"], s["step"], s["trees"], s["seed"], score)
         best = max(table, key=lambda n: (np.mean(table[n]), -n))
         sets = eliminate(data, self.columns, s["label"], best, s["step"], s["trees"], s["seed"])
         state = self._kept({}, sets[-1])

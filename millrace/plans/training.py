@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from millrace.ml import crossval, ensemble, metrics, models, scale, select, split
 from millrace.ml.base import preprocessing
 from millrace.plans.catalog import register, rounded, sql_hash
-from millrace.session import materialise
+from millrace.session import materialise, spread
 
 FEATURES = ["f_price", "f_cust", "f_month", "f_mix", "f_noise", "f_copy", "f_half", "f_third"]
 # One feature that decides the label, and three that have nothing to do with it.
@@ -42,8 +42,8 @@ def samples(t):
 
 
 def parts(t):
-    # Stored once: every fit below makes many passes, and a stored table is read in as many tasks as its size asks for.
-    marked = materialise(split.train_test_split(samples(t), "id", 0.2, stratify="y"), "samples")
+    # Stored once, in even files: every fit below makes many passes, and each pass is as slow as its largest task.
+    marked = materialise(spread(split.train_test_split(samples(t), "id", 0.2, stratify="y")), "samples")
     return marked.where(~F.col("is_test")), marked.where("is_test")
 
 

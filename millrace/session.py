@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -17,6 +18,9 @@ REQUIRED = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
 
+ROWS_PER_TASK = 250_000
+LEAST_ROWS_PER_TASK = 5_000
+
 
 def local_session(app: str = "millrace", cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A single-machine session for tests and the benchmark; clusters bring their own session."""
@@ -81,6 +85,18 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """The rows dealt evenly, to as many tasks as keep every core busy and hold no more than `rows_per_task` rows.
+
+    For tables that are stored and then passed over very often, as by iterative fits: files written by the few tasks of a small or
+    compact input are read again in as few, uneven tasks. A multiple of the cores, so that equal files fill equal tasks.
+    """
+    cores, rows = df.sparkSession.sparkContext.defaultParallelism, df.count()
+    least = min(cores, max(1, rows // LEAST_ROWS_PER_TASK))
+    tasks = max(least, math.ceil(rows / rows_per_task))
+    return df.repartition(tasks if tasks <= cores else math.ceil(tasks / cores) * cores)
+
+
 def delete_materialised(spark: SparkSession) -> None:
     """Delete every table this application has materialised. Results that were built on them can no longer be computed."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))

@@ -432,3 +432,40 @@ def test_selectors(task):
 def test_correlation_rule_counts_dropped_columns_too():
     pairs = {("a", "b"): 0.99, ("b", "c"): -0.97, ("a", "c"): 0.5}
     assert select.correlated_columns(pairs, ["a", "b", "c"], 0.95) == ["b", "c"]
+
+
+def test_rows_of_few_files_are_spread_over_tasks(spark, tmp_path):
+    """One file, as a small input gives: fits pass over even tasks of bounded size."""
+    from millrace.session import materialise, spread as dealt
+
+    one = materialise(spark.range(60_000).coalesce(1), "one-file")
+    cores = spark.sparkContext.defaultParallelism
+    counts = [len(list(part)) for part in materialise(dealt(one), "even").rdd.glom().collect()]
+    assert sum(counts) == 60_000 and max(counts) <= 60_000 / cores * 1.2
+    assert dealt(one, 1_000).rdd.getNumPartitions() % cores == 0
+    assert max(len(part) for part in dealt(one, 1_000).rdd.glom().collect()) <= 1_200
+
+
+def test_forest_rows_are_dealt_by_what_a_forest_stores(spark, monkeypatch):
+    from millrace.ml import models
+
+    monkeypatch.setattr(models, "FOREST_BYTES", 1_000 * (4 * 5 + 200))
+    seen = []
+    fit = models.ModelPipeline._fit
+    monkeypatch.setattr(models.ModelPipeline, "_fit", lambda self, df: seen.append(df.rdd.getNumPartitions()) or fit(self, df))
+    table = spark.range(10_000).coalesce(1).selectExpr("id", "double(id % 2) AS y", "double(id % 2) + id / 1e6 AS a")
+    model = models.random_forest(["a"], "y", trees=5, max_depth=2).fit(table)
+    assert seen[0] >= 10 and model.transform(table).where("prediction <> y").count() == 0
+
+
+def test_elimination_fits_each_feature_set_once(spark, monkeypatch):
+    from millrace.ml import select
+
+    calls = []
+    plain = select._assembled
+    monkeypatch.setattr(select, "_assembled", lambda df, features, label: calls.append(tuple(features)) or plain(df, features, label))
+    table = spark.range(400).selectExpr("id", "double(id % 2) AS y", "double(id % 2) AS a", "double(id * 7919 % 100) AS b")
+    model = select.RFECV(["a", "b"], "y", key="id", min_features=1, folds=2, trees=3).fit(table)
+    assert model.kept == ["a"]
+    # Two folds of two sets, each assembled to fit and to score, and one fit of the final elimination.
+    assert len(calls) == 2 * 2 * 2 + 1
