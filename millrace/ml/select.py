@@ -89,6 +89,9 @@ def _information(joint: DataFrame) -> DataFrame:
         F.sum(share * F.ln(F.col("n") * F.col("t") / (F.col("nx") * F.col("ny")))).alias("score"))
 
 
+BINNED_AT_ONCE = 4  # features whose bins are counted together: at most bins ** 4 counts of each class in a task
+
+
 def mutual_information(
     df: DataFrame, features: Sequence[str], target: str, continuous_target: bool = False, bins: int = 10
 ) -> DataFrame:
@@ -97,9 +100,16 @@ def mutual_information(
     columns = [*features, *([target] if continuous_target else [])]
     cuts = {c: sorted(set(v)) for c, v in exact_quantiles(df, columns, probs).items()}
     y = bin_number(target, cuts[target]) if continuous_target else F.col(target)
-    entries = [F.struct(F.lit(c).alias("feature"), bin_number(c, cuts[c]).alias("x"), y.alias("y")) for c in features]
-    joint = df.select(F.explode(F.array(*entries)).alias("e")).select("e.*").groupBy("feature", "x", "y").agg(
-        F.count(F.lit(1)).alias("n"))
+
+    def counts(some: Sequence[str]) -> DataFrame:
+        # Rows are counted by all bins of a few features at once; only these counts are listed feature by feature.
+        binned = df.groupBy(*[bin_number(c, cuts[c]).alias(f"x_{i}") for i, c in enumerate(some)], y.alias("y")).agg(
+            F.count(F.lit(1)).alias("n"))
+        entries = [F.struct(F.lit(c).alias("feature"), F.col(f"x_{i}").alias("x")) for i, c in enumerate(some)]
+        return binned.select(F.explode(F.array(*entries)).alias("e"), "y", "n").select("e.*", "y", "n")
+
+    parts = [counts(features[i:i + BINNED_AT_ONCE]) for i in range(0, len(features), BINNED_AT_ONCE)]
+    joint = reduce(DataFrame.unionByName, parts).groupBy("feature", "x", "y").agg(F.sum("n").alias("n"))
     return _information(joint)
 
 

@@ -469,3 +469,19 @@ def test_elimination_fits_each_feature_set_once(spark, monkeypatch):
     assert model.kept == ["a"]
     # Two folds of two sets, each assembled to fit and to score, and one fit of the final elimination.
     assert len(calls) == 2 * 2 * 2 + 1
+
+
+def test_mutual_information_lists_counts_not_rows(spark):
+    """Rows meet the first aggregation as they are; six features (two groups of bins) score as each alone."""
+    from millrace.ml import select
+
+    names = [f"f{i}" for i in range(6)]
+    table = spark.range(3_000).selectExpr("id % 3 AS y", *[f"double(id * {7919 + i} % {50 + 40 * i}) AS {n}" for i, n in enumerate(names)])
+    table = table.persist()
+    scores = select.mutual_information(table, names, "y")
+    plan = scores._jdf.queryExecution().optimizedPlan().toString()
+    # Read from the rows up: an aggregation comes before the rows of several features are made of one.
+    assert plan.rindex("Aggregate") > plan.rindex("Generate")
+    got = {r["feature"]: r["score"] for r in scores.collect()}
+    for n in names:
+        assert abs(got[n] - select.mutual_information(table, [n], "y").first()["score"]) < 1e-9
