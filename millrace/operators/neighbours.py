@@ -28,11 +28,14 @@ from millrace.session import materialise
 
 BLOCK_ROWS = 4_096
 CHUNK_QUERIES, CHUNK_DONORS = 1_024, 8_192  # rows of one matrix of quick distances
+CACHED = 262_144  # quick distances made and looked at together: 1 MB, so that they stay in a core's cache
+ALIKE_ROWS = 64  # queries of one missing pattern, at least, that are compared by themselves
 HITS = 65_536  # pairs measured exactly at once
 TASK_PAIRS = 250_000_000  # pairs for which donors sent whole get one more task
 BLOCK_PAIRS = 144  # pairs of blocks, about, into which all pairs of rows are cut
 BLOCK_NUMBERS = 3_200_000  # numbers in such a block at most: 26 MB
 PIECE_NUMBERS = 262_144  # numbers in one packed value, about
+ANSWER_QUERIES = 2_048  # queries, about, whose answers from one block of donors travel as one row
 ALL_PAIRS_ROWS = 1_000  # rows in such a block at least, where all rows are compared
 FEW_COPIES = 200_000  # donor rows sent to cells that are not worth another plan
 CELL_ROWS = 2_000  # distinct donors in a cell, about
@@ -77,6 +80,24 @@ def _kth(key: np.ndarray, place: np.ndarray, distance: np.ndarray, k: int, keys:
     return out
 
 
+def _set_places(mask: np.ndarray) -> np.ndarray:
+    """`flatnonzero` of a mask with few set entries, eight looked at together."""
+    flat = mask.ravel()
+    whole = len(flat) // 8 * 8
+    places = (np.flatnonzero(flat[:whole].view(np.uint64))[:, None] * 8 + np.arange(8)).ravel()
+    return np.concatenate([places[flat[places]], whole + np.flatnonzero(flat[whole:])])
+
+
+def _under(left: np.ndarray, right: np.ndarray, bound: np.ndarray) -> np.ndarray:
+    """Where the products of two blocks' rows are no larger than the bound of the left row: left position * len(right) + right position."""
+    step = max(1, CACHED // max(1, len(left)))
+    parts = [np.empty(0, np.int64)]
+    for s in range(0, len(right), step):
+        i, j = np.divmod(_set_places(left @ right[s:s + step].T <= bound[:, None]), min(step, len(right) - s))
+        parts.append(i * len(right) + s + j)
+    return np.concatenate(parts)
+
+
 def nearest_in_block(queries: np.ndarray, donors: np.ndarray, donor_rank: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Query positions, donor positions and distances of the k nearest donors of each query, as three arrays.
 
@@ -108,13 +129,13 @@ def nearest_in_block(queries: np.ndarray, donors: np.ndarray, donor_rank: np.nda
         for start, stop in _chunks(len(donors)):
             for thin in ([True, False] if single else [False]):
                 error = rough if thin else fine
-                quick = (thin_q @ thin_d[start:stop].T) if thin else (wide_q @ wide_d[start:stop].T)
+                left, right = (thin_q, thin_d[start:stop]) if thin else (wide_q, wide_d[start:stop])
                 open_ = np.isinf(limit)
                 bound = limit + error
                 if open_.any() and stop - start > k:
-                    bound[open_] = np.partition(quick[open_], k - 1, axis=1)[:, k - 1] + 2 * error[open_]
+                    bound[open_] = np.partition(left[open_] @ right.T, k - 1, axis=1)[:, k - 1] + 2 * error[open_]
                 bound = np.nextafter(bound.astype(np.float32), np.float32(np.inf)) if thin else bound
-                hits = np.flatnonzero(quick <= bound[:, None])
+                hits = _under(left, right, bound)
                 if len(hits) <= 16 * k * len(q) + 4096:
                     break
             for h in range(0, len(hits), HITS):
@@ -130,6 +151,37 @@ def nearest_in_block(queries: np.ndarray, donors: np.ndarray, donor_rank: np.nda
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
+def _kinds(has: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The patterns of presence, each once, and the number of each row's."""
+    bits = np.packbits(has, axis=1)
+    _, first, kind = np.unique(bits.view(np.dtype((np.void, bits.shape[1]))).ravel(), return_index=True, return_inverse=True)
+    return has[first], kind
+
+
+def _alike(has: np.ndarray, apart: bool) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
+    """Positions of queries in chunks: those of a frequent pattern by themselves, with it, if `apart`; the others together."""
+    kinds, kind = _kinds(has)
+    sizes, order, rest = np.bincount(kind), np.argsort(kind, kind="stable"), np.ones(len(has), bool)
+    ends = sizes.cumsum()
+    for n in np.flatnonzero(sizes >= ALIKE_ROWS) if apart else ():
+        rows = order[ends[n] - sizes[n]:ends[n]]
+        rest[rows] = False
+        for s in range(0, len(rows), CHUNK_QUERIES):
+            yield rows[s:s + CHUNK_QUERIES], kinds[n]
+    rows = np.flatnonzero(rest)
+    for s in range(0, len(rows), CHUNK_QUERIES):
+        yield rows[s:s + CHUNK_QUERIES], None
+
+
+def _masked(wide_q: np.ndarray, wide_d: np.ndarray, shared: np.ndarray, dims: int) -> np.ndarray:
+    """Quick squared distances over common columns, scaled, of rows of any patterns; infinite without a common column."""
+    quick = wide_q @ wide_d.T
+    quick *= quick.dtype.type(dims) / np.maximum(shared, np.float32(1)).astype(quick.dtype)
+    if not shared.min():
+        quick[shared == 0] = np.inf
+    return quick
+
+
 def nearest_with_gaps(
     queries: np.ndarray, donors: np.ndarray, donor_rank: np.ndarray, k: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -137,8 +189,11 @@ def nearest_with_gaps(
     have the column.
 
     Distance is Euclidean over the columns both rows have, scaled up to all columns; rows without a common column are not near.
-    All masked distances of two chunks come from one matrix product, and the numbers of common columns from another. A donor is
-    looked at only if it is no farther than the k-th so far of one of the query's missing columns, and then measured exactly.
+    All masked distances of two chunks come from one matrix product, and the numbers of common columns from another. Where
+    donors have few patterns of gaps, the queries of one pattern are compared by themselves: what a distance lacks is then one
+    number for each donor, and one for each query and pattern, so the product is little wider than that of rows without gaps and
+    comes out scaled. A donor is looked at only if it is no farther than the k-th so far of one of the query's missing columns,
+    and then measured exactly.
     Single and double precision as in `nearest_in_block`.
     """
     parts = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
@@ -149,40 +204,58 @@ def nearest_with_gaps(
     d = np.where(has_d, donors - centre, 0.0)
     d_square = d * d
     top_d, top_raw = d_square.sum(1).max(), np.nansum(donors * donors, 1).max()
-    wide_d = np.hstack([has_d, d_square, d])
-    thin_d, thin_has_d = wide_d.astype(np.float32) if top_d < 1e30 else None, has_d.astype(np.float32)
-    for s in range(0, len(queries), CHUNK_QUERIES):
-        raw = queries[s:s + CHUNK_QUERIES]
+    (kinds, kind), has_f, single_d = _kinds(has_d), has_d.astype(np.float32), top_d < 1e30
+    numbers = (np.float64, np.float32) if single_d else (np.float64,)
+    plain = {n: (d.astype(n), np.eye(len(kinds), dtype=n)) for n in numbers} if len(kinds) <= dims else {}
+    wide_d = {}
+    for at_q, has in _alike(~np.isnan(queries), bool(plain)):
+        raw = queries[at_q]
         has_q = ~np.isnan(raw)
         q = np.where(has_q, raw - centre, 0.0)
         square = q * q
-        wide_q = np.hstack([square, has_q, -2.0 * q])
+        if has is None:
+            wide_d = wide_d or {n: np.hstack([has_d, d_square, d]).astype(n) for n in numbers}
+            wide_q = np.hstack([square, has_q, -2.0 * q])
+        else:  # what the columns without either lack: by query and pattern of the donor, and by donor
+            common = (kinds & has).sum(1)
+            scales = (dims / np.maximum(common, 1))[kind]
+            own = np.where((common > 0)[kind], d_square @ has, np.inf) * scales
+            wide_q = np.hstack([-2.0 * q, square @ kinds.T, np.ones((len(q), 1))])
         fine = 1e-12 * dims * dims * (np.nansum(raw * raw, 1) + top_raw + 1.0)
         rough = 2.0**-22 * (3 * dims + 4) * (square.sum(1) + top_d)  # before scaling
-        single = rough.max() < 1e28
+        single = single_d and rough.max() < 1e28
         thin_q, thin_has_q, gaps = wide_q.astype(np.float32) if single else None, has_q.astype(np.float32), (~has_q).sum(1).max()
+        lacking = np.flatnonzero(~has_q.all(0))
         limit = np.where(has_q, -np.inf, np.inf)  # of each query and missing column: above its k-th squared distance so far
         key, of, far = parts[0][0], parts[0][1], parts[0][3]  # key: query position * dims + column
         for start, stop in _chunks(len(donors)):
-            here = has_d[start:stop]
-            shared = thin_has_q @ thin_has_d[start:stop].T
-            apart = shared == 0 if not shared.min() else None
-            scale = np.float32(dims) / (shared if apart is None else np.maximum(shared, np.float32(1)))
+            here, opened = has_d[start:stop], np.flatnonzero((limit == np.inf).any(0))  # columns for which k donors are not found yet
+            if has is None:
+                shared = thin_has_q @ has_f[start:stop].T
+                top_scale = dims / max(1.0, float(shared.min()))
+            else:
+                top_scale = scales[start:stop].max()
             for thin in ([True, False] if single else [False]):
-                error = fine + rough * float(scale.max()) if thin else fine
-                quick = (thin_q @ thin_d[start:stop].T) if thin else (wide_q @ wide_d[start:stop].T)
-                quick *= scale if thin else np.float64(dims) / np.maximum(shared, np.float32(1)).astype(np.float64)
-                if apart is not None:
-                    quick[apart] = np.inf
-                known = np.where(np.isinf(limit), -np.inf, limit)
-                bound = known.max(1) + error
-                found = [np.flatnonzero(quick <= (np.nextafter(bound.astype(np.float32), np.float32(np.inf)) if thin else bound)[:, None])]
-                for t in np.flatnonzero((limit == np.inf).any(0)):  # columns for which k donors are not found yet
+                number = np.float32 if thin else np.float64
+                left = thin_q if thin else wide_q
+                error = fine + rough * top_scale if thin else fine
+                bound = np.where(np.isinf(limit), -np.inf, limit).max(1) + error
+                bound = np.nextafter(bound.astype(np.float32), np.float32(np.inf)) if thin else bound
+                if has is None:
+                    quick = _masked(left, wide_d[number][start:stop], shared, dims)
+                    found = [_set_places(quick <= bound[:, None])]
+                else:
+                    points, table = plain[number]
+                    stretch = scales[start:stop, None].astype(number)
+                    right = np.hstack([points[start:stop] * stretch, table[kind[start:stop]] * stretch, own[start:stop, None].astype(number)])
+                    quick = left @ right.T if len(opened) else None
+                    found = [_under(left, right, bound)]
+                for t in opened:
                     able, rows = np.flatnonzero(here[:, t]), np.flatnonzero(limit[:, t] == np.inf)
                     if len(able):
                         some = quick[np.ix_(rows, able)]
                         kth = min(k, len(able)) - 1
-                        upto = np.minimum(np.partition(some, kth, axis=1)[:, kth] + 2 * error[rows], np.finfo(np.float32 if thin else float).max)
+                        upto = np.minimum(np.partition(some, kth, axis=1)[:, kth] + 2 * error[rows], np.finfo(number).max)
                         i, j = np.nonzero(some <= upto[:, None])
                         found.append(rows[i] * (stop - start) + able[j])
                 hits = np.unique(np.concatenate(found)) if len(found) > 1 else found[0]
@@ -194,15 +267,19 @@ def nearest_with_gaps(
                 both = has_q[i] & has_d[j]
                 n = both.sum(1)
                 exact = np.sqrt((np.where(both, donors[j] - raw[i], 0.0) ** 2).sum(1) * (dims / np.maximum(n, 1)))
-                wanted = ~has_q[i] & has_d[j] & (exact[:, None] ** 2 <= limit[i] + fine[i][:, None]) & (n > 0)[:, None]
+                near = np.flatnonzero((n > 0) & (exact**2 <= limit.max(1)[i] + fine[i]))
+                i, j, exact = i[near], j[near], exact[near]
+                at = (i[:, None], lacking)
+                wanted = ~has_q[at] & has_d[j[:, None], lacking] & (exact[:, None] ** 2 <= limit[at] + fine[i][:, None])
                 pair, t = np.nonzero(wanted)
+                t = lacking[t]
                 key, of, far = np.r_[key, i[pair] * dims + t], np.r_[of, j[pair]], np.r_[far, exact[pair]]
                 kept, place = _best(key, donor_rank[of], far, k)
                 key, of, far = key[kept], of[kept], far[kept]
             if len(hits):
                 kths = _kth(key, place, far, k, len(q) * dims).reshape(len(q), dims) ** 2 + fine[:, None]
                 limit = np.where(has_q, -np.inf, kths)
-        parts.append((key // dims + s, key % dims, of, far))
+        parts.append((at_q[key // dims], key % dims, of, far))
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
@@ -253,11 +330,20 @@ def _plan(sizes: DataFrame, pairs: float, dims: int, block_rows: int) -> tuple[D
     return side("n_q"), side("n_d")
 
 
+def _dealt(ids: np.ndarray, parts: int) -> list[tuple[int, np.ndarray]]:
+    """Positions of the ids, dealt by key into `parts` parts; a part without any is left out, except that there is always one."""
+    part = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)) % np.uint64(parts)
+    order = np.argsort(part, kind="stable")
+    cuts = np.searchsorted(part[order], np.arange(parts + 1, dtype=np.uint64))
+    return [(n, order[cuts[n]:cuts[n + 1]]) for n in range(parts) if cuts[n] < cuts[n + 1] or parts == 1] or [(0, order)]
+
+
 def _met(q: DataFrame, d: DataFrame, plan: tuple[DataFrame, DataFrame], dims: int, compare, merged, schema: str) -> DataFrame:
     """Each block of queries with each block of donors of its group, once: `compare(reps, points, donor reps, donor points)` gives
     columns of numbers, `merged(columns)` the final ones of all answers to one block of queries.
 
-    Answers travel as one value a column and pair of blocks, and a query block's answers meet in one task, some numbers a row.
+    Answers travel as a few large values, those of about ANSWER_QUERIES queries to a row, dealt by key: the answers to a whole block
+    would be rows of tens of MB, of which readers and shuffles hold many at once. Only the merged answers are stored.
     """
     plan = tuple(materialise(side, "knn-plan") for side in plan)
     left = _packed(q, plan[0], dims)
@@ -273,19 +359,21 @@ def _met(q: DataFrame, d: DataFrame, plan: tuple[DataFrame, DataFrame], dims: in
 
     def meet(k: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if not len(a) or not len(b):
-            return pd.DataFrame({"grp": [], "qb": [], **{n: [] for n in names}}).astype({"qb": np.int32})
-        found = compare(*_unpacked(a), *_unpacked(b))
-        return pd.DataFrame({"grp": [k[0]], "qb": [k[1]], **{n: [found[n].tobytes()] for n in names}})
+            return pd.DataFrame({"grp": [], "qb": [], "part": [], **{n: [] for n in names}}).astype({"qb": np.int32, "part": np.int32})
+        ids, points = _unpacked(a)
+        found = compare(ids, points, *_unpacked(b))
+        return pd.DataFrame([{"grp": k[0], "qb": k[1], "part": part, **{n: found[n][rows].tobytes() for n in names}}
+                             for part, rows in _dealt(found[names[0]], math.ceil(len(ids) / ANSWER_QUERIES))])
 
     met = spread(left, "qb", "db", across[1]).groupBy(*key).cogroup(_again(spread(right, "db", "qb", across[0])).groupBy(*key)).applyInPandas(
-        meet, "grp string, qb int, " + ", ".join(f"{n} binary" for n in names))
+        meet, "grp string, qb int, part int, " + ", ".join(f"{n} binary" for n in names))
     kinds = {c.split()[0]: {"bigint": np.int64, "int": np.int32, "double": np.float64}[c.split()[1]] for c in schema.split(", ")}
 
     def merge(k: tuple, part: pd.DataFrame) -> pd.DataFrame:
         done = merged({n: np.frombuffer(b"".join(part[n]), kind) for n, kind in kinds.items()})
         return pd.DataFrame({"grp": k[0], **done})
 
-    return materialise(met, "knn-met").groupBy("grp", "qb").applyInPandas(merge, "grp string, " + schema)
+    return materialise(met.groupBy("grp", "qb", "part").applyInPandas(merge, "grp string, " + schema), "knn-merged")
 
 
 def _all_pairs(q: DataFrame, d: DataFrame, sizes: DataFrame, pairs: float, dims: int, k: int, block_rows: int) -> DataFrame:

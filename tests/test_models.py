@@ -140,6 +140,42 @@ def test_gaps_in_seventy_columns(spark, options):
     assert {(r.query_id, r.target, r.donor_id, round(r.distance, 6), r.value) for r in found} == expected
 
 
+def test_gaps_of_few_patterns_go_through_one_narrow_product(spark, monkeypatch):
+    """Where rows lack the same columns no mask enters the matrices, and the answers of a block travel in rows of bounded size."""
+    from millrace.operators import neighbours
+
+    rng = np.random.default_rng(14)
+    n, dims, k = 1800, 12, 3
+    data = rng.normal(size=(n, dims)).round(2)
+    data[(np.arange(n)[:, None] + np.arange(dims)) % 5 == 0] = np.nan
+    data[::11, :7] = np.nan
+    data[5::11, 6:] = np.nan  # some rows have no column in common
+    data[40:60] = data[95:115]
+    ids = rng.permutation(n) * 8
+    expected = set()
+    for i in range(100):
+        both = ~np.isnan(data) & ~np.isnan(data[i])
+        shared = both.sum(1)
+        distance = np.sqrt((np.where(both, data - data[i], 0) ** 2).sum(1) * (dims / np.maximum(shared, 1)))
+        for t in np.flatnonzero(np.isnan(data[i])):
+            able = np.flatnonzero(~np.isnan(data[:, t]) & (shared > 0))
+            expected |= {(i, t, j) for j in able[np.lexsort((ids[able], distance[able]))][:k]}
+    i, t, j, _ = neighbours.nearest_with_gaps(data, data, ids, k)
+    assert {(a, b, c) for a, b, c in zip(i.tolist(), t.tolist(), j.tolist()) if a < 100} == expected
+
+    few = data[::11]
+    assert (np.isnan(few).sum(1) >= 7).all()
+    narrow = neighbours._alike(np.tile(~np.isnan(data[:40]), (100, 1)), True)
+    assert all(has is not None and (has == ~np.isnan(np.tile(data[:40], (100, 1))[rows])).all() for rows, has in narrow)
+
+    monkeypatch.setattr(neighbours, "ANSWER_QUERIES", 50)
+    sizes = [len(rows) for _, rows in neighbours._dealt(ids, n // 50)]
+    assert sum(sizes) == n and max(sizes) < 150
+    table = spark.createDataFrame(pd.DataFrame({"id": ids, "vec": data.tolist()}), "id bigint, vec array<double>")
+    found = neighbours.knn_with_gaps(table, table, k, shipped_numbers=0, block_rows=500).collect()
+    assert {(r.query_id, r.target, r.donor_id) for r in found} == {(ids[a], b, ids[c]) for a, b, c in zip(i, t, j)}
+
+
 def test_hashed_neighbours(spark):
     """Recall on clusters and on an even cloud, with buckets that must be hashed again; distances are exact."""
     from millrace.operators.approximate import approximate_knn_join, recall
