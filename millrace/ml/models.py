@@ -6,9 +6,11 @@ A builder takes feature columns, the label column and settings, and returns an u
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark import SparkContext
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
@@ -18,6 +20,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, functions as F
+from pyspark.storagelevel import StorageLevel
 
 from millrace.ml.base import present
 from millrace.ml.encode import ordered_target_statistics
@@ -26,6 +29,7 @@ from millrace.session import materialise, spread
 
 FEATURES = "_features"
 FOREST_BYTES = 200_000_000  # of training rows, as a forest stores them, in one task
+COSINE_BLOCK = 512  # rows whose cosine features are held together: about a core's cache
 
 
 def without_summary(model):
@@ -199,11 +203,15 @@ def scale_gamma(df: DataFrame, features: Sequence[str]) -> float:
     return 1.0 / (len(features) * variance) if variance else 1.0
 
 
+def _directions(width: int, gamma: float, count: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Directions and shifts of the cosine features."""
+    rng = np.random.default_rng(seed)
+    return rng.normal(0.0, np.sqrt(2.0 * gamma), size=(count, width)), rng.uniform(0.0, 2.0 * np.pi, size=count)
+
+
 def random_features(df: DataFrame, features: Sequence[str], gamma: float, count: int = 100, seed: int = 42) -> DataFrame:
     """Cosine features whose inner product approximates exp(-gamma * distance^2); the directions are a small constant."""
-    rng = np.random.default_rng(seed)
-    directions = rng.normal(0.0, np.sqrt(2.0 * gamma), size=(count, len(features)))
-    shifts = rng.uniform(0.0, 2.0 * np.pi, size=count)
+    directions, shifts = _directions(len(features), gamma, count, seed)
     norm = float(np.sqrt(2.0 / count))
     added = {}
     for j in range(count):
@@ -213,6 +221,159 @@ def random_features(df: DataFrame, features: Sequence[str], gamma: float, count:
     return VectorAssembler(inputCols=list(added), outputCol=FEATURES).transform(wide).drop(*added)
 
 
+def cosine_blocks(width: int, gamma: float, count: int = 100, seed: int = 42):
+    """The numbers of `random_features` inside tasks: a function from an array of rows to blocks (first row, cosine features).
+
+    For passes that use the features and forget them, which takes neither memory nor disk for them. The function carries its
+    own code; a missing or infinite number fails, as it does in a vector.
+    """
+    directions, shifts = _directions(width, gamma, count, seed)
+    turns, start, norm = directions.T / (2.0 * np.pi), shifts / (2.0 * np.pi), float(np.sqrt(2.0 / count))
+    # cos(2 pi t) for t in [-0.5, 0.5]: the series of a quarter of the angle, doubled twice. As exact as numpy's and faster.
+    series = [(-1) ** k * (np.pi / 2.0) ** (2 * k) / math.factorial(2 * k) for k in range(9)]
+    size = COSINE_BLOCK
+
+    def blocks(rows: np.ndarray):
+        if not np.isfinite(rows).all():
+            raise ValueError("a feature is missing or infinite")
+        for first in range(0, len(rows), size):
+            t = rows[first:first + size] @ turns
+            t += start
+            t -= np.rint(t)
+            t *= t
+            out = t * series[-1]
+            for c in series[-2:0:-1]:
+                out += c
+                out *= t
+            out += 1.0
+            for _ in range(2):
+                out *= out
+                out *= 2.0
+                out -= 1.0
+            out *= norm
+            yield first, out
+
+    return blocks
+
+
+def fit_huber(rows: DataFrame, blocks, count: int, C: float, epsilon: float = 1.35, max_iter: int = 100, tol: float = 1e-6):
+    """Weights, intercept and scale of a robust linear fit on `count` cosine features of a row, whose last column is the label.
+
+    The minimum of Spark's Huber regression, which is convex in all of them together: the mean of (s + r^2 / s) / 2 over rows whose
+    residual r is at most epsilon * s, and of epsilon * |r| + s * (1 - epsilon^2) / 2 over the others, plus the squared weights of the
+    standardised features / (2 * C * rows). Newton steps need some ten passes instead of hundreds, as a pass adds up the
+    curvature too, and features are made anew in each, so nothing but the rows themselves is kept. Ends where the minimum is at most
+    about a share `tol` away.
+    """
+    few = np.array([tuple(r) for r in rows.limit(1000).collect()], dtype=float)
+    if not len(few):
+        raise ValueError("no training rows")
+    centre, level = np.concatenate([b for _, b in blocks(few[:, :-1])]).mean(0), few[:, -1].mean()  # they only steer rounding
+    size = count + 2
+
+    def totals(weights, intercept, cut):
+        """Over the rows within `cut`, products of (centred features, 1, residual); over the others, their sums by the residual's sign."""
+
+        def add(batches):
+            import pyarrow as pa
+
+            products, sums = np.zeros((size, size)), np.zeros(size)
+            for batch in batches:
+                table = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+                if np.isnan(table[:, -1]).any():
+                    raise ValueError("a label is missing")
+                for first, features in blocks(table[:, :-1]):
+                    features -= centre
+                    residual = features @ weights + intercept - (table[first:first + len(features), -1] - level)
+                    row = np.column_stack([features, np.ones(len(features)), residual])
+                    near = np.abs(residual) <= cut
+                    inside = row if near.all() else row[near]
+                    products += inside.T @ inside
+                    if len(inside) < len(row):
+                        sums += np.where(near, 0.0, np.sign(residual)) @ row
+            both = np.vstack([products, sums]).ravel()
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(both.size), pa.int32()), pa.array(both)], names=["i", "v"])
+
+        both = np.zeros((size + 1) * size)
+        for r in rows.mapInArrow(add, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect():
+            both[r["i"]] = r["v"]
+        return both[:-size].reshape(size, size), both[-size:]
+
+    products, _ = totals(np.zeros(count), 0.0, np.inf)
+    n, label = products[count, count], -products[count, -1] / products[count, count]
+    around = products[:count, :count] / n - np.outer(products[count, :count], products[count, :count]) / n**2
+    spread_of = np.sqrt(np.maximum(np.diag(around), 0.0) * n / max(n - 1, 1))
+    used = spread_of > 1e-10  # a constant feature has no weight
+    spread_label = np.sqrt(max(products[-1, -1] / n - label**2, 0.0))
+    if spread_label <= 1e-12 * max(abs(level + label), 1e-300):
+        return np.zeros(count), level + label, 1.0
+    penalty = 1.0 / (C * n)
+    unit = np.where(used, 1.0 / np.where(used, spread_of, 1.0), 0.0)
+    ridge = np.append(np.full(count, penalty), [0.0, 0.0])
+
+    def weights_of(point):
+        return point[:count] * unit
+
+    def looked_at(point):
+        """Value, gradient and curvature there."""
+        s = point[-1]
+        products, sums = totals(weights_of(point), point[count], epsilon * s)
+        inside = products[count, count]
+        value = ((inside + (n - inside) * (1.0 - epsilon**2)) * s + products[-1, -1] / s + 2.0 * epsilon * sums[-1]) / (2.0 * n)
+        by = np.append(unit, 1.0)
+        slope = np.append((products[:-1, -1] / s + epsilon * sums[:-1]) / n * by,
+                          (inside - products[-1, -1] / s**2 + (n - inside) * (1.0 - epsilon**2)) / (2.0 * n))
+        by = np.append(by, -1.0 / s)
+        return value + ridge @ point**2 / 2.0, slope + ridge * point, products * np.outer(by, by) / (n * s) + np.diag(ridge)
+
+    # From least squares, penalised as at the label's own scale.
+    by = np.append(unit, 1.0)
+    gram, cross = products[:-1, :-1] * np.outer(by, by) / n, -products[:-1, -1] * by / n
+    start = np.linalg.lstsq(gram + np.diag(ridge[:-1]) * spread_label, cross, rcond=None)[0]
+    left = products[-1, -1] / n - 2.0 * start @ cross + start @ gram @ start
+    point = np.append(start, max(np.sqrt(max(left, 0.0)), 1e-6 * spread_label))
+    value, slope, curvature = looked_at(point)
+    for _ in range(max_iter):
+        step = np.linalg.lstsq(curvature, -slope, rcond=None)[0]
+        gain = -slope @ step
+        if gain / 2.0 <= tol * abs(value) or point[-1] <= 1e-9 * spread_label:
+            break
+        length = min(1.0, 0.9 * point[-1] / -step[-1]) if step[-1] < 0.0 else 1.0  # the scale stays above 0
+        for _ in range(20):
+            ahead = point + length * step
+            found = looked_at(ahead)
+            if found[0] <= value - 1e-4 * length * gain:
+                break
+            length /= 2.0
+        else:
+            break
+        point, (value, slope, curvature) = ahead, found
+    weights = weights_of(point)
+    return weights, level + point[count] - weights @ centre, float(point[-1])
+
+
+class KernelRegressionModel:
+    """A linear model on random features that are made where they are used; `transform` adds the prediction."""
+
+    def __init__(self, weights, intercept, scale, features, gamma, count, seed, output):
+        self.weights, self.intercept, self.scale = weights, intercept, scale
+        self.features, self.gamma, self.count, self.seed, self.output = list(features), gamma, count, seed, output
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        blocks = cosine_blocks(len(self.features), self.gamma, self.count, self.seed)
+        weights, intercept = self.weights, float(self.intercept)
+
+        @F.pandas_udf("double")
+        def predict(rows: pd.DataFrame) -> pd.Series:
+            found = np.empty(len(rows))
+            for first, features in blocks(rows.to_numpy(dtype=float)):
+                found[first:first + len(features)] = features @ weights + intercept
+            return pd.Series(found)
+
+        return df.withColumn(f"{self.output}prediction", predict(F.struct(*[
+            F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(self.features)])))
+
+
 class KernelModel:
     """A linear model on random features; `transform` adds prediction (and probability) columns."""
 
@@ -229,13 +390,17 @@ class KernelModel:
 def kernel_regression(
     train: DataFrame, features: Sequence[str], label: str, output: str = "", C: float = 1.0, gamma: float | None = None,
     count: int = 100, max_iter: int = 100, seed: int = 42,
-) -> KernelModel:
+) -> KernelRegressionModel:
     """Robust regression in the feature space of an RBF kernel (Huber loss takes the place of the tube)."""
-    gamma = scale_gamma(train, features) if gamma is None else gamma
-    ready = random_features(train, features, gamma, count, seed)
-    model = LinearRegression(featuresCol=FEATURES, labelCol=label, loss="huber", regParam=1.0 / (C * train.count()),
-                             maxIter=max_iter, predictionCol=f"{output}prediction").fit(ready)
-    return KernelModel([without_summary(model)], features, gamma, count, seed, output)
+    rows = train.select(*dict.fromkeys([*features, label])).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        gamma = scale_gamma(rows, features) if gamma is None else gamma
+        plain = rows.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate([*features, label])])
+        blocks = cosine_blocks(len(features), gamma, count, seed)
+        fitted = fit_huber(plain, blocks, count, C, max_iter=max_iter)
+    finally:
+        rows.unpersist()
+    return KernelRegressionModel(*fitted, features, gamma, count, seed, output)
 
 
 def kernel_classifier(

@@ -41,9 +41,10 @@ def samples(t):
         (price * 3 - cust + noise * 0.1).cast("double").alias("target"))
 
 
-def parts(t):
+def parts(t, *used):
     # Stored once, in even files: every fit below makes many passes, and each pass is as slow as its largest task.
-    marked = materialise(spread(split.train_test_split(samples(t), "id", 0.2, stratify="y")), "samples")
+    rows = samples(t).select("id", "y", *used) if used else samples(t)
+    marked = materialise(spread(split.train_test_split(rows, "id", 0.2, stratify="y"), rows=rows.count()), "samples")
     return marked.where(~F.col("is_test")), marked.where("is_test")
 
 
@@ -109,8 +110,9 @@ def categorical_scores(t):
 
 @register("kernel_regression_scores", "P6 P9", _MARKED + "SELECT count(*) AS rows, true AS explains_nine_tenths FROM m WHERE is_test")
 def kernel_regression_scores(t):
-    train, test = parts(t)
-    scored = models.kernel_regression(train, ["f_price", "f_cust", "f_noise"], "target").transform(test)
+    features = ["f_price", "f_cust", "f_noise"]
+    train, test = parts(t, *features, "target")
+    scored = models.kernel_regression(train, features, "target").transform(test)
     left = F.sum(F.pow(F.col("prediction") - F.col("target"), F.lit(2)))
     return scored.agg(F.count("*").alias("rows"), (left < 0.1 * F.count("*") * F.var_pop("target")).alias("explains_nine_tenths"))
 

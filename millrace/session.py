@@ -85,13 +85,14 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def spread(df: DataFrame, rows_per_task: int = ROWS_PER_TASK, rows: int | None = None) -> DataFrame:
     """The rows dealt evenly, to as many tasks as keep every core busy and hold no more than `rows_per_task` rows.
 
     For tables that are stored and then passed over very often, as by iterative fits: files written by the few tasks of a small or
     compact input are read again in as few, uneven tasks. A multiple of the cores, so that equal files fill equal tasks.
+    `rows` is their number, if it is known; else they are counted, which computes them.
     """
-    cores, rows = df.sparkSession.sparkContext.defaultParallelism, df.count()
+    cores, rows = df.sparkSession.sparkContext.defaultParallelism, df.count() if rows is None else rows
     least = min(cores, max(1, rows // LEAST_ROWS_PER_TASK))
     tasks = max(least, math.ceil(rows / rows_per_task))
     return df.repartition(tasks if tasks <= cores else math.ceil(tasks / cores) * cores)

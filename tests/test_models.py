@@ -521,3 +521,62 @@ def test_mutual_information_lists_counts_not_rows(spark):
     got = {r["feature"]: r["score"] for r in scores.collect()}
     for n in names:
         assert abs(got[n] - select.mutual_information(table, [n], "y").first()["score"]) < 1e-9
+
+
+@pytest.fixture(scope="module")
+def curve(spark):
+    rng = np.random.default_rng(5)
+    x = rng.random((4000, 3))
+    y = 3 * x[:, 0] - x[:, 1] + 0.1 * x[:, 2] + np.where(rng.random(4000) < 0.05, 20.0, rng.normal(0, 0.05, 4000))  # outliers on one side
+    rows = [(i, *map(float, r), float(v), 1.5) for i, (r, v) in enumerate(zip(x, y))]
+    return spark.createDataFrame(rows, "id int, a double, b double, d double, c double, flat double").repartition(8).cache()
+
+
+def test_cosine_blocks_are_the_random_features(curve):
+    wide = models.random_features(curve, ["a", "b", "d"], 40.0, 30, 3).orderBy("id").select("a", "b", "d", models.FEATURES).collect()
+    blocks = models.cosine_blocks(3, 40.0, 30, 3)(np.array([r[:3] for r in wide]))
+    assert np.allclose(np.concatenate([b for _, b in blocks]), [r[3].toArray() for r in wide], rtol=0, atol=1e-12)
+
+
+def test_kernel_regression_reaches_the_minimum_in_few_passes(spark, curve):
+    f, context = ["a", "b", "d"], spark.sparkContext
+    context.setJobGroup("kernel-regression", "kernel regression")
+    model = models.kernel_regression(curve, f, "c")
+    context.setJobGroup("", "")
+    # Each pass over the rows is a job or two; an iterative fit by gradients takes more than a hundred passes.
+    assert len(context.statusTracker().getJobIdsForGroup("kernel-regression")) < 60
+    scored = model.transform(curve).orderBy("id").toPandas()
+    truth = 3 * scored.a - scored.b + 0.1 * scored.d
+    assert list(scored.columns) == [*curve.columns, "prediction"]
+    assert np.sqrt(((scored.prediction - truth) ** 2).mean()) < 0.05  # outliers move it by less than a row's noise
+    features = np.concatenate([b.copy() for _, b in models.cosine_blocks(3, model.gamma)(scored[f].to_numpy())])
+    spread, n = features.std(0, ddof=1), len(scored)
+
+    def loss(weights, intercept, scale):
+        r = np.abs(features @ weights + intercept - scored.c.to_numpy())
+        near = (scale + r * r / scale) / 2
+        return np.where(r <= 1.35 * scale, near, 1.35 * r + scale * (1 - 1.35**2) / 2).mean() + ((weights * spread) ** 2).sum() / (2 * n)
+
+    least, rng = loss(model.weights, model.intercept, model.scale), np.random.default_rng(1)
+    for _ in range(20):
+        moved = model.weights + rng.normal(0, 0.01, len(spread)) * np.abs(model.weights)
+        assert least < loss(moved, model.intercept, model.scale)
+    for by in (0.99, 1.01):
+        assert least < loss(model.weights, model.intercept * by, model.scale) and least < loss(model.weights, model.intercept, model.scale * by)
+
+
+def test_kernel_regression_of_constant_and_missing_values(spark, curve):
+    constant = models.kernel_regression(curve, ["a", "b"], "flat", count=10).transform(curve)
+    assert {r[0] for r in constant.select("prediction").distinct().collect()} == {1.5}
+    beside = models.kernel_regression(curve, ["flat"], "c", count=10).transform(curve)  # nothing to learn from: one level for all
+    assert len({round(r[0], 6) for r in beside.select("prediction").collect()}) == 1
+    for column in ("a", "c"):
+        gappy = curve.withColumn(column, F.when(F.col("id") != 7, F.col(column)))
+        with pytest.raises(Exception, match="missing"):
+            models.kernel_regression(gappy, ["a", "b"], "c", gamma=1.0, count=10)
+    model = models.kernel_regression(curve, ["a", "b"], "c", count=10)
+    with pytest.raises(Exception, match="missing"):
+        model.transform(curve.withColumn("a", F.when(F.col("id") != 7, F.col("a")))).collect()
+    assert model.transform(curve.where("id < 0")).count() == 0
+    with pytest.raises(ValueError, match="no training rows"):
+        models.kernel_regression(curve.where("id < 0"), ["a", "b"], "c", count=10)
